@@ -5,10 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_rules, sentencepiece_tok, simhash
+from . import ann, html_extract, mixing, quality_rules, sentencepiece_tok, simhash, url_filter, warc
 from .common import table
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list: pages that were reached by a tracking link, so that their other spellings are found."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.filter_urls(pages, pages.where(F.contains("url", F.lit("utm_source=")))).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -27,5 +45,56 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op6_mix_sources, op7_simhash_near_dedup, op9_sentencepiece, op10_quality_rules)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_html_extract, op2_warc, op4_url_filter, op5_ann, op6_mix_sources, op7_simhash_near_dedup, op9_sentencepiece, op10_quality_rules)
+}
+
+_CANONICAL = r"""
+    regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '') ||
+    case when len(params) > 0 then '?' || array_to_string(params, '&') else '' end
+"""
+ORACLE_SQL: dict[str, str] = {
+    "op2_warc": """
+        with p as (select page_id, coalesce(html, '') as body from pages),
+        d as (select *, sha1(body) as hex, max(page_id) over (partition by body) as largest from p),
+        bits as (select *, list_reduce(list_transform(range(1, 41), lambda i: lpad(bin(('0x' || substr(hex, i, 1))::int), 4, '0')), lambda a, b: a || b) as b from d)
+        select page_id, octet_length(encode(body))::bigint as payload_bytes,
+            list_reduce(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+                16 * substr(b, 5 * i::int + 1, 1)::int + 8 * substr(b, 5 * i::int + 2, 1)::int + 4 * substr(b, 5 * i::int + 3, 1)::int + 2 * substr(b, 5 * i::int + 4, 1)::int + substr(b, 5 * i::int + 5, 1)::int), 1)), lambda a, b: a || b) as payload_digest,
+            case when page_id = largest then 'response' else 'revisit' end as record_type,
+            case when page_id = largest then null else largest end as refers_to
+        from bits
+    """,
+    "op4_url_filter": rf"""
+        with cut as (
+            select page_id, url, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages
+        ), parts as (
+            select page_id, url,
+                translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path,
+                list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '&'), lambda x: x <> '' and not
+                    (starts_with(x, 'utm_') or starts_with(x, 'ref=') or starts_with(x, 'fbclid=') or starts_with(x, 'gclid=')))) as params
+            from cut
+        ), keyed as (select *, {_CANONICAL} as key from parts),
+        listed as (select distinct key from keyed where contains(url, 'utm_source=') and key <> ''),
+        rules(host, path, verdict) as (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+        fit as (
+            select k.page_id, k.url, arg_max(r.host || r.path, length(r.host || r.path)) as rule, arg_max(r.verdict, length(r.host || r.path)) as verdict
+            from (select distinct page_id, url, host, path from keyed) k join rules r on (k.host = r.host or ends_with(k.host, '.' || r.host)) and starts_with(k.path, r.path)
+            group by all
+        )
+        select k.page_id, k.host, k.path, f.rule, coalesce(f.verdict, case when l.key is not null then 'block' else 'allow' end) as verdict
+        from keyed k left join fit f on k.page_id = f.page_id and k.url = f.url left join listed l on k.key = l.key
+    """,
+    "op5_ann": """
+        with v as (
+            select vec_id, embedding::double[] as x from embeddings
+            where embedding is not null and len(embedding) = 64 and len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0 and len(list_filter(embedding, lambda e: e <> 0)) > 0
+        ), pairs as (
+            select q.vec_id as query_id, c.vec_id, sqrt(list_reduce(list_transform(range(1, 65), lambda i: (c.x[i] - q.x[i]) * (c.x[i] - q.x[i])), lambda a, b: a + b)) as score
+            from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id
+        ), ranked as (select *, row_number() over (partition by query_id order by score, vec_id)::int as rank from pairs)
+        select query_id, rank, vec_id, score from ranked where rank <= 10
+    """,
+}
