@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html_extract, mixing, quality_rules, sentencepiece_tok, simhash, url_filter, warc
+from . import ann, html_extract, mixing, quality_rules, sentencepiece_tok, simhash, suffix_dedup, url_filter, warc
 from .common import table
 
 
@@ -36,6 +36,10 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sentencepiece_tok.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_tokens", "token_ids", "decodes", "parity")
@@ -47,7 +51,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_html_extract, op2_warc, op4_url_filter, op5_ann, op6_mix_sources, op7_simhash_near_dedup, op9_sentencepiece, op10_quality_rules)
+    for f in (op1_html_extract, op2_warc, op4_url_filter, op5_ann, op6_mix_sources, op7_simhash_near_dedup, op8_suffix_dedup, op9_sentencepiece, op10_quality_rules)
 }
 
 _CANONICAL = r"""
