@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html_extract, mixing, quality_rules, sentencepiece_tok, simhash, suffix_dedup, url_filter, warc
+from . import ann, html_extract, lm_scoring, mixing, quality_rules, sentencepiece_tok, simhash, suffix_dedup, url_filter, warc
 from .common import table
 
 
@@ -17,6 +17,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list: pages that were reached by a tracking link, so that their other spellings are found."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -51,7 +55,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_html_extract, op2_warc, op4_url_filter, op5_ann, op6_mix_sources, op7_simhash_near_dedup, op8_suffix_dedup, op9_sentencepiece, op10_quality_rules)
+    for f in (op1_html_extract, op2_warc, op3_lm_score, op4_url_filter, op5_ann, op6_mix_sources, op7_simhash_near_dedup, op8_suffix_dedup, op9_sentencepiece, op10_quality_rules)
 }
 
 _CANONICAL = r"""
