@@ -72,9 +72,9 @@ def interval_name(name: Column, frequent: int = 3) -> Column:
     return F.array_join(F.array_distinct(F.when(F.size(rare) > 0, rare).otherwise(words)), "-")
 
 
-def window_class(path: Column, start: Column, end: Column, same_od: Column) -> Column:
-    """pass: the path visits start before end. bypass: it doesn't, but serves the same origin and destination. none: neither."""
-    return F.when(visits_in_order(path, start, end), "pass").when(same_od, "bypass").otherwise("none")
+def window_class(path: Column, start: Column, end: Column, units: Column) -> Column:
+    """pass: the path visits start before end and any of the units. bypass: it visits start before end, but none of them. none: neither."""
+    return F.when(~visits_in_order(path, start, end), "none").when(F.arrays_overlap(path, units), "pass").otherwise("bypass")
 
 
 def pair_dedup(numbers: Sequence[int]) -> list[int]:
