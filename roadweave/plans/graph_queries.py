@@ -232,3 +232,13 @@ def q_fix_interval(spark, sf_dir):
     records = timed_trips(spark, sf_dir).select("trip_id", units.alias("path"), "times", F.lit("").alias("enid"), F.lit("").alias("exid"), "entime", F.col("entime").alias("extime"))
     found = repair.repair_intervals(records, e, "trip_id")
     return found.select("trip_id", paths.join_path(F.col("path")).alias("path"), F.size("times").alias("n_times"), F.size("changes").alias("n_changes"), "error")
+
+
+@query()
+def r1_path_repair(spark, sf_dir):
+    """Trips' distinct paths repaired on the nation graph, miles taken as metres."""
+    from ..operators.path_repair import repair_paths
+
+    records = trips(spark, sf_dir).where("enid <> exid").groupBy("enid", "exid", "path").agg(F.min("trip_id").alias("record_id"))
+    found = repair_paths(records, edges(spark, sf_dir), "record_id")
+    return found.withColumn("path", paths.join_path(F.col("path")))
