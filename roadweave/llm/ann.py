@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stored
+from .common import lean, stored
 
 #: Vectors that a task looks at in one step, and pairs it reranks in one step.
 ROWS, PAIRS = 2048, 1 << 16
@@ -126,7 +126,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec
             bits, length, own = coder.code(matrix(batch["x"], dim))
             yield pa.RecordBatch.from_arrays([batch["id"], batch["x"], batch["asks"], pa.array([x.tobytes() for x in bits], pa.binary()), pa.array(length), pa.array(own)], names=["id", "x", "asks", "bits", "length", "own"])
 
-    index = stored(rows.mapInArrow(encode, "id bigint, x array<double>, asks boolean, bits binary, length double, own double"), "ann-index")
+    index = stored(rows.mapInArrow(lean(encode), "id bigint, x array<double>, asks boolean, bits binary, length double, own double"), "ann-index")
     asking = index.where("asks").select("id", "x").distinct()
     blocks = -(-asking.count() // settings.query_block)
     found = []
@@ -141,7 +141,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec
             other = ask_id[q] != known_id[c]
             best.add(q[other], known_id[c[other]], distances(known[c[other]], ask[q[other]]))
         shared = spark.sparkContext.broadcast((ask_id, ask, coder.rotated(ask), best.limit))
-        found.append(stored(index.select("id", "x", "bits", "length", "own").mapInArrow(lambda batches, shared=shared: _scan(batches, shared.value, coder, k, settings.epsilon), out), "ann-found"))
+        found.append(stored(index.select("id", "x", "bits", "length", "own").mapInArrow(lean(lambda batches, shared=shared: _scan(batches, shared.value, coder, k, settings.epsilon)), out), "ann-found"))
     if not found:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     every = found[0]

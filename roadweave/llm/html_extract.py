@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import lean, slices
 
 # Element names of HTML and the words that sites use to name regions.
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -199,4 +199,4 @@ def extract_text(pages: DataFrame, html: str = "html", out: str = "text") -> Dat
                 texts = [main_text(x) for x in part[html].to_pylist()]
                 yield pa.RecordBatch.from_arrays([*(part[c] for c in rest), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=[*rest, out, "n_chars"])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(lean(run), schema)

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, split_words
+from .common import lean, slices, split_words
 
 SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\x0b\x0c\r"
@@ -142,4 +142,4 @@ def judge_quality(docs: DataFrame, text: str = "text", bands: CompressionBands =
                 kinds = {"bigint": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}
                 yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(found[k], kinds[v]) for k, v in ADDED.items())], names=[*part.schema.names, *names])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(lean(run), schema)

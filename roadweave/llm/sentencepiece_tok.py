@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_process, slices
+from .common import lean, per_process, slices
 
 MARK = "▁"
 #: Piece types and model types of the format. Fixed values.
@@ -237,7 +237,7 @@ def encoded(docs: DataFrame, text: str = "text", model: str = DEFAULT_MODEL, thr
                 offsets = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([*(part[c] for c in rest), pa.ListArray.from_arrays(offsets, pa.array(ids)), pa.array(n), pa.array(back), pa.array(same)], names=[*rest, *added])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(lean(run), schema)
 
 
 def decoded(tokens: DataFrame, ids: str = "token_ids", out: str = "text", model: str = DEFAULT_MODEL) -> DataFrame:
@@ -259,4 +259,4 @@ def decoded(tokens: DataFrame, ids: str = "token_ids", out: str = "text", model:
                 texts = [None if x is None else y[cut:] if y.startswith(" ") else y for x, y in zip(lists, texts, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*rest, out])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(lean(run), schema)

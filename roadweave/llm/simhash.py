@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored
+from .common import lean, slices, stored
 from .components import components
 
 SEED = 42
@@ -71,7 +71,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", shingle: int = 3, out:
                 found = fingerprints([shingle_hashes(x, shingle) for x in part[text].to_pylist()])
                 yield pa.RecordBatch.from_arrays([*(part[c] for c in rest), pa.array(found.view(np.int64))], names=[*rest, out])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(lean(run), schema)
 
 
 def segments(m: int) -> list[int]:
@@ -218,7 +218,7 @@ def links(distinct: DataFrame, k: int = 2, hot_key: int = HOT_KEY) -> DataFrame:
         dealt = marked.where("hot is null").select("simhash", "part", "bits")
         for x in again:
             dealt = dealt.unionByName(x)
-    return dealt.repartition("part", "bits").sortWithinPartitions("part", "bits").mapInArrow(lambda batches: _linked(batches, k), "u bigint, v bigint")
+    return dealt.repartition("part", "bits").sortWithinPartitions("part", "bits").mapInArrow(lean(lambda batches: _linked(batches, k)), "u bigint, v bigint")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, k: int = 2) -> DataFrame:

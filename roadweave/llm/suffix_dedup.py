@@ -25,13 +25,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, slices, stored
+from .common import lean, mix64, slices, stored
 
 LENGTH, GRAM = 200, 32
 #: Pieces whose columns one step inside a task holds together, about.
 PIECES = 8192
-#: Occurrences of an anchor hash beyond which its windows are counted one by one, by aggregates.
-HOT_ANCHOR = 10_000
+#: Occurrences of an anchor hash that may meet in one task, about 40 MB of pieces; beyond, windows are counted one by one, by aggregates.
+HOT_ANCHOR = 100_000
 
 
 def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
@@ -168,7 +168,7 @@ def _anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
                         to.append(x)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["kid", "key", "hash", "place"])
 
-    return docs.mapInArrow(run, "kid bigint, key bigint, hash bigint, place bigint")
+    return docs.mapInArrow(lean(run), "kid bigint, key bigint, hash bigint, place bigint")
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -182,7 +182,7 @@ def _packed(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(part[c] for c in part.schema.names if c != "text"), pa.array(data, pa.binary())], names=[*(c for c in part.schema.names if c != "text"), "packed"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"), "packed binary"])
-    return docs.select(*(c for c in docs.columns if c != "text"), "text").mapInArrow(run, schema)
+    return docs.select(*(c for c in docs.columns if c != "text"), "text").mapInArrow(lean(run), schema)
 
 
 PIECE = "kid bigint, key bigint, hash bigint, hot boolean, first bigint, at bigint, piece binary"
@@ -267,11 +267,11 @@ def _hot_spans(pieces: DataFrame, length: int) -> DataFrame:
             both = [_digest(x, y) for x, y in zip(batch["piece"].to_pylist(), batch["at"].to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("kid", "key", "first", "at", "piece")), *(pa.array([x[i] for x in both], pa.int64()) for i in range(2))], names=["kid", "key", "first", "at", "piece", "same", "also"])
 
-    named = stored(pieces.mapInArrow(digests, "kid bigint, key bigint, first bigint, at bigint, piece binary, same bigint, also bigint"), "suffix-hot")
+    named = stored(pieces.mapInArrow(lean(digests), "kid bigint, key bigint, first bigint, at bigint, piece binary, same bigint, also bigint"), "suffix-hot")
     distinct = named.groupBy("same", "also").agg(F.count("*").alias("n"), F.first("at").alias("at"), F.first("piece").alias("piece"))
     distinct = stored(distinct, "suffix-hot-distinct")
     whole = distinct.where("n > 1").select("same", "also", F.lit(0).cast("bigint").alias("begin"), (F.octet_length("piece") - length).cast("bigint").alias("end"))
-    each = distinct.mapInArrow(lambda batches: _each_window(batches, length), "same bigint, also bigint, t bigint, w1 bigint, w2 bigint")
+    each = distinct.mapInArrow(lean(lambda batches: _each_window(batches, length)), "same bigint, also bigint, t bigint, w1 bigint, w2 bigint")
     again = each.groupBy("w1", "w2").count().where("count > 1").select("w1", "w2")
     marks = whole.unionByName(each.join(again, ["w1", "w2"], "left_semi").select("same", "also", F.col("t").alias("begin"), F.col("t").alias("end")))
     marks = marks.groupBy("same", "also").agg(F.collect_set(F.struct("begin", "end")).alias("marks"))
@@ -284,9 +284,9 @@ def repeated_spans(docs: DataFrame, packed: DataFrame, length: int = LENGTH, gra
     found = stored(_anchor_rows(docs.select("kid", "key", "text"), length, gram), "suffix-anchors")
     twice = stored(found.groupBy("hash").count().where("count > 1").select("hash", (F.col("count") > hot_anchor).alias("hot")), "suffix-twice")
     mine = found.join(twice, "hash").groupBy("kid", "key").agg(F.collect_set(F.struct("place", "hot")).alias("anchors"))
-    pieces = packed.join(mine, ["kid", "key"]).select("kid", "key", "packed", "anchors").mapInArrow(lambda batches: _pieces(batches, length, gram), PIECE)
+    pieces = packed.join(mine, ["kid", "key"]).select("kid", "key", "packed", "anchors").mapInArrow(lean(lambda batches: _pieces(batches, length, gram)), PIECE)
     cool = pieces.where("not hot").select("hash", "kid", "key", "first", "at", "piece").repartition("hash").sortWithinPartitions("hash")
-    spans = cool.mapInArrow(lambda batches: _columns(batches, length), "kid bigint, key bigint, begin bigint, end bigint")
+    spans = cool.mapInArrow(lean(lambda batches: _columns(batches, length)), "kid bigint, key bigint, begin bigint, end bigint")
     if not twice.where("hot").isEmpty():
         spans = spans.unionByName(_hot_spans(pieces.where("hot"), length))
     return spans.groupBy("kid", "key").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
@@ -341,4 +341,4 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                         to.append(x)
                 yield pa.RecordBatch.from_arrays([*(part[x] for x in hidden.values()), *([pa.array(texts, pa.string())] if keep_text else []), *(pa.array(x, k) for x, k in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True))], names=names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_path, slices, stored
+from .common import lean, new_path, slices, stored
 
 #: Numbers of the seekable format. Fixed values.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -158,7 +158,7 @@ def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url: s
             yield closed()
 
     INDEX = pa.schema([("record_id", pa.int64()), ("bundle", pa.string()), ("frame", pa.int64()), ("frame_at", pa.int64()), ("record_at", pa.int64()), ("record_bytes", pa.int64())])
-    return stored(kinds.mapInArrow(run, "record_id bigint, bundle string, frame bigint, frame_at bigint, record_at bigint, record_bytes bigint"), "warc-index")
+    return stored(kinds.mapInArrow(lean(run), "record_id bigint, bundle string, frame bigint, frame_at bigint, record_at bigint, record_bytes bigint"), "warc-index")
 
 
 def read_archive(index: DataFrame, folder: str) -> DataFrame:
@@ -192,7 +192,7 @@ def read_archive(index: DataFrame, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(out, schema=ROW)
 
     ROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
-    return frames.mapInArrow(run, "page_id bigint, url string, payload binary, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
+    return frames.mapInArrow(lean(run), "page_id bigint, url string, payload binary, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
 
 
 def round_trip(pages: DataFrame, **settings) -> DataFrame:

@@ -135,3 +135,11 @@ def test_repair_status(spark, confidence, status):
 def test_same_period_and_turns(spark):
     row = spark.range(1).select(measures.same_period(F.to_date(F.lit("2024-02-29"))).cast("string"), measures.angle_between(F.lit(350.0), F.lit(10.0)), F.round(measures.bearing(F.lit(0.0), F.lit(0.0), F.lit(1.0), F.lit(0.0)), 6)).first()
     assert list(row) == ["2023-02-28", 20.0, 90.0]
+
+
+def test_dates(spark):
+    from roadweave.functions import dates
+
+    day = F.to_date(F.lit("2026-03-15"))
+    row = spark.sql("select '46096' as month_text").select(dates.week_range(day)[0].cast("string"), dates.month_list(day, F.to_date(F.lit("2026-05-01"))), dates.business_days(day, F.to_date(F.lit("2026-03-22"))), F.size(dates.batches(day, F.to_date(F.lit("2026-03-22")), 3)), dates.topology_version(day), dates.month_key(F.lit("2027/1/1")), dates.month_key(F.col("month_text"))).first()
+    assert list(row) == ["2026-03-09", ["202603", "202604", "202605"], 5, 3, "202512", "2027-01", "2026-03"]
