@@ -29,10 +29,10 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-SLICE = 8 << 20
+SLICE = 2 << 20
 ENCODE_AT_ONCE = 20_000
-#: Distinct chunks that a Python worker remembers, about 150 MB.
-MEMO_CHUNKS = 1_000_000
+#: Distinct chunks that a Python worker remembers, about 150 MB with what the two libraries hold.
+MEMO_CHUNKS = 250_000
 
 
 def _fields(data: bytes):
@@ -103,7 +103,7 @@ class SentencePieceModel:
         found = [(-score, i, ids[text[:k]], ids[text[k:]]) for i, (text, score, kind) in enumerate(self.pieces) if kind == NORMAL for k in range(1, len(text)) if text[:k] in ids and text[k:] in ids]
         return [(self.pieces[a][0], self.pieces[b][0]) for _, _, a, b in sorted(found)]
 
-    def tokenizer(self, cache: int = 200_000):
+    def tokenizer(self, cache: int = 10_000):
         """A tokenizer of single chunks: markers are in place already, and nothing is added."""
         from tokenizers import Tokenizer, decoders, models, normalizers
 
