@@ -45,6 +45,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Removes the files behind a table that `stored` wrote and nothing will read again."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def per_process(key, make):
     """What `make` returns, made once in a Python worker: Spark gives a worker many tasks in turn."""
     held = sys.__dict__.setdefault("_roadweave_held", {})

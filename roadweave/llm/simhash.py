@@ -139,17 +139,24 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
 
 
 class GrayIndex:
-    """Nodes over fingerprints in Gray order within each run (rows of one key). Level 0 is the rows; FAN nodes make one of the next."""
+    """Nodes over fingerprints in Gray order within each run (rows of one key). Level 0 is the rows; FAN nodes make one of the next.
 
-    def __init__(self, run: np.ndarray, x: np.ndarray):
+    label: components of the rows, if pairs inside one aren't wanted; a node knows its smallest and largest.
+    """
+
+    def __init__(self, run: np.ndarray, x: np.ndarray, label: np.ndarray | None = None):
         full = np.uint64((1 << 64) - 1)
         self.levels = [(x, np.full(len(x), full), run, run)]
+        self.labels = None if label is None else [(label, label)]
         while len(self.levels[-1][0]) > FAN:
             pattern, mask, first, last = self.levels[-1]
             at = np.arange(0, len(pattern), FAN)
             every, some = np.bitwise_and.reduceat(pattern, at), np.bitwise_or.reduceat(pattern, at)
             shared = np.bitwise_and.reduceat(mask, at) & ~(every ^ some)
             self.levels.append((every & shared, shared, first[at], np.maximum.reduceat(last, at)))
+            if self.labels:
+                low, high = self.labels[-1]
+                self.labels.append((np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)))
 
     def links(self, k: int):
         """Blocks of pairs of rows (a < b) of one run that differ in at most k bits: every such pair once."""
@@ -164,6 +171,9 @@ class GrayIndex:
                 continue
             pattern, mask, first, last = self.levels[level]
             near = (first[b] <= last[a]) & (first[a] <= last[b]) & (np.bitwise_count((pattern[a] ^ pattern[b]) & mask[a] & mask[b]) <= k)
+            if self.labels:
+                low, high = self.labels[level]
+                near &= (low[a] != high[b]) | (high[a] != low[b])  # all four equal: one component
             a, b = a[near], b[near]
             if level == 0:
                 apart = a != b

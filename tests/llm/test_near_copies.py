@@ -59,5 +59,28 @@ def test_families_and_hot_keys(spark):
                 label = [low if x == high else x for x in label]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     for hot in (simhash.HOT_KEY, 6):
-        found = {r["doc_id"]: r["component"] for r in near_copies.near_copy_components(docs, hot_key=hot).collect()}
+        found = {r["doc_id"]: r["component"] for r in near_copies.near_copy_components(docs, deal=near_copies.Deal(hot_key=hot)).collect()}
         assert found == dict(enumerate(label))
+
+
+def test_one_row_of_each_component_stays(spark):
+    rng = random.Random(9)
+    a, b, c = (" ".join(f"{x}{rng.randrange(4000)}" for _ in range(60)) for x in "abc")
+    rows = [(1, a, "x"), (1, a, "y"), (2, a, "x"), (2, b, "x"), (3, c, "x"), (None, c, "x"), (None, None, "x"), (None, "", "y")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, label string")
+    kept = near_copies.keep_one_of_near_copies(docs)
+    assert kept.columns == docs.columns
+    found = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert sorted(x for x in found if x[0]) == sorted([(1, a), (2, b), (3, c)]) and len(found) == 4
+    assert near_copies.keep_one_of_near_copies(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("bits", [12, 16, 20])
+def test_keys_hold_recall_as_they_grow(bits):
+    rng = np.random.default_rng(1)
+    deal = near_copies.Deal()
+    n = 4000
+    words = rng.integers(0, 1 << 63, (4, n)).astype(np.uint64)
+    flips = np.packbits((rng.random((4 * n, 64)) < deal.differ).astype(np.uint8), axis=1).view(np.uint64).ravel().reshape(4, n)
+    x, y = (near_copies.keys_of(list(w), bits, deal.keys(bits)) for w in (words, words ^ flips))
+    assert (x == y).any(axis=1).mean() >= 0.99
