@@ -27,6 +27,8 @@ from .common import lean, new_path, slices, stored
 #: Numbers of the seekable format. Fixed values.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 FRAME_BYTES, BUNDLE_BYTES = 1 << 20, 256 << 20
+#: Bits of the bitmap of repeated payloads, and frames that a task reads, at most.
+MOST_BITS, TASK_FRAMES = 1 << 25, 64
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = b"\r\n"
 
@@ -39,11 +41,11 @@ def line_safe(text: str) -> str:
     return text.replace("\r", "%0D").replace("\n", "%0A")
 
 
-def record(name: str, url: str | None, payload: bytes, kind: str, refers_to: str | None, date: str) -> bytes:
-    """One WARC record: an HTTP response with the payload, or a revisit with its head alone."""
+def record(name: str, url: str | None, payload: bytes, digest: str, kind: str, refers_to: str | None, date: str) -> bytes:
+    """One WARC record: an HTTP response with the payload, or a revisit with its head alone. digest: the payload's SHA-1 in base32."""
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = head + (payload if kind == "response" else b"")
-    fields = [("WARC-Type", kind), ("WARC-Record-ID", f"<{name}>"), ("WARC-Date", date), ("WARC-Payload-Digest", f"sha1:{payload_digest(payload)}")]
+    fields = [("WARC-Type", kind), ("WARC-Record-ID", f"<{name}>"), ("WARC-Date", date), ("WARC-Payload-Digest", f"sha1:{digest}")]
     fields += [("WARC-Target-URI", line_safe(url))] if url is not None else []
     fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<{refers_to}>")] if kind == "revisit" else []
     fields += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
@@ -121,13 +123,23 @@ def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url: s
     id (several only if rows repeat) are responses and the rest revisits of it; rows without an id revisit it too, and are
     responses if no such row has an id. Payloads count as equal if their SHA-1 and length are. No rows: no bundle.
 
-    The largest id of each payload is aggregated before it is shuffled, and the join back is one that adaptive execution
-    splits, so that one payload may have any share of the rows.
+    Which payloads occur twice is found over their digests. A bitmap of those, bounded in size, goes to every task: rows that it
+    doesn't have are written where they were read, the others meet their payload's largest id in a join that adaptive
+    execution splits, so that one payload may have any share of the rows.
     """
     data = F.coalesce(F.col(f"`{payload}`"), F.lit(""))
     rows = pages.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{url}`").alias("url"), data.alias("payload"), F.sha1(F.encode(data, "UTF-8")).alias("digest"), F.octet_length(data).cast("bigint").alias("size"))
-    largest = rows.groupBy("digest", "size").agg(F.max("id").alias("largest"))
-    kinds = rows.join(largest, ["digest", "size"]).select("id", "url", "payload", F.when((F.col("id") == F.col("largest")) | F.col("largest").isNull() | (F.col("size") < least_bytes), None).otherwise(F.col("largest")).alias("refers_to"))
+    repeated = rows.select("id", "digest", "size").groupBy("digest", "size").agg(F.max("id").alias("largest"), F.count("*").alias("n"))
+    repeated = stored(repeated.where((F.col("n") > 1) & F.col("largest").isNotNull() & (F.col("size") >= least_bytes)).select("digest", "size", "largest"), "warc-repeated")
+    bits = min(MOST_BITS, 1 << max(10, (16 * repeated.count()).bit_length()))
+    place = F.pmod(F.xxhash64("digest"), F.lit(bits))
+    word, bit = F.floor(place / 63).cast("bigint").alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 63).cast("int"))
+    bitmap = repeated.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    # at most MOST_BITS / 63 rows of 16 bytes
+    marked = rows.withColumn("word", word).join(F.broadcast(bitmap), "word", "left").withColumn("maybe", F.coalesce(F.col("bits").bitwiseAND(bit) != 0, F.lit(False))).drop("word", "bits")
+    met = marked.where("maybe").drop("maybe").join(repeated, ["digest", "size"], "left")
+    kinds = met.select("id", "url", "payload", "digest", F.when(F.col("id") == F.col("largest"), None).otherwise(F.col("largest")).alias("refers_to"))
+    kinds = kinds.unionByName(marked.where("not maybe").select("id", "url", "payload", "digest", F.lit(None).cast("bigint").alias("refers_to")))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -149,7 +161,8 @@ def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url: s
                         name = f"{uuid.uuid4().hex}.warc.zst"
                         bundle = Bundle(files.open_output_stream(f"{base}/{name}", compression=None))
                     to = row["refers_to"]
-                    made = record(f"urn:page:{row['id']}", row["url"], row["payload"].encode("utf-8", "surrogatepass"), "response" if to is None else "revisit", None if to is None else f"urn:page:{to}", date)
+                    digest = base64.b32encode(bytes.fromhex(row["digest"])).decode()
+                    made = record(f"urn:page:{row['id']}", row["url"], row["payload"].encode("utf-8", "surrogatepass"), digest, "response" if to is None else "revisit", None if to is None else f"urn:page:{to}", date)
                     frame, frame_at, at = bundle.add(made)
                     index.append({"record_id": row["id"], "bundle": name, "frame": frame, "frame_at": frame_at, "record_at": at, "record_bytes": len(made)})
                     if bundle.written >= BUNDLE_BYTES:
@@ -165,8 +178,11 @@ def read_archive(index: DataFrame, folder: str) -> DataFrame:
     """The records that index names, from the bundles: page_id, url, payload (null for a revisit), payload_bytes, payload_digest, record_type, refers_to.
 
     A frame is read once, however many of its records are asked for. The payload of a response is held against its digest.
+    The index is small beside what it names, so the number of tasks follows from the number of frames.
     """
-    frames = index.groupBy("bundle", "frame", "frame_at").agg(F.sort_array(F.collect_list("record_at")).alias("places"))
+    n = index.select("bundle", "frame").distinct().count()
+    tasks = max(1, -(-n // TASK_FRAMES), min(n, 2 * index.sparkSession.sparkContext.defaultParallelism))
+    frames = index.repartition(tasks, "bundle", "frame").groupBy("bundle", "frame", "frame_at").agg(F.sort_array(F.collect_list("record_at")).alias("places"))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
