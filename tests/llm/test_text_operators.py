@@ -61,15 +61,74 @@ def test_quality_counts_match_a_plain_version(docs):
         assert not (r["base_failed"] and r["kept"])
 
 
-def test_quality_bands_reject_loops_and_noise(spark):
+def prose(rng, n):
+    """Words of a language of some thousand, frequent ones first, as compressible as any."""
+    return " ".join(f"{'abcdefghij'[k % 10]}{'aeiou'[k % 5]}{k % 397:x}" for k in (int(3000 * rng.random() ** 3) for _ in range(n)))
+
+
+def test_quality_bands_reject_planted_loops_and_noise_and_keep_prose(spark):
     rng = random.Random(5)
-    noise = " ".join("".join(chr(rng.randrange(0x100, 0x2000)) for _ in range(12)) for _ in range(200))
-    loop = "\n".join(f"{i % 7} the same old line again and again, number {i % 7}" for i in range(900))
-    good = words_text(rng, 400, 5000)
-    found = {r["doc_id"]: r for r in quality_rules.judge_quality(spark.createDataFrame([(1, noise), (2, loop), (3, good)], "doc_id bigint, text string")).collect()}
-    assert found[3]["kept"] and not found[2]["kept"]
-    bands = quality_rules.CompressionBands(bands=((0, 1.9, 3.0),))
-    assert not quality_rules.compression(bands, __import__("zstandard").ZstdCompressor(), noise.encode())[3]
+    sizes = [int(80 * 1.022 ** (i % 200)) for i in range(1200)]
+    good = [prose(rng, n) for n in sizes]
+    bad = []
+    for i in range(120):
+        n = int(150 * 1.04 ** (i % 80))
+        share = 0.2 + 0.2 * (i % 5) / 4
+        words = prose(rng, n).split(" ")
+        junk = int(n * share)
+        if i % 2:
+            line = prose(rng, 9).split(" ")
+            part = (line * (junk // 9 + 1))[:junk]
+        else:
+            part = ["".join(chr(rng.randrange(0x100, 0x2000)) for _ in range(4)) for _ in range(junk)]
+        at = rng.randrange(n - junk)
+        bad.append(" ".join([*words[:at], *part, *words[at + junk :]]))
+    table = spark.createDataFrame(list(enumerate(good + bad)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in quality_rules.judge_quality(table).collect()}
+    judged = [found[i] for i in range(len(good)) if not found[i]["base_failed"]]
+    assert len(judged) > 1000 and sum(r["kept"] for r in judged) >= 0.97 * len(judged)
+    planted = [found[len(good) + i] for i in range(len(bad))]
+    assert sum(not r["base_failed"] for r in planted) > 100  # the bands have to tell
+    assert sum(not r["kept"] for r in planted) >= 0.97 * len(planted)
+
+
+def test_quality_verdict_matches_a_plain_version(spark):
+    """Medians and quartiles by length over different texts, and the verdict, without arrays."""
+    import xxhash as xx
+    import zstandard
+
+    rng = random.Random(7)
+    texts = [prose(rng, int(60 * 1.03 ** (i % 150))) for i in range(500)] + ["#$% " * 90 + prose(rng, 300)] * 3 + [prose(rng, 100)] * 200
+    bands = quality_rules.CompressionBands(chunk_bytes=1500)
+    packer = zstandard.ZstdCompressor(level=3)
+    found = {r["doc_id"]: r for r in quality_rules.judge_quality(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), bands=bands).collect()}
+    log = lambda x: math.log(len(x) / len(packer.compress(x)))
+    step = lambda x: int(bands.steps * math.log2(len(x)))
+    parts = lambda x: [x[i : i + 1500] for i in range(0, len(x), 1500)] if len(x) > 1500 else []
+    data = [t.encode() for t in texts]
+    seen: tuple[dict, dict] = ({}, {})
+    for i, x in enumerate(data):
+        if not found[i]["base_failed"]:
+            for k, y in [(0, x), *((1, p) for p in parts(x))]:
+                if len(y) >= 200:
+                    seen[k][xx.xxh64_intdigest(y)] = (step(y), round(256 * log(y)))
+
+    def out(kind, x):
+        if len(x) < 200:
+            return False
+        near = sorted(b for s, b in seen[kind].values() if abs(s - step(x)) <= 1)
+        if len(near) < 50:
+            low, high = [(a, b) for n, a, b in bands.outer if 2 ** (step(x) / 4) >= n][-1:][0] if 2 ** (step(x) / 4) >= 200 else bands.outer[0][1:]
+            return not math.log(low) <= log(x) <= math.log(high)
+        q = lambda p: near[math.ceil(p * len(near)) - 1] / 256
+        half = (3.5, 5.0)[kind] * max(0.03, (q(0.75) - q(0.25)) / 1.349)
+        return not q(0.5) - half <= log(x) <= q(0.5) + half
+
+    for i, x in enumerate(data):
+        bad = sum(out(1, p) for p in parts(x))
+        kept = not (found[i]["base_failed"] or out(0, x) or (bad and bad >= 0.2 * len(parts(x))))
+        assert found[i]["kept"] == kept, i
+    assert any(not r["kept"] and not r["base_failed"] for r in found.values())
 
 
 def test_quality_replaces_clashing_columns_and_takes_empty_tables(docs, nothing):
