@@ -5,6 +5,7 @@ import collections
 import hashlib
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -15,6 +16,9 @@ from roadweave.llm.common import new_path
 PAGE = "page_id bigint, url string, html string"
 
 
+LONG = "A first sentence, with marks and some length. And another one; it goes on, a bit."
+
+
 @pytest.mark.parametrize(
     ("html", "text"),
     [
@@ -28,12 +32,65 @@ PAGE = "page_id bigint, url string, html string"
         ('<div id=w><div class="content"><h2>Head</h2><p>Body text, here it is; yes.</p><ul><li>one<li>two</ul></div><div class="comments"><p>Great, great post, really!</p></div></div>', "Head\nBody text, here it is; yes.\none\ntwo"),
         ("<p>a < b and <b unclosed", "a < b and <b unclosed"),
         ("<nav><p>only a menu</p></nav>", ""),
+        (f'<div class="social-policy"><h1>T</h1><p>{LONG}</p></div>', f"T\n{LONG}"),
+        (f'<article id="commentary"><h1>T</h1><p>{LONG}</p></article>', f"T\n{LONG}"),
+        (f"<article><p>{LONG}</p><ul><li><a href=x>First source</a></li><li><a href=y>Second</a></li></ul></article>", f"{LONG}\nFirst source\nSecond"),
+        (f'<main><div class="x1">Home News Contact Login</div><p>{LONG}</p></main>', LONG),
+        (f"<article><h1>T</h1><p>lead</p><div class=body><p>{LONG}</p><p>{LONG}</p></div><p>end</p></article>", f"T\nlead\n{LONG}\n{LONG}\nend"),
+        (f"<div id=a><div class=s>{f'<p>{LONG}</p>' * 5}</div><div class=t><p>{LONG}</p></div></div><footer>x</footer>", "\n".join([LONG] * 6)),
+        (f'<div class="content has-sidebar"><p>{LONG}</p></div>', LONG),
+        (f'<article class="post comments-open"><p>{LONG}</p><div class="ad">Buy now, cheap things.</div><p>{LONG}</p><section id="comments"><p>I do agree, really. Great post, thanks!</p></section></article>', f"{LONG}\n{LONG}"),
     ],
 )
 def test_main_text(html, text):
     assert html_extract.main_text(html) == text
 
 
+def some_pages():
+    rng = random.Random(3)
+    words = lambda n: " ".join(rng.choice(["alpha", "beta,", "gamma", "delta.", "eps"]) for _ in range(n))
+    for _ in range(40):
+        body = "".join(f"<p>{words(rng.randrange(3, 60))}</p>" if rng.random() < 0.7 else f"<h2>{words(3)}</h2>" for _ in range(rng.randrange(3, 12)))
+        yield f'<body><div class="top">{words(4)}</div><ul><li><a href=x>{words(2)}</a><li><a>{words(1)}</a></ul><div class="m{rng.randrange(3)}"><div>{body}<blockquote><p>{words(9)}</p></blockquote></div></div><div class="comments"><p>{words(12)}</p></div></body>'
+
+
+def test_path_scores_match_a_plain_version():
+    for html in some_pages():
+        blocks, _ = html_extract.blocks_of(html)
+        paths = [b.element.path for b in blocks]
+        value = {}
+        for p in set(paths):
+            own = [b for b in blocks if b.element.path == p]
+            length = sum(len(b.text) - b.linked for b in own) / len(own)
+            marks = sum(sum(b.text.count(c) for c in html_extract.PUNCTUATION) for b in own if b.linked < len(b.text)) / len(own)
+            value[p] = math.log(1 + length) * (1 + math.log(1 + marks))
+        weight = [math.exp(-0.5 * k * k) for k in range(-2, 3)]
+        smooth = [sum(w * value[paths[min(len(paths) - 1, max(0, i + k))]] for w, k in zip(weight, range(-2, 3))) / sum(weight) for i in range(len(paths))]
+        for score, b in zip(html_extract.path_scores(blocks).tolist(), blocks):
+            own = [s for s, p in zip(smooth, paths) if p == b.element.path]
+            assert math.isclose(score, sum(own) / len(own) * (0.1 if b.element.damped else 1), rel_tol=1e-9)
+
+
+def test_paths_decide(monkeypatch):
+    pages = list(some_pages())
+    texts = [html_extract.main_text(x) for x in pages]
+    assert all(x and "\n" in x for x in texts)
+    rng = np.random.default_rng(1)
+    monkeypatch.setattr(html_extract, "path_scores", lambda blocks, *_: rng.random(len(blocks)))
+    assert sum(html_extract.main_text(x) != y for x, y in zip(pages, texts)) > 0.5 * len(pages)
+
+
+@pytest.mark.parametrize("part", ["<div>x, y", "<script ", '<a "x ', '<a x="y> ', "<p>one, two", "<section></div>", "< "])
+def test_time_is_linear_in_broken_pages(part):
+    def took(n):
+        began = time.process_time()
+        html_extract.main_text(part * n)
+        return time.process_time() - began
+
+    took(1000)
+    assert took(64_000) < 16 * max(0.05, took(8_000))
+
+
 def test_extract_text_on_frames(spark):
     pages = spark.createDataFrame([(1, "u", "<p>hé  llo</p>"), (1, "u", "<p>hé  llo</p>"), (2, None, None), (None, "v", "x" * 200_000)], PAGE).withColumn("text", F.lit("old"))
     rows = html_extract.extract_text(pages).collect()
