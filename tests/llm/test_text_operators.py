@@ -322,9 +322,11 @@ def test_pivot_keeps_mass_and_decides_all_but_one():
     assert np.abs(mean - 0.37).max() < 0.05
 
 
-@pytest.mark.parametrize("frequent", [1 << 20, 200])
-def test_lm_scores_match_a_plain_version(docs, nothing, frequent):
-    rows = lm_scoring.score_documents(docs, frequent=frequent, range_rows=1500).collect()
+@pytest.mark.parametrize(("frequent", "hot", "step"), [(1 << 20, 1 << 16, 1 << 20), (200, 300, 500), (1, 1, 50)])
+def test_lm_scores_match_a_plain_version(docs, nothing, monkeypatch, frequent, hot, step):
+    """frequent, hot and step change how counts travel: all words, some and none by broadcast; the scores are the same."""
+    monkeypatch.setattr(lm_scoring, "STEP_ROWS", step)
+    rows = lm_scoring.score_documents(docs, frequent=frequent, hot=hot, range_rows=1500).collect()
     data = [(i, [*(t or "").encode().lower().split(), b""]) for i, t, *_ in corpus()]
     fold = lambda i: None if i is None else zlib.crc32(str(i).encode()) % 7
     word, pair, fit_word, fit_pair, tune = (collections.Counter() for _ in range(5))
@@ -340,18 +342,17 @@ def test_lm_scores_match_a_plain_version(docs, nothing, frequent):
             fit_word.update(w)
             fit_pair.update(pairs)
     n, v, n_fit = sum(word.values()), len(word), sum(fit_word.values())
-    often = {w for w in word if word[w] * frequent >= n}
     cell = collections.Counter()
     level, bucket = lambda p: int(lm_scoring._level(np.array([p]))[0]), lambda c: int(lm_scoring.bucket(np.array([c]))[0])
     for (a, b), k in tune.items():
-        context, p2 = (word[a], fit_pair[a, b] / max(1, fit_word[a])) if a in often else (0, 0)
+        context, p2 = word[a], fit_pair[a, b] / max(1, fit_word[a])
         cell[(bucket(context) * lm_scoring.LEVELS + level(p2)) * lm_scoring.LEVELS + level(fit_word[b] / n_fit)] += k
     mix = lm_scoring.weights(np.array(list(cell)), np.array(list(cell.values())), 1 / (v + 1))
     expected = collections.Counter()
     for i, w in data:
         score = 0.0
         for a, b in zip([b"", *w], w):
-            context = word[a] if a in often else 0
+            context = word[a]
             m = mix[bucket(context)]
             score += math.log10(m[0] * (pair[a, b] / context if context else 0) + m[1] * word[b] / n + m[2] / (v + 1))
         expected[i, fold(i) == 2, len(w), sum(word[x] > 0 for x in w), n, round(sum(math.log10((word[x] + 1) / (n + v + 1)) for x in w), 5), round(score, 5)] += 1
