@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that one step inside a task works on at a time.
 SLICE_BYTES = 2 << 20
@@ -53,6 +54,23 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bits of a bitmap, at most: 532,610 rows when it is broadcast.
+MOST_BITS = 1 << 25
+
+
+def maybe_in(df: DataFrame, column: str, table: DataFrame, out: str = "maybe") -> DataFrame:
+    """df with `out`: false if table's column of that name surely lacks the row's value. JVM only, and no shuffle of df.
+
+    The values' hashes are marked in a bitmap of 16 bits a value, MOST_BITS at most, which is broadcast: with very many values it
+    tells less and less, but is never wrong.
+    """
+    bits = min(MOST_BITS, 1 << max(10, (16 * table.count()).bit_length()))
+    place = F.pmod(F.xxhash64(column), F.lit(bits))
+    word, bit = F.floor(place / 63).cast("bigint"), F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 63).cast("int"))
+    bitmap = table.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    return df.withColumn("_word", word).join(F.broadcast(bitmap), "_word", "left").withColumn(out, F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False))).drop("_word", "_bits")
+
+
 def per_process(key, make):
     """What `make` returns, made once in a Python worker: Spark gives a worker many tasks in turn."""
     held = sys.__dict__.setdefault("_roadweave_held", {})

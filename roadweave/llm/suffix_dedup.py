@@ -10,8 +10,11 @@ of all of them. So pieces are cut where equal strings must agree. Of the hashes
 `length` bytes picks the smallest, leftmost one, its anchor. Equal windows have equal anchors at equal distances, so a piece
 is what the windows of one anchor cover (at most 2 * length bytes), pieces of equal anchor hashes are one small collection
 with their anchors in one column, and the rounds are at most 2 * length. Which anchors occur twice is found by
-aggregates over 16-byte rows; text is dealt out only for those. Equal pieces are counted before they are gathered, so a
+aggregates over 8-byte rows; text is dealt out only for those. Equal pieces are counted before they are gathered, so a
 passage in a third of all documents is one piece.
+
+A window that is equal to one at most `length` bytes before it, as in a run of one character or line, is repeated for
+certain. Its text alone says so; it has no part in the pieces, since the first of its equals has.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, mix64, slices, stored
+from .common import lean, maybe_in, mix64, slices, stored
 
 LENGTH, GRAM = 200, 32
 #: Pieces whose columns one step inside a task holds together, about.
@@ -55,11 +58,12 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
-def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Places of the anchors of all windows of a text, their hashes, and the first and last window start of each."""
+def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """Places of the anchors of a text's windows, their hashes, and the first and last window start of each; and the spans (begin, end) of windows
+    that are equal to one at most `length` bytes before, with those, which need no anchor."""
     n = len(data) - length + 1
     if n <= 0:
-        return (np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))
+        return (np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), [])
     h = gram_hashes(data, gram)
     width = length - gram + 1
     chosen = np.empty(n, np.int64)
@@ -71,7 +75,35 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[n
         chosen[at : at + block] = at + (sliding_min(packed, width) & np.uint64((1 << 20) - 1)).astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
     last = np.concatenate([first[1:] - 1, [n - 1]])
-    return chosen[first], h[chosen[first]], first, last
+    place = chosen[first]
+    name = h[place]
+    # anchors whose hash is also that of the one before them: a run of one period, perhaps
+    step = np.diff(place, prepend=-length - 1)
+    step[1:][name[1:] != name[:-1]] = 0
+    step[:1] = 0
+    spans = []
+    if len(place) and ((step > 0) & (step <= length)).any():
+        change = np.flatnonzero(np.diff(np.where(step <= length, step, 0), prepend=0))
+        keep = np.ones(len(place), bool)
+        for a, b in zip(change.tolist(), [*change[1:].tolist(), len(place)], strict=True):
+            p = int(step[a])
+            if not 0 < p <= length:
+                continue
+            begin, end = max(int(first[a]), p), int(last[b - 1])
+            if begin > end:
+                continue
+            bad = np.cumsum(np.concatenate([[0], data[begin : end + length] != data[begin - p : end + length - p]]))
+            equal = bad[length:] == bad[: end - begin + 1]  # of each window from begin on
+            for i, j in spans_of(equal):
+                spans.append((begin + i - p, begin + j + length))
+            for k in range(a, b):
+                other = np.flatnonzero(~equal[max(0, first[k] - begin) : last[k] - begin + 1])
+                if first[k] >= begin and not len(other):
+                    keep[k] = False
+                elif first[k] >= begin:
+                    first[k], last[k] = first[k] + other[0], first[k] + other[-1]
+        place, name, first, last = place[keep], name[keep], first[keep], last[keep]
+    return place, name, first, last, spans
 
 
 def repeated_starts(group: np.ndarray, texts: list[bytes], at: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
@@ -161,14 +193,12 @@ def _anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                out = [[np.empty(0, np.int64)] for _ in range(4)]
-                for kid, key, text in zip(part["kid"].to_pylist(), part["key"].to_pylist(), part["text"].to_pylist(), strict=True):
-                    place, h, _, _ = anchors(np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8), length, gram)
-                    for to, x in zip(out, (np.full(len(place), kid), np.full(len(place), key), h.view(np.int64), place), strict=True):
-                        to.append(x)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["kid", "key", "hash", "place"])
+                found = [anchors(np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8), length, gram)[:2] for text in part["text"].to_pylist()]
+                ends = pa.array(np.concatenate([[0], np.cumsum([len(x[0]) for x in found])]).astype(np.int32))
+                hashes = np.concatenate([np.empty(0, np.uint64), *(x[1] for x in found)]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part["kid"], part["key"], pa.ListArray.from_arrays(ends, pa.array(hashes))], names=["kid", "key", "hashes"])
 
-    return docs.mapInArrow(lean(run), "kid bigint, key bigint, hash bigint, place bigint")
+    return docs.select("kid", "key", "text").mapInArrow(lean(run), "kid bigint, key bigint, hashes array<bigint>")
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -188,22 +218,35 @@ def _packed(docs: DataFrame) -> DataFrame:
 PIECE = "kid bigint, key bigint, hash bigint, hot boolean, first bigint, at bigint, piece binary"
 
 
+#: Bytes of pieces that leave a task's step together, about.
+PIECE_BYTES = 4 << 20
+
+
 def _pieces(batches, length: int, gram: int):
     """The pieces of the anchors that occur twice. first: start of the piece in its text; at: place of the anchor in the piece."""
     unpacker = zstandard.ZstdDecompressor()
     names = ["kid", "key", "hash", "hot", "first", "at", "piece"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
+    out, size = [], 0
+
+    def made():
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(list(zip(*out, strict=True)) or [()] * 7, kinds, strict=True)], names=names)
+
     for batch in batches:
-        for start in range(0, batch.num_rows, 64):
-            part, out = batch.slice(start, 64), []
-            for kid, key, packed, mine in zip(*(part[c].to_pylist() for c in ("kid", "key", "packed", "anchors")), strict=True):
-                data = unpacker.decompress(packed)
-                hot = {x["place"]: x["hot"] for x in mine}
-                for place, h, first, last in zip(*(x.tolist() for x in anchors(np.frombuffer(data, np.uint8), length, gram)), strict=True):
-                    if place in hot:
-                        out.append((kid, key, h - (1 << 64) if h >> 63 else h, hot[place], first, place - first, data[first : last + length]))
-            columns = list(zip(*out, strict=True)) or [()] * 7
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=names)
+        for i in range(batch.num_rows):
+            kid, key, packed, mine = (batch[c][i].as_py() for c in ("kid", "key", "packed", "anchors"))
+            data = unpacker.decompress(packed)
+            hot = {x["place"]: x["hot"] for x in mine}
+            for k, (place, h, first, last) in enumerate(zip(*(x.tolist() for x in anchors(np.frombuffer(data, np.uint8), length, gram)[:4]), strict=True)):
+                if k in hot:
+                    out.append((kid, key, h - (1 << 64) if h >> 63 else h, hot[k], first, place - first, data[first : last + length]))
+                    size += len(out[-1][-1])
+                    if size >= PIECE_BYTES:
+                        yield made()
+                        out.clear()
+                        size = 0
+    if out:
+        yield made()
 
 
 def _columns(batches, length: int):
@@ -281,9 +324,11 @@ def _hot_spans(pieces: DataFrame, length: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, packed: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_anchor: int = HOT_ANCHOR) -> DataFrame:
     """docs: kid, key (together a name of the text), text. packed: the same with compressed texts. Returns kid, key, spans: array of (begin, end) in bytes, unmerged."""
-    found = stored(_anchor_rows(docs.select("kid", "key", "text"), length, gram), "suffix-anchors")
-    twice = stored(found.groupBy("hash").count().where("count > 1").select("hash", (F.col("count") > hot_anchor).alias("hot")), "suffix-twice")
-    mine = found.join(twice, "hash").groupBy("kid", "key").agg(F.collect_set(F.struct("place", "hot")).alias("anchors"))
+    found = stored(_anchor_rows(docs, length, gram), "suffix-anchors")
+    each = found.select("kid", "key", F.posexplode("hashes").alias("place", "hash"))
+    twice = stored(each.groupBy("hash").count().where("count > 1").select("hash", (F.col("count") > hot_anchor).alias("hot")), "suffix-twice")
+    # place: number of the anchor in its text
+    mine = maybe_in(each, "hash", twice).where("maybe").join(twice, "hash").groupBy("kid", "key").agg(F.collect_set(F.struct("place", "hot")).alias("anchors"))
     pieces = packed.join(mine, ["kid", "key"]).select("kid", "key", "packed", "anchors").mapInArrow(lean(lambda batches: _pieces(batches, length, gram)), PIECE)
     cool = pieces.where("not hot").select("hash", "kid", "key", "first", "at", "piece").repartition("hash").sortWithinPartitions("hash")
     spans = cool.mapInArrow(lean(lambda batches: _columns(batches, length)), "kid bigint, key bigint, begin bigint, end bigint")
@@ -292,9 +337,9 @@ def repeated_spans(docs: DataFrame, packed: DataFrame, length: int = LENGTH, gra
     return spans.groupBy("kid", "key").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
 
 
-def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
-    for begin, end in sorted((x["begin"], x["end"]) for x in spans or ()):
+    for begin, end in sorted(spans):
         if out and begin <= out[-1][1]:
             out[-1][1] = max(out[-1][1], end)
         else:
@@ -302,7 +347,7 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH, keep_text: bool = True, hot_anchor: int = HOT_ANCHOR) -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH, keep_text: bool = True, hot_anchor: int = HOT_ANCHOR, gram: int = GRAM) -> DataFrame:
     """docs with n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, and with the text that is left if keep_text (else without the text column).
 
     A byte goes if it lies in a string of `length` bytes that starts anywhere else too, in its own document or another;
@@ -315,7 +360,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     hidden = {c: f"_{i}" for i, c in enumerate(rest)}  # an input column may be called like one of these
     base = docs.select(*(F.col(f"`{c}`").alias(x) for c, x in hidden.items()), F.col(f"`{text}`").alias("text"), F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(-1)).alias("kid"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("key"))
     packed = _packed(base)
-    spans = repeated_spans(base, packed, length, hot_anchor=hot_anchor)
+    spans = repeated_spans(base, packed, length, gram, hot_anchor)
     rows = packed.join(spans, ["kid", "key"], "left")
     names = [*rest, *([text] if keep_text else []), *added]
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
@@ -329,7 +374,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                 texts, out = [], [[], [], [], []]
                 for data, found in zip(part["packed"].to_pylist(), part["spans"].to_pylist(), strict=True):
                     data = unpacker.decompress(data)
-                    cut = merged(found)
+                    own = anchors(np.frombuffer(data, np.uint8), length, gram)[4]
+                    cut = merged([*((x["begin"], x["end"]) for x in found or ()), *own])
                     kept, at = [], 0
                     for a, b in cut:
                         kept.append(data[at:a])

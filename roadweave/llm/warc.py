@@ -22,13 +22,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, new_path, slices, stored
+from .common import lean, maybe_in, new_path, slices, stored
 
 #: Numbers of the seekable format. Fixed values.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 FRAME_BYTES, BUNDLE_BYTES = 1 << 20, 256 << 20
-#: Bits of the bitmap of repeated payloads, and frames that a task reads, at most.
-MOST_BITS, TASK_FRAMES = 1 << 25, 64
+#: Frames that a task reads, about.
+TASK_FRAMES = 64
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = b"\r\n"
 
@@ -131,12 +131,7 @@ def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url: s
     rows = pages.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{url}`").alias("url"), data.alias("payload"), F.sha1(F.encode(data, "UTF-8")).alias("digest"), F.octet_length(data).cast("bigint").alias("size"))
     repeated = rows.select("id", "digest", "size").groupBy("digest", "size").agg(F.max("id").alias("largest"), F.count("*").alias("n"))
     repeated = stored(repeated.where((F.col("n") > 1) & F.col("largest").isNotNull() & (F.col("size") >= least_bytes)).select("digest", "size", "largest"), "warc-repeated")
-    bits = min(MOST_BITS, 1 << max(10, (16 * repeated.count()).bit_length()))
-    place = F.pmod(F.xxhash64("digest"), F.lit(bits))
-    word, bit = F.floor(place / 63).cast("bigint").alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 63).cast("int"))
-    bitmap = repeated.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    # at most MOST_BITS / 63 rows of 16 bytes
-    marked = rows.withColumn("word", word).join(F.broadcast(bitmap), "word", "left").withColumn("maybe", F.coalesce(F.col("bits").bitwiseAND(bit) != 0, F.lit(False))).drop("word", "bits")
+    marked = maybe_in(rows, "digest", repeated)
     met = marked.where("maybe").drop("maybe").join(repeated, ["digest", "size"], "left")
     kinds = met.select("id", "url", "payload", "digest", F.when(F.col("id") == F.col("largest"), None).otherwise(F.col("largest")).alias("refers_to"))
     kinds = kinds.unionByName(marked.where("not maybe").select("id", "url", "payload", "digest", F.lit(None).cast("bigint").alias("refers_to")))

@@ -253,6 +253,46 @@ def test_suffix_dedup_matches_brute_force(spark, docs, nothing):
     assert suffix_dedup.without_repeats(nothing).collect() == []
 
 
+def periodic_texts():
+    rng = random.Random(6)
+    out = ["a" * 900, "a" * 64, "b" + "a" * 65 + "c", "ha " * 200, "xha ha ha " + "ha " * 30, "the same old line of text " * 20, "and the same old line of text " * 3 + "end"]
+    for _ in range(60):
+        unit = "".join(rng.choice("ab") for _ in range(rng.randrange(1, 70)))
+        run = (unit * 400)[: rng.randrange(20, 400)]
+        out.append("".join(rng.choice("abc") for _ in range(rng.randrange(0, 30))) + run + "".join(rng.choice("abc") for _ in range(rng.randrange(0, 30))))
+        if rng.random() < 0.3:
+            out.append(out[-1][rng.randrange(40) :])
+    return out
+
+
+def test_suffix_dedup_matches_brute_force_on_periodic_texts(spark):
+    length, texts = 64, periodic_texts()
+    starts = collections.Counter(t[k : k + length] for t in texts for k in range(len(t) - length + 1))
+    expected = {}
+    for i, t in enumerate(texts):
+        covered = [False] * len(t)
+        for k in range(len(t) - length + 1):
+            if starts[t[k : k + length]] > 1:
+                covered[k : k + length] = [True] * length
+        expected[i] = "".join(c for c, x in zip(t, covered) if not x)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for hot in (suffix_dedup.HOT_ANCHOR, 2):
+        found = {r["doc_id"]: r["text"] for r in suffix_dedup.without_repeats(docs, length=length, hot_anchor=hot).collect()}
+        assert found == expected
+
+
+@pytest.mark.parametrize("unit", ["a", "ha ", "the same old line of text. "])
+def test_suffix_anchors_of_a_loop_are_few(unit):
+    data = np.frombuffer((unit * 1_000_000)[:1_000_000].encode(), np.uint8)
+    place, _, first, last, spans = suffix_dedup.anchors(data)
+    assert len(place) < 20 and int((last - first).sum()) < 2000 and suffix_dedup.merged(spans) == [(0, 1_000_000)]
+    rng = random.Random(1)
+    plain = np.frombuffer(words_text(rng, 50_000, 5000).encode(), np.uint8)
+    place, _, first, last, spans = suffix_dedup.anchors(plain)
+    assert not spans and last[-1] == len(plain) - 200 and (first[1:] == last[:-1] + 1).all()
+    assert int((last - first + 200).sum()) < 4 * len(plain)
+
+
 def test_suffix_columns_match_brute_force_on_random_pieces():
     rng = random.Random(3)
     for _ in range(30):
