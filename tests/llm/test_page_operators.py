@@ -189,8 +189,8 @@ def test_ann_matches_brute_force(spark):
     good += [(900 + i, good[0][1]) for i in range(30)]  # copies: ties go to smaller ids
     bad = [(2000, None), (2010, []), (2020, [0.0] * 32), (2030, [float("nan")] * 32), (2040, [1.0] * 31 + [None]), (2050, [1.0, 2.0]), (2060, [float("inf")] + [0.0] * 31)]
     table = spark.createDataFrame(good + bad, "vec_id bigint, embedding array<float>").repartition(5)
-    for block in (4096, 10):
-        found = ann.search(table, F.col("vec_id") % 10 == 0, 10, settings=ann.Settings(query_block=block, fit_rows=300))
+    for settings in (ann.Settings(fit_rows=300), ann.Settings(fit_rows=300, cell_rows=80, chunk_rows=50, lot_rows=20, probes=None)):
+        found = ann.search(table, F.col("vec_id") % 10 == 0, 10, settings=settings)
         got = sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in found.collect())
         expected = brute(good, lambda q: q % 10 == 0, 10)
         assert len(got) == len(expected) and len(set(got) & set(expected)) >= 0.99 * len(expected)
@@ -199,6 +199,19 @@ def test_ann_matches_brute_force(spark):
     assert [(r["query_id"], r["vec_id"]) for r in ann.search(two, F.lit(True), 10).orderBy("query_id").collect()] == [(0, 1), (1, 0)]
 
 
+def test_ann_recall_with_few_cells_probed(spark):
+    rng = np.random.default_rng(6)
+    centre = rng.standard_normal((60, 24))
+    good = [(i, (centre[rng.integers(60)] + 0.3 * rng.standard_normal(24)).tolist()) for i in range(3000)]
+    table = spark.createDataFrame(good, "vec_id bigint, embedding array<double>")
+    found = ann.search(table, F.col("vec_id") % 20 == 0, 10, settings=ann.Settings(fit_rows=1000, cell_rows=100, probes=8))
+    got = {(r["query_id"], r["vec_id"]) for r in found.collect()}
+    expected = {(q, i) for q, _, i, _ in brute(good, lambda q: q % 20 == 0, 10)}
+    recall = len(got & expected) / len(expected)
+    print("recall of 8 of 30 cells:", recall)
+    assert recall >= 0.9
+
+
 def test_ann_bounds_hold_for_nearly_all_pairs():
     rng = np.random.default_rng(1)
     x, q = rng.standard_normal((500, 64)), rng.standard_normal((40, 64))
