@@ -79,14 +79,19 @@ def per_process(key, make):
     return held[key]
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: the Python worker lives on, idle, beside others."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def lean(run):
-    """run, a function of Arrow batches, giving freed memory back to the system when it ends: the Python worker lives on, idle, beside others."""
+    """run, a function of Arrow batches, giving memory back when it ends."""
 
     def wrapped(batches):
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # only glibc has it
-            ctypes.CDLL(None).malloc_trim(0)
+        give_back()
 
     return wrapped
 

@@ -28,12 +28,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, mix64, slices, split_words, stored
+from .common import give_back, lean, mix64, slices, split_words, stored
 
-#: At most so many words are frequent, and twice so many bigrams are hot (a slice that sends its frequent bigrams knows only its own counts).
+#: At most so many words are frequent, and twice so many bigrams are hot (a task knows only its own counts when it sends its frequent bigrams).
 FREQUENT, HOT = 1 << 20, 1 << 16
 #: Rows (a document's bigrams) of a range, about.
-RANGE_ROWS = 1_000_000
+RANGE_ROWS = 600_000
 FIT, TUNE, HELD = 0, 1, 2
 #: Steps of an octave to which probabilities are rounded for the weights, and the number of steps.
 STEPS, LEVELS = 8, 512
@@ -83,21 +83,36 @@ def _slice_pairs(ids: np.ndarray, opens: np.ndarray, n_ids: int) -> np.ndarray:
 
 
 def _word_counts(batches, hot: int):
-    """Counts of the words of each slice, and of those of its bigrams that are at least half as frequent in it as a hot one."""
+    """Counts of the words of each slice; and of the task's bigrams those that are at least half as frequent in it as a hot one. What is still far below that is dropped on the way."""
+    pairs, held, n_tokens = Counts(1), [], 0
+    names = ("is_pair", "word", "second", "fit", "tune")
+
+    def add() -> None:
+        pairs.add(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        held.clear()
+        keep = pairs.sums[0] * 8 * hot >= n_tokens
+        pairs.names, pairs.sums = pairs.names[:, keep], pairs.sums[:, keep]
+
     for batch in batches:
         for part in slices(batch, "text"):
             fold = part["fold"].to_numpy()
             rows, ids, opens, hashes = tokens(part["text"])
-            fit, tune, held = (np.bincount(ids[fold[rows] == f], minlength=len(hashes)) for f in (FIT, TUNE, HELD))
+            fit, tune = (np.bincount(ids[fold[rows] == f], minlength=len(hashes)) for f in (FIT, TUNE))
             seen = fit + tune > 0
-            pair, n = np.unique(_slice_pairs(ids, opens, len(hashes))[fold[rows] != HELD], return_counts=True)
-            pair, n = pair[2 * hot * n >= len(ids)], n[2 * hot * n >= len(ids)]
-            zero = np.zeros(len(pair), np.int64)
-            columns = {
-                "is_pair": np.concatenate([np.zeros(seen.sum(), np.int64), zero + 1]), "word": np.concatenate([hashes[seen], hashes[pair // len(hashes)]]).view(np.int64),
-                "second": np.concatenate([np.zeros(seen.sum(), np.uint64), hashes[pair % len(hashes)]]).view(np.int64), "fit": np.concatenate([fit[seen], n]), "tune": np.concatenate([tune[seen], zero]),
-            }
-            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns.values()], names=list(columns))
+            zero = np.zeros(seen.sum(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (zero, hashes[seen].view(np.int64), zero, fit[seen], tune[seen])], names=names)
+            learnt = fold[rows] != HELD
+            pair, n = np.unique(_slice_pairs(ids, opens, len(hashes))[learnt], return_counts=True)
+            n_tokens += int(learnt.sum())
+            often = 8 * hot * n >= learnt.sum()
+            held.append((hashes[pair[often] // len(hashes)], hashes[pair[often] % len(hashes)], n[often]))
+            if len(held) == 8:
+                add()
+    if held:
+        add()
+    often = 2 * hot * pairs.sums[0] >= n_tokens
+    one = np.ones(often.sum(), np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (one, pairs.names[0][often].view(np.int64), pairs.names[1][often].view(np.int64), pairs.sums[0][often], one - 1)], names=names)
 
 
 def pack(**columns: np.ndarray) -> bytes:
@@ -229,7 +244,7 @@ def bucket(context: np.ndarray) -> np.ndarray:
 
 
 #: Rows that a range unpacks at a time, about.
-STEP_ROWS = 1_000_000
+STEP_ROWS = 250_000
 
 
 def _steps(blobs: list[bytes], columns: list[str]):
@@ -498,6 +513,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         else:
             out = [(*x, None) for x in _resolve(table["packed"].to_pylist(), shared.value, ranges)]
         kinds = (pa.string(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+        give_back()
         return pa.table({k: pa.array([x[i] for x in out], t) for i, (k, t) in enumerate(zip(("kind", "range", "packed", "ids"), kinds, strict=True))})
 
     dealt = rows.mapInArrow(lean(lambda batches: _bigrams(batches, shared.value, ranges)), "range bigint, packed binary, ids array<bigint>")
@@ -505,6 +521,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
     def resolve_second(table: pa.Table) -> pa.Table:
         out = list(_resolve_second(table["packed"].to_pylist(), shared.value))
+        give_back()
         return pa.table({"kind": [x[0] for x in out], "packed": pa.array([x[1] for x in out], pa.binary())})
 
     second = stored(resolved.where("kind = 'more'").select("range", "packed").groupBy("range").applyInArrow(resolve_second, "kind string, packed binary"), "lm-second")
