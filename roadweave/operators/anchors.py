@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.paths import hits, visits_in_order, window_class
+from ..functions.paths import visits_in_order, window_class
+from ..shared import stored
 from . import graph
 
 
@@ -55,10 +56,13 @@ def portal_windows(parts: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def hit_windows(records: DataFrame, parts: DataFrame, config: AnchorConfig = AnchorConfig()) -> DataFrame:
-    """works_id, start_unit, end_unit, flow, n: first and last unit of a site on each path, with flow and number of the paths. records: path, flow."""
-    sites = parts.groupBy("works_id").agg(F.collect_set("unit").alias("units"))
-    each = records.join(sites, F.arrays_overlap("path", "units")).withColumn("hit", hits(F.col("path"), F.col("units")))
-    each = each.select("works_id", F.get("hit", F.lit(0)).alias("start_unit"), F.element_at("hit", -1).alias("end_unit"), "flow").where("start_unit <> end_unit")
+    """works_id, start_unit, end_unit, flow, n: first and last unit of a site on each path, with flow and number of the paths. records: record_id, path, flow.
+
+    Visits meet sites over their units, so no path is held against a site that it doesn't touch.
+    """
+    at = records.select("record_id", "flow", F.posexplode("path").alias("pos", "unit")).join(parts.select("works_id", "unit").distinct(), "unit")
+    ends = at.groupBy("record_id", "works_id").agg(F.min(F.struct("pos", "unit", "flow")).alias("a"), F.max(F.struct("pos", "unit")).alias("b"))
+    each = ends.select("works_id", F.col("a.unit").alias("start_unit"), F.col("b.unit").alias("end_unit"), F.col("a.flow").alias("flow")).where("start_unit <> end_unit")
     found = each.groupBy("works_id", "start_unit", "end_unit").agg(F.sum("flow").alias("flow"), F.count("*").alias("n"))
     found = found.where((F.col("flow") >= config.min_hit_flow) & (F.col("n") >= config.min_hit_count))
     rank = F.row_number().over(Window.partitionBy("works_id").orderBy(F.desc("flow"), "start_unit", "end_unit"))
@@ -143,10 +147,10 @@ def assign_paths(records: DataFrame, anchors: DataFrame, parts: DataFrame) -> Da
 
 
 def aggregate(records: DataFrame, works: DataFrame, edges: DataFrame, config: AnchorConfig = AnchorConfig()) -> tuple[DataFrame, DataFrame]:
-    """Anchor pairs and the assignment of each path, from works (works_id, unit), edges and records."""
-    parts = graph.works_components(works, edges)
+    """Anchor pairs and the assignment of each path, from works (works_id, unit), edges and records. What several steps use is stored."""
+    parts, records = stored(graph.works_components(works, edges), "anchor-parts"), stored(records, "anchor-records")
     windows = combined_windows(portal_windows(parts, edges), hit_windows(records, parts, config), parts)
-    candidates = anchor_candidates(windows, edges, config)
+    candidates = stored(anchor_candidates(windows, edges, config), "anchor-candidates")
     nearest = nearest_anchors(candidates, anchor_stats(candidates, records), config)
-    anchors = merged_anchors(nearest)
+    anchors = stored(merged_anchors(nearest), "anchor-pairs")
     return anchors, assign_paths(records, anchors, parts)

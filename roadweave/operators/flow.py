@@ -53,8 +53,7 @@ def best_path_map(freq: DataFrame, group: list[str], tie: str) -> DataFrame:
 def section_path(paths: DataFrame, section_of: DataFrame, id_col: str, path: str = "path") -> DataFrame:
     """(id, sections): units mapped to section numbers, units without one dropped, neighbours collapsed. section_of: unit, section.
 
-    The map is joined to exploded units and the order restored from the position; for a map of a checked, small size
-    Spark broadcasts it by itself.
+    The map is joined to exploded units by whatever join its size demands, and the order restored from the position.
     """
     from ..functions.paths import adjacent_dedup
 
@@ -69,7 +68,9 @@ def od_key(*columns: str) -> Column:
 
 
 def asof_version(months: DataFrame, versions: DataFrame, default: str = "202603", month: str = "month", version: str = "version") -> DataFrame:
-    """Each distinct month with the latest version not after it, or default."""
-    m = months.select(month).distinct()
-    found = m.join(F.broadcast(versions.select(version).distinct().limit(10_000)), F.col(version) <= F.col(month), "left").groupBy(month).agg(F.max(version).alias("found"))
+    """Each distinct month with the latest version not after it, or default. There are few versions; up to 10,000 are broadcast, more are refused."""
+    m, few = months.select(month).distinct(), versions.select(version).distinct().limit(10_001)
+    if few.count() > 10_000:
+        raise ValueError("more than 10000 versions")
+    found = m.join(F.broadcast(few), F.col(version) <= F.col(month), "left").groupBy(month).agg(F.max(version).alias("found"))
     return found.select(month, F.coalesce("found", F.lit(default)).alias(version))

@@ -46,15 +46,19 @@ def common_subsequence(a: Sequence, b: Sequence) -> int:
 
 
 class Repair:
-    """Repairs records on one graph; distances are shared by all records of a task, a tree for each source."""
+    """Repairs records on one graph. The trees of the sources met last, `held` at most, are shared by a task's records."""
+
+    held = 64
 
     def __init__(self, graph: RoadGraph, config: RepairConfig = RepairConfig()):
         self.graph, self.config, self._trees = graph, config, {}
 
     def best(self, a, b) -> tuple | None:
-        if a not in self._trees:
-            self._trees[a] = self.graph.tree(a)
-        return self._trees[a].get(b)
+        tree = self._trees.pop(a, None) or self.graph.tree(a)
+        self._trees[a] = tree  # the last one met stands last
+        if len(self._trees) > self.held:
+            del self._trees[next(iter(self._trees))]
+        return tree.get(b)
 
     def cost(self, a, b) -> float | None:
         found = self.best(a, b)

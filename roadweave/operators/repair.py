@@ -54,7 +54,7 @@ class _Output:
             self.put(u, (left + (right - left) * (i / (len(new) + 1))).replace(microsecond=0))
 
 
-def repair_interval(units: Sequence[str], times: Sequence[datetime | None] | None, graph: RoadGraph, enid: str = "", exid: str = "", entime: datetime | None = None, extime: datetime | None = None, most_steps: int = 100) -> Repaired:
+def repair_interval(units: Sequence[str], times: Sequence[datetime | None] | None, graph: RoadGraph, enid: str = "", exid: str = "", entime: datetime | None = None, extime: datetime | None = None) -> Repaired:
     """A recorded path with its gaps closed.
 
     A window of three units moves along the path, stations included. What follows from its two steps:
@@ -75,7 +75,7 @@ def repair_interval(units: Sequence[str], times: Sequence[datetime | None] | Non
     out, changes, error, i = _Output(timed), [], None, 0
     out.put(*seq[0])
     path_to = lambda a, b: (graph.shortest(a, b) or (None, ()))[1]
-    for _ in range(most_steps):
+    for _ in range(2 * len(seq)):  # a unit is turned at most once, all else moves on or shortens the rest
         if i >= len(seq) - 2:
             break
         (a, _), (b, at_b), (c, at_c) = seq[i : i + 3]

@@ -30,6 +30,8 @@ def od_toll(direct: DataFrame, shortest: DataFrame, keys: list[str], compare: st
 
 
 def fees_by_type(paths: DataFrame, units: DataFrame, rates: DataFrame, id_col: str, path: str = "path") -> DataFrame:
-    """path_fees for every vehicle type of the rates."""
-    types = rates.select("vehicle_type").distinct()
-    return path_fees(paths.drop("vehicle_type").crossJoin(types), units, rates, id_col, path)
+    """path_fees for every vehicle type of the rates. There are few types; up to 1,000 are broadcast, more are refused."""
+    types = rates.select("vehicle_type").distinct().limit(1001)
+    if types.count() > 1000:
+        raise ValueError("more than 1000 vehicle types")
+    return path_fees(paths.drop("vehicle_type").crossJoin(F.broadcast(types)), units, rates, id_col, path)

@@ -6,26 +6,27 @@ from pyspark.sql import functions as F
 
 from ..functions import paths
 from ..operators import anchors, graph, repair, toll
+from ..shared import stored
 from .adapters import SQL, edges, table, timed_trips, trips
 from .queries import _FEE, _UNITS, _fees, _rates, _units, query
 
 _CTE = "with recursive "
-_DEPTH = 12
+_DEPTH = 14
 
 
 def _simple(sources: str, depth: int, banned: str = "") -> str:
-    skip = f"and e.dst not in ({banned})" if banned else ""
+    skip, start = (f"and e.dst not in ({banned})", f"and n_nationkey not in ({banned})") if banned else ("", "")
     return f"""{SQL['edges']}, simple(source, target, miles, path) as (
-        select n_nationkey, n_nationkey, 0::bigint, [n_nationkey] from nation where n_nationkey in ({sources})
+        select n_nationkey, n_nationkey, 0::bigint, [n_nationkey] from nation where n_nationkey in ({sources}) {start}
         union all select s.source, e.dst, s.miles + e.miles, list_append(s.path, e.dst) from simple s join edges e on e.src = s.target
         where not list_contains(s.path, e.dst) and len(s.path) <= {depth} {skip}),
     ranked as (select *, row_number() over (partition by source, target order by miles, len(path), path) as path_no from simple where source <> target)"""
 
 
-def _pairs(spark, sf_dir, sources, targets=None):
+def _pairs(spark, sf_dir):
+    """Each unit with each other one: the stated pairs of the graph queries, as many as the square of the 25 units."""
     n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("n"))
-    found = n.where(F.col("n").isin(sources)).select(F.col("n").alias("source")).crossJoin(n.select(F.col("n").alias("target"))).where("source <> target")
-    return found.where(F.col("target").isin(targets)) if targets else found
+    return n.select(F.col("n").alias("source")).crossJoin(F.broadcast(n.select(F.col("n").alias("target")))).where("source <> target")
 
 
 def _named(df):
@@ -35,41 +36,35 @@ def _named(df):
 _ROWS = "source, target, path_no::int as path_no, miles::double as miles, array_to_string(path, '|') as path"
 
 
-@query(_CTE + _simple("0, 4, 9", _DEPTH) + f" select {_ROWS} from ranked where path_no = 1")
+@query(_CTE + _simple("select n_nationkey from nation", _DEPTH) + f" select {_ROWS} from ranked where path_no = 1")
 def g2_shortest_path(spark, sf_dir):
-    return _named(graph.shortest_paths(_pairs(spark, sf_dir, [0, 4, 9]), edges(spark, sf_dir)))
+    return _named(graph.shortest_paths(_pairs(spark, sf_dir), edges(spark, sf_dir)))
 
 
-@query()
-def g2_shortest_path_whole(spark, sf_dir):
-    """g2_shortest_path from all origins; its SQL takes three."""
-    return _named(graph.shortest_paths(_pairs(spark, sf_dir, list(range(25))), edges(spark, sf_dir)))
-
-
-@query(_CTE + _simple("0, 4, 9", _DEPTH) + f" select {_ROWS} from ranked where path_no <= 3 and target in (1, 2, 3, 12, 20)")
+@query(_CTE + _simple("select n_nationkey from nation", _DEPTH) + f" select {_ROWS} from ranked where path_no <= 3")
 def g3_ksp(spark, sf_dir):
-    return _named(graph.k_shortest_paths(_pairs(spark, sf_dir, [0, 4, 9], [1, 2, 3, 12, 20]), edges(spark, sf_dir), 3))
+    return _named(graph.k_shortest_paths(_pairs(spark, sf_dir), edges(spark, sf_dir), 3))
 
 
-@query(_CTE + _simple("0, 4, 9", _DEPTH, "3, 7") + f" select {_ROWS} from ranked where path_no = 1")
+@query(_CTE + _simple("select n_nationkey from nation", _DEPTH, "3, 7") + f" select {_ROWS} from ranked where path_no = 1")
 def g4_excluding(spark, sf_dir):
-    return _named(graph.shortest_paths(_pairs(spark, sf_dir, [0, 4, 9]), edges(spark, sf_dir), excluded=[3, 7]))
+    return _named(graph.shortest_paths(_pairs(spark, sf_dir), edges(spark, sf_dir), excluded=[3, 7]))
 
 
 @query()
 def g5_disjoint(spark, sf_dir):
-    return _named(graph.disjoint_paths(_pairs(spark, sf_dir, [0, 4, 9]), edges(spark, sf_dir), 3))
+    return _named(graph.disjoint_paths(_pairs(spark, sf_dir), edges(spark, sf_dir), 3))
 
 
-@query(_CTE + _simple("0, 4", 6) + " select source, target, miles, array_to_string(path, '|') as path from ranked")
+@query(_CTE + _simple("select n_nationkey from nation", 6) + " select source, target, miles, array_to_string(path, '|') as path from ranked")
 def g6_all_paths(spark, sf_dir):
-    sources = _pairs(spark, sf_dir, [0, 4]).select("source").distinct()
+    sources = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("source"))
     return graph.simple_paths(edges(spark, sf_dir), sources, 6).select("source", "target", "miles", paths.join_path(F.col("path")).alias("path"))
 
 
-@query(_CTE + _simple("0, 4", 6) + ", least_of as (select *, min(miles) over (partition by source, target) as m from ranked) select source, target, path_no::int as path_no, miles, array_to_string(path, '|') as path from least_of where miles <= 2 * m and path_no <= 4")
+@query(_CTE + _simple("select n_nationkey from nation", 6) + ", least_of as (select *, min(miles) over (partition by source, target) as m from ranked) select source, target, path_no::int as path_no, miles, array_to_string(path, '|') as path from least_of where miles <= 2 * m and path_no <= 4")
 def g10_bounded(spark, sf_dir):
-    sources = _pairs(spark, sf_dir, [0, 4]).select("source").distinct()
+    sources = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("source"))
     return _named(graph.bounded_paths(graph.simple_paths(edges(spark, sf_dir), sources, 6), 2.0, 4))
 
 
@@ -151,8 +146,8 @@ _WINDOWS = f"""{_PARTS}, {SQL['trips']}{_RECORDS},
     hit_w as (select works_id, h[1] as start_unit, h[-1] as end_unit, any_value(units) as units, sum(flow)::bigint as flow, count(*) as n from hit where h[1] <> h[-1] group by 1, 2, 3),
     win0 as (select works_id, start_unit, end_unit, covered, 0::double as flow, 'portal' as source from portal_w union all select works_id, start_unit, end_unit, list_filter(units, lambda u: u >= least(start_unit, end_unit) and u <= greatest(start_unit, end_unit)), flow::double, 'path_hit' from hit_w),
     win as (select * exclude (n) from (select *, row_number() over (partition by works_id, start_unit, end_unit order by flow desc, source desc) as n from win0) where n = 1),
-    up(works_id, start_unit, end_unit, covered, node, level) as (select works_id, start_unit, end_unit, covered, start_unit, 0 from win union select u.works_id, u.start_unit, u.end_unit, u.covered, e.src, u.level + 1 from up u join edges e on e.dst = u.node where u.level < 2 and not list_contains(u.covered, e.src)),
-    down(works_id, start_unit, end_unit, covered, node, level) as (select works_id, start_unit, end_unit, covered, end_unit, 0 from win union select u.works_id, u.start_unit, u.end_unit, u.covered, e.dst, u.level + 1 from down u join edges e on e.src = u.node where u.level < 2 and not list_contains(u.covered, e.dst)),
+    up(works_id, start_unit, end_unit, covered, node, level) as (select works_id, start_unit, end_unit, covered, start_unit, 0 from win union select u.works_id, u.start_unit, u.end_unit, u.covered, e.src, u.level + 1 from up u join edges e on e.dst = u.node where u.level < 5 and not list_contains(u.covered, e.src)),
+    down(works_id, start_unit, end_unit, covered, node, level) as (select works_id, start_unit, end_unit, covered, end_unit, 0 from win union select u.works_id, u.start_unit, u.end_unit, u.covered, e.dst, u.level + 1 from down u join edges e on e.src = u.node where u.level < 5 and not list_contains(u.covered, e.dst)),
     up1 as (select works_id, start_unit, end_unit, any_value(covered) as covered, node as anchor_start, min(level) as level from up group by works_id, start_unit, end_unit, node), down1 as (select works_id, start_unit, end_unit, node as anchor_end, min(level) as level from down group by works_id, start_unit, end_unit, node),
     cand as (select * from up1 join down1 using (works_id, start_unit, end_unit, level)),
     met as (select c.*, r.enid, r.exid, r.flow, list_has_any(path, covered) as passes from cand c join records r on list_position(path, anchor_start) > 0 and list_position(list_reverse(path), anchor_end) > 0 and list_position(path, anchor_start) < len(path) + 1 - list_position(list_reverse(path), anchor_end)),
@@ -160,7 +155,7 @@ _WINDOWS = f"""{_PARTS}, {SQL['trips']}{_RECORDS},
     judged as (select cand.*, coalesce(pass_flow, 0) >= 1 and coalesce(bypass_flow, 0) >= 1 as is_valid from cand left join stats using (works_id, start_unit, end_unit, level, anchor_start, anchor_end)),
     nearest as (select * from (select *, coalesce(max(is_valid::int) over (partition by works_id, start_unit, end_unit order by level, anchor_start, anchor_end rows between unbounded preceding and 1 preceding), 0) as before from judged) where before = 0),
     flat as (select works_id, anchor_start, anchor_end, min(level) as min_level, list_sort(list_distinct(flatten(list(covered)))) as covered, count(*) as window_count from nearest group by 1, 2, 3)"""
-_CONFIG = anchors.AnchorConfig(max_level=2)
+_CONFIG = anchors.AnchorConfig()
 
 
 def _anchor_windows(spark, sf_dir):
@@ -193,7 +188,7 @@ def a21_anchor_stats(spark, sf_dir):
 
 
 def _nearest(spark, sf_dir):
-    candidates = anchors.anchor_candidates(_anchor_windows(spark, sf_dir), edges(spark, sf_dir), _CONFIG)
+    candidates = stored(anchors.anchor_candidates(_anchor_windows(spark, sf_dir), edges(spark, sf_dir), _CONFIG), "anchor-candidates")
     return anchors.nearest_anchors(candidates, anchors.anchor_stats(candidates, _records(spark, sf_dir)), _CONFIG)
 
 
@@ -211,18 +206,18 @@ def n6_merged_anchors(spark, sf_dir):
       from records r join flat f on list_position(path, anchor_start) > 0 and list_position(list_reverse(path), anchor_end) > 0 and list_position(path, anchor_start) < len(path) + 1 - list_position(list_reverse(path), anchor_end) join sites s on s.works_id = f.works_id)
     select r.record_id, r.enid, r.exid, r.flow, c.works_id, c.anchor_start, c.anchor_end, coalesce(c.route_type, 'unassigned') as route_type from records r left join choice c on c.record_id = r.record_id and c.n = 1""")
 def n7_assignment(spark, sf_dir):
-    return anchors.assign_paths(_records(spark, sf_dir), anchors.merged_anchors(_nearest(spark, sf_dir)), _parts(spark, sf_dir))
+    return anchors.aggregate(_records(spark, sf_dir), _works(spark, sf_dir), edges(spark, sf_dir), _CONFIG)[1]
 
 
 @query(
-    _CTE + _simple("0, 4, 9", _DEPTH) + f", {SQL['trips']}, {_UNITS}, "
-    "own as (select trip_id, vehicle_type, path from trips where enid in (0, 4, 9) and enid <> exid), "
+    _CTE + _simple("select n_nationkey from nation", _DEPTH) + f", {SQL['trips']}, {_UNITS}, "
+    "own as (select trip_id, vehicle_type, path from trips where enid <> exid), "
     "best as (select t.trip_id, t.vehicle_type, r.path from trips t join ranked r on r.source = t.enid and r.target = t.exid and r.path_no = 1), "
     + _FEE.format(src="own") + ", " + _FEE.format(src="best").replace("fees as", "best_fees as", 1)
     + " select f.trip_id, f.vehicle_type, f.fee as path_fee, b.fee as shortest_fee, greatest(f.fee, b.fee) as fee from fees f left join best_fees b using (trip_id, vehicle_type)"
 )
 def f4_od_toll(spark, sf_dir):
-    own = trips(spark, sf_dir).where("enid in (0, 4, 9) and enid <> exid").select("trip_id", "vehicle_type", "enid", "exid", "path")
+    own = trips(spark, sf_dir).where("enid <> exid").select("trip_id", "vehicle_type", "enid", "exid", "path")
     best = graph.shortest_paths(own.select(F.col("enid").alias("source"), F.col("exid").alias("target")), edges(spark, sf_dir))
     driven = own.drop("path").join(best.select(F.col("source").alias("enid"), F.col("target").alias("exid"), "path"), ["enid", "exid"])
     fee = lambda p: _fees(toll.path_fees(p, _units(spark, sf_dir), _rates(spark), "trip_id"))

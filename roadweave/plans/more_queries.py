@@ -25,11 +25,12 @@ def f10_month_list(spark, sf_dir):
     return spans.select("c_custkey", F.explode(dates.month_list(F.to_date("a"), F.to_date("b"))).alias("month"))
 
 
-@query("with s as (select o_custkey as k, list(distinct m order by m) as members from (select o_custkey, month(o_orderdate) % 3 as m from orders) group by 1) select a.k as left_id, b.k as right_id from s a join s b on a.members = b.members where a.k % 2 = 0 and b.k % 2 = 1 and b.k < 40")
+@query("with c as (select o_custkey as k, list(distinct o_orderpriority order by o_orderpriority) as members from orders group by 1), p as (select o_orderstatus as k, list(distinct o_orderpriority order by o_orderpriority) as members from orders group by 1) select c.k as left_id, p.k as right_id from c join p on c.members = p.members")
 def j24_same_sets(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_custkey", (F.month("o_orderdate") % 3).alias("m"))
-    left, right = o.where("o_custkey % 2 = 0").withColumnRenamed("o_custkey", "left_id"), o.where("o_custkey % 2 = 1 and o_custkey < 40").withColumnRenamed("o_custkey", "right_id")
-    return lookup.same_sets(left, right, "left_id", "right_id", ["m"])
+    """Customers whose orders have just the priorities that orders of a status have."""
+    o = table(spark, sf_dir, "orders")
+    left, right = o.select(F.col("o_custkey").alias("left_id"), "o_orderpriority"), o.select(F.col("o_orderstatus").alias("right_id"), "o_orderpriority")
+    return lookup.same_sets(left, right, "left_id", "right_id", ["o_orderpriority"])
 
 
 @query("select c_custkey, coalesce((select min(s_suppkey) from supplier where s_nationkey = c_nationkey and s_acctbal > 8000), (select min(s_suppkey) from supplier where s_nationkey = c_nationkey)) as supplier from customer")
@@ -48,7 +49,7 @@ def a25_adjacency(spark, sf_dir):
     return lookup.adjacency(edges(spark, sf_dir)).select("src", F.array_join(F.col("next").cast("array<string>"), "|").alias("next"))
 
 
-@query(with_("trips") + " select len(path)::int as depth, count(*) as n, sum(count(*)) over (order by len(path))::bigint as reached from trips group by 1")
+@query(with_("trips") + " select depth, n, sum(n) over (order by depth)::bigint as reached from (select len(path)::int as depth, count(*) as n from trips group by len(path))")
 def w4_cumulative(spark, sf_dir):
     n = trips(spark, sf_dir).groupBy(F.size("path").alias("depth")).agg(F.count("*").alias("n"))
     return n.withColumn("reached", F.sum("n").over(Window.orderBy("depth").rowsBetween(Window.unboundedPreceding, 0)))
@@ -76,3 +77,79 @@ def j16_orphans(spark, sf_dir):
 
     used = table(spark, sf_dir, "lineitem").where("l_quantity > 49").select(F.col("l_suppkey").alias("s_suppkey"))
     return orphans(table(spark, sf_dir, "supplier"), used, ["s_suppkey"]).select("s_suppkey")
+
+
+@query("select o_orderkey, coalesce(nullif(trim(case when o_orderkey % 5 = 0 then '  ' else substr(o_orderpriority, 1, 1) end), ''), '0') as vehicle_type, coalesce(nullif(trim(case when o_orderkey % 5 = 0 then '  ' else substr(o_orderpriority, 1, 1) end), ''), '0')::int between 1 and 4 as passenger from orders")
+def p10_vehicle_type(spark, sf_dir):
+    kind = measures.vehicle_type(F.when(F.col("o_orderkey") % 5 == 0, "  ").otherwise(F.substring("o_orderpriority", 1, 1)))
+    return table(spark, sf_dir, "orders").select("o_orderkey", kind.alias("vehicle_type"), measures.is_passenger(kind).alias("passenger"))
+
+
+@query("select n_nationkey, case when coalesce(nullif(n_nationkey % 4, 3), 1) >= 2 then 'high' when coalesce(nullif(n_nationkey % 4, 3), 1) = 1 then 'medium' else 'low' end as level from nation")
+def p2_lane_level(spark, sf_dir):
+    from ..operators.warehouse import lane_level
+
+    lanes = F.nullif(F.col("n_nationkey") % 4, F.lit(3))
+    return table(spark, sf_dir, "nation").select("n_nationkey", lane_level(lanes).alias("level"))
+
+
+@query(with_("trips") + " select trip_id, array_to_string(list_filter(list_transform(range(1, len(s) + 1), lambda i: case when i = 1 or s[i] <> s[i - 1] then s[i] end), lambda x: x is not null), '|') as sections from (select trip_id, list_filter(list_transform(path, lambda u: case when u % 6 <> 5 then u // 3 end), lambda x: x is not null) as s from trips) where len(s) > 0")
+def a24_section_path(spark, sf_dir):
+    from ..functions.paths import join_path
+    from ..operators.flow import section_path
+
+    sections = table(spark, sf_dir, "nation").where("n_nationkey % 6 <> 5").select(F.col("n_nationkey").alias("unit"), F.floor(F.col("n_nationkey") / 3).cast("int").alias("section"))
+    return section_path(trips(spark, sf_dir), sections, "trip_id").select("trip_id", join_path(F.col("sections")).alias("sections"))
+
+
+@query(with_("trips") + " select count(*) as ods, count(distinct (enid, exid)) as keys from (select distinct enid, exid from trips)")
+def k4_surrogate_keys(spark, sf_dir):
+    from ..operators.flow import od_key
+
+    ods = trips(spark, sf_dir).select("enid", "exid").distinct()
+    return ods.agg(F.count("*").alias("ods"), F.countDistinct(od_key("enid", "exid")).alias("keys"))
+
+
+_PERIOD = "flows as (select enid, exid, vehicle_type, list_has_any(path, [3, 7]) as is_affected, count(*) filter (entime >= timestamp '1996-01-01' and entime < timestamp '1997-01-01') as con_flow, count(*) filter (entime >= timestamp '1995-01-01' and entime < timestamp '1996-01-01') as sp_flow from trips group by all)"
+
+
+def _period_flows(spark, sf_dir):
+    """Trips over [start, end) of the works' period and of the same one a year before, by pair, type and whether the works are met."""
+    from ..operators.impact import period_sum
+
+    within = lambda first, last: (F.col("entime") >= F.to_timestamp(F.lit(first)).cast("timestamp_ntz")) & (F.col("entime") < F.to_timestamp(F.lit(last)).cast("timestamp_ntz"))
+    t = trips(spark, sf_dir).withColumns({"is_affected": F.arrays_overlap("path", F.array(F.lit(3), F.lit(7)).cast("array<int>")), "one": F.lit(1)})
+    return t.groupBy("enid", "exid", "vehicle_type", "is_affected").agg(period_sum("one", within("1996-01-01", "1997-01-01")).alias("con_flow"), period_sum("one", within("1995-01-01", "1996-01-01")).alias("sp_flow"))
+
+
+@query(with_("trips") + f", {_PERIOD} select * from flows")
+def a7_period_flow(spark, sf_dir):
+    return _period_flows(spark, sf_dir)
+
+
+@query(with_("trips") + f", {_PERIOD} select * from flows where not is_affected or con_flow > 2 or sp_flow > 2")
+def p15_keep_affected(spark, sf_dir):
+    from ..operators.impact import keep_affected
+
+    return keep_affected(_period_flows(spark, sf_dir), 2)
+
+
+@query("select n_nationkey, round(2 * 6371000.0 * asin(sqrt(sin(radians(n_nationkey % 11) / 2) ** 2 + cos(radians(30)) * cos(radians(30 + n_nationkey % 11)) * sin(radians(n_nationkey % 13) / 2) ** 2)), 3) as metres, 'POINT(' || (100 + n_nationkey % 13) || ' ' || (30 + n_nationkey % 11) || ')' as point from nation")
+def f13_geo(spark, sf_dir):
+    lon, lat = F.col("n_nationkey") % 13 + 100, F.col("n_nationkey") % 11 + 30
+    return table(spark, sf_dir, "nation").select("n_nationkey", F.round(measures.haversine_m(F.lit(100), F.lit(30), lon, lat), 3).alias("metres"), measures.wkt_point(lon, lat).alias("point"))
+
+
+@query(f"with recursive {SQL['edges']}, hop(node, level, back) as (select n_nationkey, 0, b from nation, (values (true), (false)) t(b) where n_nationkey in (3, 14) union select case when h.back then e.src else e.dst end, h.level + 1, h.back from hop h join edges e on case when h.back then e.dst else e.src end = h.node where h.level < 2) select distinct c_nationkey as unit from customer join hop on node = c_nationkey")
+def g19_near_works(spark, sf_dir):
+    from ..operators.graph import near_works
+
+    works = table(spark, sf_dir, "nation").where("n_nationkey in (3, 14)").select(F.col("n_nationkey").alias("unit"))
+    return near_works(table(spark, sf_dir, "customer"), works, edges(spark, sf_dir), "c_nationkey", 3)
+
+
+@query("select * from (select row_number() over (order by p_retailprice desc, p_partkey) as n, p_partkey from part) where n <= 500")
+def w5_global_number(spark, sf_dir):
+    """A ranked report of 500 rows: the number is that of the report's order."""
+    top = table(spark, sf_dir, "part").orderBy(F.desc("p_retailprice"), "p_partkey").limit(500).select("p_retailprice", "p_partkey")
+    return top.withColumn("n", F.row_number().over(Window.orderBy(F.desc("p_retailprice"), "p_partkey")).cast("bigint")).select("n", "p_partkey")

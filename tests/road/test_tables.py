@@ -7,12 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from roadweave.operators import flow, impact, mining, quality, warehouse
-from roadweave.plans import graph_queries, queries  # noqa: F401
+from roadweave.plans import graph_queries, more_queries, queries  # noqa: F401
 from roadweave.sources import readers, sinks
 from roadweave.streaming import trips as streams
 
 SF = "/root/testdata/sf0.001"
-FAST = ["a2_od_daily_pcu", "a4_hourly_flow", "m6_best_path_map", "s15_capacity_days", "j3_range_rule_join", "j13_mid_trip_exit", "f6_impact_derive", "a15_greedy_prefix", "a23_path_fee", "g2_shortest_path", "n5_nearest_anchors", "r14_bti", "q_name_dedup", "k1_upsert"]
 
 
 def plain(v):
@@ -20,7 +19,7 @@ def plain(v):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
     for file in os.listdir(SF):

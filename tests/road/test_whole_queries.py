@@ -1,8 +1,9 @@
-"""Queries over all rows, where the SQL of their namesakes takes a part."""
+"""Whole results held against plain versions."""
 
 import os
 
 import pytest
+from roadweave.operators import graph, repair
 from roadweave.plans import graph_queries, queries  # noqa: F401
 from roadweave.plans.adapters import edges, trips
 
@@ -19,15 +20,58 @@ def test_shortest_paths_of_all_origins(spark):
                 way = far.get((a, k), 1e18) + far.get((k, b), 1e18)
                 if way < far.get((a, b), 1e18):
                     far[a, b] = way
-    rows = queries.QUERIES["g2_shortest_path_whole"](spark, SF).collect()
+    rows = queries.QUERIES["g2_shortest_path"](spark, SF).collect()
     assert {(r["source"], r["target"]): r["miles"] for r in rows if r["miles"] is not None} == {k: v for k, v in far.items() if k[0] != k[1]}
 
 
 def test_fees_of_all_trips(spark):
-    rows = queries.QUERIES["f5_fee_all_types_whole"](spark, SF).collect()
+    rows = queries.QUERIES["f5_fee_all_types"](spark, SF).collect()
     held = {(r["trip_id"], r["vehicle_type"]): r["fee"] for r in rows}
     own = queries.QUERIES["a23_path_fee"](spark, SF).collect()
     assert len(own) == trips(spark, SF).select("trip_id").distinct().count()
     assert {t for t, _ in held} == {r["trip_id"] for r in own}
     assert len(rows) == len(held) == 5 * len(own)
     assert all(held[r["trip_id"], r["vehicle_type"]] == r["fee"] for r in own)
+
+
+def test_disjoint_paths_of_all_pairs(spark):
+    road = {}
+    for r in edges(spark, SF).collect():
+        road.setdefault(r["src"], {})[r["dst"]] = r["miles"]
+
+    def best(a, b, banned):
+        found = []
+
+        def walk(path, cost):
+            if found and cost > found[0][0]:
+                return
+            if path[-1] == b:
+                found[:] = [min([*found, (cost, len(path), path)])]
+                return
+            for to, miles in road.get(path[-1], {}).items():
+                if to not in path and to not in banned:
+                    walk((*path, to), cost + miles)
+
+        walk((a,), 0)
+        return found[0][2] if found else None
+
+    expected = set()
+    for a in range(25):
+        for b in range(25):
+            banned: set = set()
+            for n in range(3 if a != b else 0):
+                path = best(a, b, banned)
+                if path is None:
+                    break
+                expected.add((a, b, n + 1, "|".join(map(str, path))))
+                if len(path) == 2:
+                    break
+                banned |= set(path[1:-1])
+    found = {(r["source"], r["target"], r["path_no"], r["path"]) for r in queries.QUERIES["g5_disjoint"](spark, SF).collect()}
+    assert found == expected
+
+
+def test_interval_repair_closes_long_paths():
+    units = [f"U{i}" for i in range(0, 1200, 2)]
+    roads = graph.RoadGraph([(f"U{i}", f"U{i + 1}", 1) for i in range(1300)])
+    assert repair.repair_interval(units, None, roads).units == [f"U{i}" for i in range(1199)]
