@@ -72,6 +72,7 @@ def test_disjoint_paths_of_all_pairs(spark):
 
 
 def test_interval_repair_closes_long_paths():
-    units = [f"U{i}" for i in range(0, 1200, 2)]
+    units = [f"U{i}" for i in range(1200) if i % 3 != 1]
     roads = graph.RoadGraph([(f"U{i}", f"U{i + 1}", 1) for i in range(1300)])
-    assert repair.repair_interval(units, None, roads).units == [f"U{i}" for i in range(1199)]
+    # the last step has no unit behind it to judge it by
+    assert repair.repair_interval(units, None, roads).units == [f"U{i}" for i in range(1200) if i != 1198]
