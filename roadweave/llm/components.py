@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
@@ -31,7 +31,8 @@ def components(edges: DataFrame, u: str = "u", v: str = "v", max_rounds: int = 6
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(smallest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(smallest.select("u", F.col("m").alias("v")))
-        now = stored(small.where("u <> v").distinct(), "components")
+        last, now = now, stored(small.where("u <> v").distinct(), "components")
+        discard(last)
         after = _state(now)
         if after == before:
             break
