@@ -297,13 +297,3 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     names = named.groupBy("root").agg(F.min("least").alias("component"))
     of = named.join(names, "root").select("simhash", "component")
     return prints.join(of, "simhash", "left").select(F.col("id").alias(id_col), "simhash", "component")
-
-
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5, k: int = 3, wide: Wide | None = None) -> DataFrame:
-    """docs without those that are linked with a document of a smaller id; all columns stay. Rows without an id stay.
-
-    Of rows that share id, one stays if their component is named by it and they hold the same fingerprint.
-    """
-    found = simhash_components(docs, id_col, text, shingle, k, wide)
-    gone = found.where(F.col("component") < F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

@@ -213,22 +213,12 @@ def test_wide_links_match_brute_force(spark):
     assert near > 20
     found = {r["doc_id"]: r["component"] for r in simhash.simhash_components(docs, shingle=5, wide=wide).collect()}
     assert found == dict(enumerate(label.tolist()))
-    kept = simhash.keep_one_of_each(docs, shingle=5, wide=wide)
-    assert kept.columns == docs.columns
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(label.tolist()))
     of = {i: set(x.tolist()) for i, x in enumerate(hashes)}
     similar = [(60 + 6 * i + j, i) for i in range(40) for j in range(6) if len(of[60 + 6 * i + j] & of[i]) >= 0.9 * len(of[60 + 6 * i + j] | of[i])]
     assert sum(label[a] == label[b] for a, b in similar) >= 0.9 * len(similar) > 0
     assert all(label[i] == i for i in range(60))  # strangers stay apart
 
 
-def test_keep_one_of_each(docs):
-    kept = simhash.keep_one_of_each(docs, shingle=5, k=3)
-    assert kept.columns == docs.columns
-    ids = [r["doc_id"] for r in kept.collect()]
-    assert 2 in ids and 3 not in ids and None in ids  # row 3 is a copy of row 2
-
-
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(50)] + [(1000, 1000 + i) for i in range(1, 200)] + [(7, 7), (60, 61)]
     found = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
