@@ -112,3 +112,20 @@ def is_passenger(kind: Column) -> Column:
 def detour_band(increase: Column) -> Column:
     """Share of drivers that accept a detour of a given relative increase; bands are closed below and open above."""
     return F.when(increase < 0.1, 0.5).when(increase < 0.2, 0.4).when(increase < 0.3, 0.3).when(increase < 0.5, 0.2).otherwise(0.0)
+
+
+def vehicle_group(code: Column) -> Column:
+    """Type names of codes 1 to 4 (cars), 11 to 16 and 21 to 26 (lorries, special ones counted with them); others stay as they are."""
+    lorry = F.when(code.between(11, 16), code - 10).when(code.between(21, 26), code - 20)
+    return F.when(code.between(1, 4), F.concat(F.lit("客"), code.cast("string"))).when(lorry.isNotNull(), F.concat(F.lit("货"), lorry.cast("string"))).otherwise(code.cast("string"))
+
+
+def vehicle_category(group: Column) -> Column:
+    """Cars, lorries or special vehicles, by the first character of a vehicle_group."""
+    return F.when(F.startswith(group, F.lit("客")), "客车").when(F.startswith(group, F.lit("货")), "货车").otherwise("专项")
+
+
+def toll_class(code: Column) -> Column:
+    """The class 1 to 10 of a code, given as number or text; 0 for anything else."""
+    number = code.try_cast("int")
+    return F.when(number.between(1, 10), number).otherwise(0)

@@ -260,3 +260,8 @@ def near_works(pairs: DataFrame, works: DataFrame, edges: DataFrame, column: str
         levels = reach_levels(edges, works.select(F.col("unit").alias("source")), most_nodes - 1, backwards=backwards)
         out = levels if out is None else out.unionByName(levels)
     return ends.join(out.select(F.col("node").alias("unit")).distinct(), "unit", "left_semi")
+
+
+def fewest_steps(pairs: DataFrame, edges: DataFrame, excluded: Sequence = ()) -> DataFrame:
+    """A path of the fewest steps for each distinct pair that has one; miles are its steps."""
+    return shortest_paths(pairs, edges.withColumn("miles", F.lit(1)), excluded)

@@ -116,3 +116,20 @@ def evaluation(rows: DataFrame, key: str, kind: str) -> DataFrame:
 
 def period_sum(measure: str, period: Column) -> Column:
     return F.coalesce(F.sum(F.when(period, F.col(measure))), F.lit(0))
+
+
+def share_matrix(matrix: DataFrame, row: str) -> DataFrame:
+    """A loss_matrix in percent of each row's sum, null where that is 0."""
+    values = [c for c in matrix.columns if c != row]
+    whole = F.nullif(sum((F.col(c).cast("double") for c in values), F.lit(0.0)), F.lit(0.0))
+    return matrix.select(row, *((F.col(c) * 100.0 / whole).alias(c) for c in values))
+
+
+def rate_matrix(rows: DataFrame, row: str, column: str, values: Sequence) -> DataFrame:
+    """Lost flow in percent of the affected flow of each row and column value; 0 where nothing is affected."""
+
+    def rate(mine: Column) -> Column:
+        lost, affected = (F.sum(F.when(mine, F.col(c))) for c in ("lost_flow", "affected_flow"))
+        return F.coalesce(lost * 100.0 / F.nullif(affected, F.lit(0)), F.lit(0.0))
+
+    return rows.groupBy(row).agg(*(rate(F.col(column) == v).alias(f"v{v}") for v in values), rate(F.lit(True)).alias("all"))

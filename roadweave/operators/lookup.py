@@ -32,3 +32,8 @@ def vertices(edges: DataFrame, src: str = "src", dst: str = "dst", name_src: str
 
 def adjacency(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     return edges.groupBy(src).agg(F.sort_array(F.collect_set(dst)).alias("next"))
+
+
+def random_rows(rows: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
+    """A random sample of n rows: those whose key, hashed with the seed, comes first. A rerun gives the same rows."""
+    return rows.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(n)

@@ -10,11 +10,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import measures
-from .graph import RoadGraph, graph_of, shared_graph
+from . import toll
+from .graph import RoadGraph, graph_of, k_shortest_paths, shared_graph, shortest_paths
 
 #: Characters of an id that name the place; the rest is the direction.
 PLACE = 14
@@ -24,7 +25,8 @@ PLACE = 14
 class RepairConfig:
     """most_detour: how much longer a way over an anchor may be than the direct one. skip_penalty: for each candidate left out.
     weights: of length, mismatch, insertions, repeats and skips in a segment's score. uturns: A-B-A loops that stay.
-    backward_m: growth of the distance to the end that counts as driving back. near: units ahead that the plain repair looks at."""
+    backward_m: growth of the distance to the end that counts as driving back. near: units ahead that the plain repair looks at.
+    returns: whether ways out and back are cut too (status RECIPROCAL_DETECTED where one was)."""
 
     most_detour: float = 2.0
     skip_penalty: float = 50.0
@@ -33,6 +35,7 @@ class RepairConfig:
     uturns: int = 1
     backward_m: float = 300.0
     near: int = 6
+    returns: bool = False
 
 
 def common_subsequence(a: Sequence, b: Sequence) -> int:
@@ -45,6 +48,25 @@ def common_subsequence(a: Sequence, b: Sequence) -> int:
     return row[-1]
 
 
+def without_returns(nodes: Sequence) -> list:
+    """Without ways that come back to a place met before: both visits and all between them go.
+
+    A place is also known where it stood in a part that has gone; coming back to it cuts the path at its old position.
+    """
+    if len(nodes) < 3:
+        return list(nodes)
+    first: dict[str, int] = {}
+    out: list = []
+    for v in nodes:
+        place = str(v)[:PLACE]
+        if place in first:
+            del out[first[place] :]
+        else:
+            first[place] = len(out)
+            out.append(v)
+    return out
+
+
 class Repair:
     """Repairs records on one graph. The trees of the sources met last, `held` at most, are shared by a task's records."""
 
@@ -163,12 +185,17 @@ class Repair:
         chain = self.anchors(start, end, candidates) if candidates else []
         path = self.stitched([start, *chain, end], nodes) if chain else self.plain(start, end, nodes)
         path, loops = self.tidied(path)
+        status = None
+        if self.config.returns:
+            whole = len(path)
+            path = without_returns(path)
+            status = "RECIPROCAL_DETECTED" if len(path) < whole else None
         legs = [self.cost(a, b) or 0.0 for a, b in zip(path, path[1:], strict=False)]
         direct = self.cost(start, end)
         count, metres = self.backward(path, end)
         return out | {
             "path": path, "method": "anchors" if chain else "plain", "anchors": len(chain), "dropped": len(set(raw) - set(path)), "inserted": len(set(path) - set(raw) - {start, end}),
-            "backward": count, "backward_m": metres, "length_m": float(sum(legs)), "detour_ratio": round(sum(legs) / direct, 4) if direct else 1.0, "loops": loops, "status": None,
+            "backward": count, "backward_m": metres, "length_m": float(sum(legs)), "detour_ratio": round(sum(legs) / direct, 4) if direct else 1.0, "loops": loops, "status": status,
         }
 
 
@@ -191,5 +218,45 @@ def repair_paths(records: DataFrame, edges: DataFrame, id_col: str, config: Repa
     path = F.col("path")
     found = found.withColumns({"repeated": measures.repeated_nodes(path), "reverse": measures.reverse_edges(path)})
     found = found.withColumn("backtrack_index", measures.backtrack_index(F.col("reverse"), F.col("backward"), F.col("repeated"), F.col("loops"), F.col("detour_ratio")))
-    found = found.withColumn("confidence", F.when(F.col("status").isNotNull(), 0.0).otherwise(measures.repair_confidence(F.col("dropped"), F.col("inserted"), F.col("raw_count"), F.col("detour_ratio"), F.col("backtrack_index"), F.col("anchors"), F.size(path))))
+    found = found.withColumn("confidence", F.when(F.startswith("status", F.lit("FAILED")), 0.0).otherwise(measures.repair_confidence(F.col("dropped"), F.col("inserted"), F.col("raw_count"), F.col("detour_ratio"), F.col("backtrack_index"), F.col("anchors"), F.size(path))))
     return found.withColumn("status", F.coalesce("status", measures.repair_status(F.col("confidence"))))
+
+
+#: Fixed value: the length of an interchange's id.
+INTERCHANGE = 7
+
+
+def result_path(path: Column, start: Column, end: Column) -> Column:
+    """The units of a repaired path between its ends, without interchanges; null ends remove nothing."""
+    return F.filter(path, lambda u: ~F.coalesce((u == start) | (u == end), F.lit(False)) & (F.char_length(u.cast("string")) != INTERCHANGE))
+
+
+def with_coordinates(paths: DataFrame, nodes: DataFrame, id_col: str, path: str = "path") -> DataFrame:
+    """id, points (seq from 1, unit, lon, lat; in the path's order) and missing: units without coordinates, as often as they are met.
+
+    nodes: unit, lon, lat, one row a unit. A path without units has no row. One shuffle brings a path's units together.
+    """
+    each = paths.select(id_col, F.posexplode(path).alias("seq", "unit")).withColumn("seq", F.col("seq") + 1)
+    found = each.join(nodes.select("unit", "lon", "lat"), "unit", "left").groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("seq", "unit", "lon", "lat"))).alias("points"))
+    without = F.filter("points", lambda p: p["lon"].isNull() | p["lat"].isNull())
+    return found.withColumn("missing", F.transform(without, lambda p: p["unit"]))
+
+
+def best_detours(pairs: DataFrame, edges: DataFrame, works: Sequence, units: DataFrame, rates: DataFrame, vehicle_type: int = 11, k: int = 5) -> DataFrame:
+    """Pairs (source, target) with a way, whether their shortest one meets the works, and if so the ways around them.
+
+    Of the k shortest ways that avoid the works: detour_ is the shortest with its fee, cheapest_ that of the smallest fee
+    (ties: the shorter one); null where there is none. The works are a stated list.
+    """
+    node = dict(edges.dtypes)["src"]
+    met = F.arrays_overlap("path", F.array(*(F.lit(w) for w in works)).cast(f"array<{node}>")) if works else F.lit(False)
+    direct = shortest_paths(pairs, edges).select("source", "target", met.alias("passes_works"), F.col("miles").alias("shortest_miles"))
+    way = F.struct("source", "target", "path_no")
+    ways = k_shortest_paths(direct.where("passes_works"), edges, k, works).withColumns({"_way": way, "_type": F.lit(vehicle_type)})
+    kinds = dict(rates.dtypes)["vehicle_type"]
+    fees = toll.path_fees(ways.select("_way", "path", F.col("_type").cast(kinds).alias("vehicle_type")), units, rates, "_way").select("_way", "fee")
+    best = ways.join(fees, "_way").groupBy("source", "target").agg(
+        F.min_by("path", "path_no").alias("detour_path"), F.min("miles").alias("detour_miles"), F.min_by("fee", "path_no").alias("detour_fee"),
+        F.min_by("path", F.struct("fee", "path_no")).alias("cheapest_path"), F.min("fee").alias("cheapest_fee"),
+    )
+    return direct.join(best, ["source", "target"], "left")

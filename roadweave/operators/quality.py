@@ -56,3 +56,14 @@ def schema_differences(df: DataFrame, expected: StructType) -> list[str]:
     """What a table lacks, has too much or has in another type."""
     have, want = {f.name: f.dataType for f in df.schema}, {f.name: f.dataType for f in expected}
     return sorted([f"missing {c}" for c in want.keys() - have.keys()] + [f"unexpected {c}" for c in have.keys() - want.keys()] + [f"{c} is {have[c].simpleString()}, not {want[c].simpleString()}" for c in want.keys() & have.keys() if want[c] != have[c]])
+
+
+def consistency(rows: DataFrame, ratio: str) -> DataFrame:
+    """Number of rows whose ratio is high (0.9 or more), medium (0.7 or more) or low; null counts as low."""
+    level = F.when(F.col(ratio) >= 0.9, "high").when(F.col(ratio) >= 0.7, "medium").otherwise("low")
+    return rows.groupBy(level.alias("consistency")).agg(F.count("*").alias("n"))
+
+
+def run_summary(rows: DataFrame, different: dict[str, str], total: str, time: str) -> DataFrame:
+    """One row of a run's figures: rows, different values (name to column), the summed measure (0 without rows) and the first and last time."""
+    return rows.agg(F.count("*").alias("total_records"), *(F.countDistinct(c).alias(f"unique_{name}") for name, c in different.items()), F.coalesce(F.sum(total), F.lit(0)).alias(f"total_{total}"), F.min(time).alias(f"min_{time}"), F.max(time).alias(f"max_{time}"))

@@ -35,3 +35,23 @@ def fees_by_type(paths: DataFrame, units: DataFrame, rates: DataFrame, id_col: s
     if types.count() > 1000:
         raise ValueError("more than 1000 vehicle types")
     return path_fees(paths.drop("vehicle_type").crossJoin(F.broadcast(types)), units, rates, id_col, path)
+
+
+def fees_of_distinct(paths: DataFrame, units: DataFrame, rates: DataFrame, path: str = "path", kind: str = "vehicle_type") -> DataFrame:
+    """paths with the columns of path_fees; each different path and type is priced once, however many rows take it."""
+    priced = path_fees(paths.select(path, kind).distinct(), units, rates, path, path, kind).withColumnsRenamed({path: "_path", kind: "_kind"})
+    return paths.join(priced, paths[path].eqNullSafe(priced["_path"]) & paths[kind].eqNullSafe(priced["_kind"])).drop("_path", "_kind")
+
+
+#: Fixed value: the nature of roads that are still being paid off, which makes their units control units.
+PAID_OFF = "还贷性"
+
+
+def with_control_roads(units: DataFrame, roads: DataFrame, road: str = "roadid", nature: str = "nature") -> DataFrame:
+    """units with `is_control`: whether the road named by the first 11 characters of its number is of that nature; false where unknown.
+
+    roads: road number, nature. Repeated roads count once.
+    """
+    control = roads.where(F.col(nature) == PAID_OFF).select(F.col(road).alias("_road")).distinct().withColumn("_control", F.lit(True))
+    found = units.join(control, F.substring(units[road], 1, 11) == F.col("_road"), "left")
+    return found.withColumn("is_control", F.coalesce("_control", F.lit(False))).drop("_road", "_control")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from roadweave.operators import flow, impact, mining, quality, warehouse
-from roadweave.plans import graph_queries, more_queries, queries  # noqa: F401
+from roadweave.plans import graph_queries, more_queries, queries, report_queries  # noqa: F401
 from roadweave.sources import readers, sinks
 from roadweave.streaming import trips as streams
 

@@ -3,8 +3,8 @@
 import os
 
 import pytest
-from roadweave.operators import graph, repair
-from roadweave.plans import graph_queries, queries  # noqa: F401
+from roadweave.operators import graph, path_repair, repair
+from roadweave.plans import graph_queries, queries, report_queries  # noqa: F401
 from roadweave.plans.adapters import edges, trips
 
 SF = "/root/testdata/sf0.001"
@@ -76,3 +76,29 @@ def test_interval_repair_closes_long_paths():
     roads = graph.RoadGraph([(f"U{i}", f"U{i + 1}", 1) for i in range(1300)])
     # the last step has no unit behind it to judge it by
     assert repair.repair_interval(units, None, roads).units == [f"U{i}" for i in range(1200) if i != 1198]
+
+
+def test_ways_out_and_back_go():
+    cut = lambda text: "".join(path_repair.without_returns(list(text)))
+    assert cut("MNABCDCBAUY") == "MNUY"
+    assert cut("ABCBDEC") == "AD"
+    assert cut("ABC") == "ABC"
+    assert cut("AA") == "AA"
+    roads = graph.RoadGraph([(a, b, 1) for a, b in zip("ABCD", "BCDE", strict=True)] + [("C", "B", 1)])
+    found = path_repair.Repair(roads, path_repair.RepairConfig(returns=True, uturns=9)).run("A", "E", list("BCBCD"))
+    assert found["status"] in (None, "RECIPROCAL_DETECTED") and len(set(found["path"])) == len(found["path"])
+
+
+def test_detours_around_works(spark):
+    road = {("a", "w"): 1, ("w", "z"): 1, ("a", "b"): 2, ("b", "z"): 2, ("a", "c"): 3, ("c", "z"): 3, ("b", "c"): 1, ("a", "y"): 1}
+    edge = spark.createDataFrame([(a, b, m) for (a, b), m in road.items()], "src string, dst string, miles bigint")
+    units = spark.createDataFrame([(u, 1000, 1, 1, 1, False) for u in "aczy"] + [("b", 9000, 1, 1, 1, False)], "unit string, length bigint, roadtype int, feektype int, feehtype int, is_control boolean")
+    rates = spark.createDataFrame([(1, 1, 2, 1.0)], "roadtype int, feetype int, vehicle_type int, feebykm double")
+    pairs = spark.createDataFrame([("a", "z"), ("a", "y"), ("a", "w"), ("z", "a"), (None, "z")], "source string, target string")
+    rows = {(r["source"], r["target"]): r for r in path_repair.best_detours(pairs, edge, ["w"], units, rates, 2).collect()}
+    assert set(rows) == {("a", "z"), ("a", "y"), ("a", "w")}
+    r = rows["a", "z"]
+    assert (r["passes_works"], r["shortest_miles"], list(r["detour_path"]), r["detour_miles"], r["detour_fee"]) == (True, 2, ["a", "b", "z"], 4, 11.0)
+    assert (list(r["cheapest_path"]), r["cheapest_fee"]) == (["a", "c", "z"], 3.0)
+    assert not rows["a", "y"]["passes_works"] and rows["a", "y"]["detour_path"] is None
+    assert rows["a", "w"]["passes_works"] and rows["a", "w"]["detour_path"] is None
