@@ -67,3 +67,29 @@ def consistency(rows: DataFrame, ratio: str) -> DataFrame:
 def run_summary(rows: DataFrame, different: dict[str, str], total: str, time: str) -> DataFrame:
     """One row of a run's figures: rows, different values (name to column), the summed measure (0 without rows) and the first and last time."""
     return rows.agg(F.count("*").alias("total_records"), *(F.countDistinct(c).alias(f"unique_{name}") for name, c in different.items()), F.coalesce(F.sum(total), F.lit(0)).alias(f"total_{total}"), F.min(time).alias(f"min_{time}"), F.max(time).alias(f"max_{time}"))
+
+
+def double_assignments(rows: DataFrame, keys: Sequence[str], kind: str = "route_type") -> DataFrame:
+    """Keys that more than one row takes, and how many do; rows of kind `unassigned` or of none don't count."""
+    return rows.where(F.col(kind) != "unassigned").groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def record_errors(origin: Column, destination: Column, first: Column, last: Column, sections: Column) -> Column:
+    """Codes of what is wrong with a record's texts, in a fixed order; an empty array if nothing is.
+
+    Days are yyyy-MM-dd; their order is judged only where both are days. Sections are numbers joined by `|`, of which
+    empty ones are passed over.
+    """
+    missing = lambda c: F.coalesce(c == "", F.lit(True))
+    day = lambda c: F.try_to_date(c, "yyyy-MM-dd")
+    odd = F.exists(F.split(sections, r"\|"), lambda s: (F.trim(s) != "") & ~F.trim(s).rlike(r"^[+-]?[0-9]+$"))
+    found = {
+        "origin missing": missing(origin), "destination missing": missing(destination), "first day unreadable": day(first).isNull(), "last day unreadable": day(last).isNull(),
+        "first day after last": day(first) > day(last), "sections missing": missing(sections), "section not a number": odd,
+    }
+    return F.array_compact(F.array(*(F.when(wrong, code) for code, wrong in found.items())))
+
+
+def outside(rows: DataFrame, column: str, allowed: Sequence) -> DataFrame:
+    """Values of a column that aren't among the allowed ones (null neither), and how often each is met."""
+    return rows.where(~F.coalesce(F.col(column).isin(*allowed), F.lit(False))).groupBy(column).agg(F.count("*").alias("n"))

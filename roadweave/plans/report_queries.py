@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import measures, paths
-from ..operators import graph, impact, lookup, path_repair, quality, toll
+from ..operators import graph, impact, lookup, mining, path_repair, quality, toll
 from .adapters import SQL, edges, table, trips, with_
 from .queries import _FEE, _UNITS, _fees, _rates, _units, query
 
@@ -111,3 +111,48 @@ def r18_best_detours(spark, sf_dir):
     pairs = n.select(F.col("n_nationkey").alias("source")).crossJoin(F.broadcast(n.select(F.col("n_nationkey").alias("target")))).where("source <> target")
     found = path_repair.best_detours(pairs, edges(spark, sf_dir), [3, 7], _units(spark, sf_dir), _rates(spark), 2)
     return found.withColumns({c: paths.join_path(F.col(c)) for c in ("detour_path", "cheapest_path")} | {c: F.round(c, 6) for c in ("detour_fee", "cheapest_fee")})
+
+
+@query(
+    with_("trips")
+    + """, flows as (select enid, exid, array_to_string(path, '|') as fixed, count(*) as flow from trips group by all), run as (select *, coalesce(sum(flow) over (partition by enid, exid order by flow, fixed rows between unbounded preceding and 1 preceding), 0) as before from flows),
+    given as (select enid, exid, greatest(0, least(flow, 5 + enid - before))::bigint as allocated, unnest(string_split(fixed, '|'))::int as section from run)
+    select section, sum(allocated)::bigint as flow from given where allocated > 0 and section <> enid and section <> exid group by 1"""
+)
+def a15_section_spread(spark, sf_dir):
+    """The flow that greedy_prefix gives to paths, on each of their sections but the ends."""
+    t = trips(spark, sf_dir)
+    flows = t.withColumn("fixed", paths.join_path(F.col("path"))).groupBy("enid", "exid", "fixed").agg(F.count("*").alias("flow"))
+    wanted = t.select("enid", "exid", (F.col("enid") + 5).alias("flow_x")).distinct()
+    given = mining.greedy_prefix(flows, wanted, ["enid", "exid"], "flow", "fixed").withColumn("sections", paths.split_path(F.col("fixed")).cast("array<int>"))
+    return mining.section_flow(given, "sections", "allocated", ["enid", "exid"]).select(F.col("section").cast("int").alias("section"), F.col("flow").cast("bigint").alias("flow"))
+
+
+@query("select o_custkey, o_orderdate, count(*) as n from orders where o_orderstatus <> 'P' group by all having count(*) > 1")
+def n8_double_assignments(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").withColumn("route_type", F.when(F.col("o_orderstatus") == "P", "unassigned").otherwise("pass"))
+    return quality.double_assignments(o, ["o_custkey", "o_orderdate"])
+
+
+@query("select o_orderpriority, count(*) as n from orders where o_orderpriority not in ('1-URGENT', '2-HIGH') group by 1")
+def dq8_outside(spark, sf_dir):
+    return quality.outside(table(spark, sf_dir, "orders"), "o_orderpriority", ["1-URGENT", "2-HIGH"])
+
+
+_RECORD = (
+    "case when k % 7 = 0 then '' when k % 11 <> 0 then 'A' end as origin",
+    "case when k % 5 <> 0 then 'B' else '' end as destination",
+    "case when k % 13 = 0 then '2024/01/05' else '2024-02-05' end as first",
+    "case when k % 3 = 0 then '2024-01-31' when k % 17 = 0 then '2024-02-30' else '2024-02-28' end as last",
+    "case k % 4 when 0 then '1|2' when 1 then '1|x|3' when 2 then '' else ' 4||-5 ' end as sections",
+)
+
+
+@query(
+    f"""select k, array_to_string(list_filter([case when coalesce(origin, '') = '' then 'origin missing' end, case when destination = '' then 'destination missing' end, case when try_strptime(first, '%Y-%m-%d') is null then 'first day unreadable' end,
+    case when try_strptime(last, '%Y-%m-%d') is null then 'last day unreadable' end, case when try_strptime(first, '%Y-%m-%d') > try_strptime(last, '%Y-%m-%d') then 'first day after last' end, case when sections = '' then 'sections missing' end, case when sections like '%x%' then 'section not a number' end], lambda e: e is not null), ',') as errors
+    from (select k, {', '.join(_RECORD)} from (select c_custkey as k from customer))"""
+)
+def dq11_record_errors(spark, sf_dir):
+    records = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).selectExpr("k", *_RECORD)
+    return records.select("k", F.array_join(quality.record_errors(*(F.col(c) for c in ("origin", "destination", "first", "last", "sections"))), ",").alias("errors"))
