@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html_extract, lm_scoring, mixing, quality_rules, sentencepiece_tok, simhash, suffix_dedup, url_filter, warc
+from . import ann, html_extract, language_id, lm_scoring, mixing, quality_rules, sentencepiece_tok, simhash, suffix_dedup, url_filter, warc
 from .common import table
 
 
@@ -53,9 +53,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)).alias("held_out"))
+    return language_id.identify(docs, ~F.col("held_out")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_html_extract, op2_warc, op3_lm_score, op4_url_filter, op5_ann, op6_mix_sources, op7_simhash_near_dedup, op8_suffix_dedup, op9_sentencepiece, op10_quality_rules)
+    for f in (op1_html_extract, op2_warc, op3_lm_score, op4_url_filter, op5_ann, op6_mix_sources, op7_simhash_near_dedup, op8_suffix_dedup, op9_sentencepiece, op10_quality_rules, op11_language_id)
 }
 
 _CANONICAL = r"""
