@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html_extract, language_id, lm_scoring, mixing, quality_rules, sentencepiece_tok, simhash, suffix_dedup, url_filter, warc
+from . import ann, filter_audit, hard_negatives, html_extract, language_id, lm_scoring, mixing, quality_rules, sentencepiece_tok, simhash, suffix_dedup, url_filter, warc
 from .common import table
 
 
@@ -58,9 +58,19 @@ def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, ~F.col("held_out")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flipped = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", flipped.alias("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_html_extract, op2_warc, op3_lm_score, op4_url_filter, op5_ann, op6_mix_sources, op7_simhash_near_dedup, op8_suffix_dedup, op9_sentencepiece, op10_quality_rules, op11_language_id)
+    for f in (op1_html_extract, op2_warc, op3_lm_score, op4_url_filter, op5_ann, op6_mix_sources, op7_simhash_near_dedup, op8_suffix_dedup, op9_sentencepiece, op10_quality_rules, op11_language_id, op12_hard_negatives, op13_filter_audit)
 }
 
 _CANONICAL = r"""
@@ -110,4 +120,51 @@ ORACLE_SQL: dict[str, str] = {
         ), ranked as (select *, row_number() over (partition by query_id order by score, vec_id)::int as rank from pairs)
         select query_id, rank, vec_id, score from ranked where rank <= 10
     """,
+    "op12_hard_negatives": """
+        with v as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda e: floor(256 * e::double)::bigint) as q from embeddings
+            where label is not null and embedding is not null and len(embedding) = 64 and len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0
+        ), scored as (
+            select a.vec_id as anchor_id, a.label = c.label as same, c.vec_id,
+                list_reduce(list_transform(range(1, 65), lambda i: a.q[i] * c.q[i]), lambda x, y: x + y) as score
+            from v a join v c on a.vec_id % 100 = 0 and a.vec_id <> c.vec_id
+        ), positives as (
+            select anchor_id, vec_id as positive_id, score as positive_score from (
+                select *, row_number() over (partition by anchor_id order by score desc, vec_id) as n from scored where same) where n <= 5
+        ), ranked as (
+            select p.*, s.vec_id as negative_id, s.score as negative_score,
+                row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id)::int as rank
+            from positives p join scored s on p.anchor_id = s.anchor_id and not s.same
+                and 80 * p.positive_score <= 100 * s.score and 100 * s.score <= 100 * p.positive_score
+        )
+        select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from ranked where rank <= 5
+    """,
+    "op13_filter_audit": r"""
+        with recursive texts as (
+            select doc_id, coalesce(source, '') as part, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+        ), flags as (
+            select doc_id, max((coalesce(quality, 0) = 1)::int) as good, max((coalesce(toxic, 0) = 1)::int) as toxic from labels where doc_id is not null group by 1
+        ), masks as (
+            select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+                (len(w) < 200)::int + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::int + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::int
+                + 8 * regexp_matches(t, '[#$%&*|]')::int + 16 * coalesce(min(texts.doc_id) over (partition by t) < texts.doc_id, false)::int as mask
+            from texts left join flags on texts.doc_id = flags.doc_id
+        ), hist as (
+            select part, mask, count(*) as n, sum(good) as good, sum(toxic) as toxic from masks group by 1, 2
+        ), letters(f, bit) as (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+        grown(o, step, bit, before) as (
+            select f, 1, bit, 0 from letters
+            union all select o || f, step + 1, letters.bit, before | grown.bit from grown join letters on instr(o, f) = 0
+        ), orders as (select o as filter_order from grown where step = 5),
+        steps as (select filter_order, step, bit, before from orders join grown on starts_with(filter_order, o))
+        select part, filter_order, step,
+            sum(case when mask & (before | bit) = 0 then n else 0 end)::bigint as kept,
+            sum(case when mask & bit > 0 and mask & before = 0 then n else 0 end)::bigint as removed,
+            sum(case when mask & bit > 0 and mask & before > 0 then n else 0 end)::bigint as redundant,
+            sum(case when mask = bit then n else 0 end)::bigint as unique_fails,
+            sum(case when mask & bit > 0 and mask & before = 0 then good else 0 end)::bigint as good_lost,
+            sum(case when mask & bit > 0 and mask & before = 0 then toxic else 0 end)::bigint as toxic_lost,
+            sum(case when mask & bit > 0 then n * 120 // bit_count(mask) else 0 end)::bigint as shapley
+        from hist cross join steps group by 1, 2, 3
+    """,
 }
