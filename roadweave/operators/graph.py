@@ -8,12 +8,14 @@ joins, one a level, on edges that Spark broadcasts or shuffles as their size dem
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import stored
+
 #: Edges beyond which a graph isn't broadcast.
 MOST_EDGES = 2_000_000
 
@@ -172,6 +174,72 @@ def bounded_paths(paths: DataFrame, factor: float = 2.0, most: int | None = None
     return found.where(F.col("path_no") <= most) if most else found
 
 
+def remaining_miles(targets: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
+    """(target, node, rest): the fewest miles from a node to a target in at most 0, 1, .. max_depth steps; null where none lead there. targets: target."""
+    shared = shared_graph(edges)
+    node = dict(edges.dtypes)["src"]
+
+    def run(batches):
+        previous = graph_of(shared).previous
+        for batch in batches:
+            for target in batch["target"].tolist():
+                best, rows, front = {target: 0}, {target: [0.0]}, {target}
+                for steps in range(1, max_depth + 1):
+                    nearer = {}
+                    for b in front:
+                        for a, miles in previous.get(b, {}).items():
+                            nearer[a] = min(nearer.get(a, best.get(a, float("inf"))), best[b] + miles)
+                    front = {a for a, m in nearer.items() if m < best.get(a, float("inf"))}
+                    best |= {a: nearer[a] for a in front}
+                    for a in best:
+                        mine = rows.setdefault(a, [])
+                        mine += [None] * (steps - len(mine)) + [float(best[a])]
+                yield pd.DataFrame({"target": [target] * len(rows), "node": list(rows), "rest": list(rows.values())})
+
+    return targets.select(F.col("target").cast(node)).where("target is not null").distinct().mapInPandas(run, f"target {node}, node {node}, rest array<double>")
+
+
+def bounded_levels(pairs: DataFrame, edges: DataFrame, factor: float = 2.0, max_depth: int = 30) -> Iterator[DataFrame]:
+    """After each step the partial paths that can still reach their target within the bound: source, target, node, miles, path, bound.
+
+    The bound is factor times the pair's shortest miles in at most max_depth steps. A partial path goes as soon as its miles and the
+    fewest that are left, in the steps that are left, exceed it. Each level is stored, so the next one doesn't plan it again.
+    """
+    node = dict(edges.dtypes)["src"]
+    wanted = pairs.select(F.col("source").cast(node), F.col("target").cast(node)).where("source <> target").distinct()
+    rest = stored(remaining_miles(wanted.select("target"), edges, max_depth), "bounded-rest")
+    step = edges.where("src <> dst").groupBy(F.col("src").alias("_src"), F.col("dst").alias("_dst")).agg(F.min("miles").alias("_miles"))
+    ends = rest.select("target", F.col("node").alias("source"), (F.element_at("rest", -1) * factor).alias("bound"))
+    front = wanted.join(ends, ["source", "target"]).select("source", "target", F.col("source").alias("node"), F.lit(0).cast(dict(edges.dtypes)["miles"]).alias("miles"), F.array("source").alias("path"), "bound")
+    for depth in range(1, max_depth + 1):
+        grown = front.where("node <> target").join(step, front["node"] == step["_src"]).where(~F.array_contains("path", F.col("_dst")))
+        grown = grown.select("source", "target", F.col("_dst").alias("node"), (F.col("miles") + F.col("_miles")).alias("miles"), F.array_append("path", F.col("_dst")).alias("path"), "bound")
+        left = rest.select("target", "node", F.get("rest", F.lit(max_depth - depth)).alias("_rest"))
+        front = stored(grown.join(left, ["target", "node"]).where(F.col("miles") + F.col("_rest") <= F.col("bound")).select("source", "target", "node", "miles", "path", "bound"), "bounded-level")
+        if front.isEmpty():
+            return
+        yield front
+
+
+def bounded_search(pairs: DataFrame, edges: DataFrame, factor: float = 2.0, max_depth: int = 30, most: int | None = 100) -> DataFrame:
+    """Simple paths of at most max_depth steps and factor times their pair's shortest miles, the `most` best of each pair: source, target, path_no, miles, path.
+
+    Best is fewest miles, then fewest units, then the path that sorts first. A pair of one unit has no path, nor has one that no path joins.
+    Runs a job a level when called.
+    """
+    from pyspark.sql.window import Window
+
+    found = None
+    for level in bounded_levels(pairs, edges, factor, max_depth):
+        there = level.where("node = target").select("source", "target", "miles", "path")
+        found = there if found is None else found.unionByName(there)
+    if found is None:
+        found = pairs.join(edges, F.lit(False)).select("source", "target", "miles", F.array("src").alias("path"))
+    rank = F.row_number().over(Window.partitionBy("source", "target").orderBy("miles", F.size("path"), "path"))
+    found = found.withColumn("path_no", rank)
+    return (found if most is None else found.where(F.col("path_no") <= most)).select("source", "target", "path_no", "miles", "path")
+
+
 def levels_from(step: dict, source, max_level: int, blocked=frozenset()) -> dict:
     """Steps from source to each node within max_level; blocked nodes aren't entered. step: node to its next nodes."""
     seen, front = {source: 0}, [source]

@@ -64,8 +64,7 @@ def g6_all_paths(spark, sf_dir):
 
 @query(_CTE + _simple("select n_nationkey from nation", 6) + ", least_of as (select *, min(miles) over (partition by source, target) as m from ranked) select source, target, path_no::int as path_no, miles, array_to_string(path, '|') as path from least_of where miles <= 2 * m and path_no <= 4")
 def g10_bounded(spark, sf_dir):
-    sources = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("source"))
-    return _named(graph.bounded_paths(graph.simple_paths(edges(spark, sf_dir), sources, 6), 2.0, 4))
+    return _named(graph.bounded_search(_pairs(spark, sf_dir), edges(spark, sf_dir), 2.0, 6, 4))
 
 
 def _levels(start: str, depth: int, more: str = "", a: str = "src", b: str = "dst") -> str:

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import dates, measures
-from ..operators import lookup
+from ..operators import lookup, numbering
 from ..sources import sinks
 from .adapters import SQL, edges, table, trips, with_
 from .queries import query
@@ -52,7 +51,7 @@ def a25_adjacency(spark, sf_dir):
 @query(with_("trips") + " select depth, n, sum(n) over (order by depth)::bigint as reached from (select len(path)::int as depth, count(*) as n from trips group by len(path))")
 def w4_cumulative(spark, sf_dir):
     n = trips(spark, sf_dir).groupBy(F.size("path").alias("depth")).agg(F.count("*").alias("n"))
-    return n.withColumn("reached", F.sum("n").over(Window.orderBy("depth").rowsBetween(Window.unboundedPreceding, 0)))
+    return numbering.running_sums(n, ["depth"], {"reached": "n"})
 
 
 @query("select greatest(date '1993-02-01', least(date '1997-10-15', o_orderdate::date)) as stat_day, count(*) as n from orders group by 1")
@@ -148,8 +147,18 @@ def g19_near_works(spark, sf_dir):
     return near_works(table(spark, sf_dir, "customer"), works, edges(spark, sf_dir), "c_nationkey", 3)
 
 
-@query("select * from (select row_number() over (order by p_retailprice desc, p_partkey) as n, p_partkey from part) where n <= 500")
+@query("select row_number() over (order by p_retailprice desc, p_partkey)::bigint as n, p_partkey from part")
 def w5_global_number(spark, sf_dir):
-    """A ranked report of 500 rows: the number is that of the report's order."""
-    top = table(spark, sf_dir, "part").orderBy(F.desc("p_retailprice"), "p_partkey").limit(500).select("p_retailprice", "p_partkey")
-    return top.withColumn("n", F.row_number().over(Window.orderBy(F.desc("p_retailprice"), "p_partkey")).cast("bigint")).select("n", "p_partkey")
+    """All parts, numbered from the dearest."""
+    parts = table(spark, sf_dir, "part").select("p_retailprice", "p_partkey")
+    return numbering.numbered(parts, [F.desc("p_retailprice"), F.col("p_partkey")]).select("n", "p_partkey")
+
+
+@query(
+    "select o_orderkey, sum((o_totalprice * 100)::bigint) over (order by o_orderdate, o_orderkey)::bigint as cents, "
+    "sum(1) over (order by o_orderdate, o_orderkey)::bigint as orders from (select o_orderkey, o_orderdate, o_totalprice::decimal(15, 2) as o_totalprice from orders)"
+)
+def w4_running_total(spark, sf_dir):
+    """What all orders up to each one come to, and how many they are."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", (F.col("o_totalprice").cast("decimal(15,2)") * 100).cast("bigint").alias("price"), F.lit(1).alias("one"))
+    return numbering.running_sums(orders, ["o_orderdate", "o_orderkey"], {"cents": "price", "orders": "one"}).select("o_orderkey", "cents", "orders")
