@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .joins import asof_join
+
 
 def hourly_flow(records: DataFrame, path: str = "path", times: str = "times", keys: tuple[str, ...] = ("vehicle_type",)) -> DataFrame:
     """Flow of each unit, hour and key: a record counts once for a unit and hour, however often it passes.
@@ -68,9 +70,7 @@ def od_key(*columns: str) -> Column:
 
 
 def asof_version(months: DataFrame, versions: DataFrame, default: str = "202603", month: str = "month", version: str = "version") -> DataFrame:
-    """Each distinct month with the latest version not after it, or default. There are few versions; up to 10,000 are broadcast, more are refused."""
-    m, few = months.select(month).distinct(), versions.select(version).distinct().limit(10_001)
-    if few.count() > 10_000:
-        raise ValueError("more than 10000 versions")
-    found = m.join(F.broadcast(few), F.col(version) <= F.col(month), "left").groupBy(month).agg(F.max(version).alias("found"))
-    return found.select(month, F.coalesce("found", F.lit(default)).alias(version))
+    """Each distinct month with the latest version not after it, or default."""
+    known = versions.select(F.col(version).alias(month), F.col(version).alias("_version")).distinct()
+    found = asof_join(months.select(month).distinct(), known, month, value="_version")
+    return found.select(month, F.coalesce("_version", F.lit(default)).alias(version))

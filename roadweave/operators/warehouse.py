@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .joins import band_join
+
 #: Passenger-car units of the vehicle classes 1 to 6, and vehicles an hour of a lane by design speed. Fixed values.
 PCU = {1: 1.0, 2: 1.5, 3: 2.0, 4: 3.0, 5: 2.5, 6: 1.0}
 LANE_CAPACITY = {120: 2200, 100: 2100, 80: 2000, 60: 1800}
@@ -67,15 +69,11 @@ def impacted_flow(capacity: DataFrame, flow: DataFrame, on: Sequence[str]) -> Da
 def range_rules(rows: DataFrame, rules: DataFrame, x: str, y: str, kind: str, day: str) -> DataFrame:
     """Each row with the rule whose half-open bands hold x and y, whose vehicle type is the row's or any (null), and that is valid on the day.
 
-    rules: rule_id, x_min, x_max, y_min, y_max, rule_type, valid_from, valid_to (null: open), ratio. There are few rules;
-    up to 1,000 are broadcast, more are refused.
+    rules: rule_id, x_min, x_max, y_min, y_max, rule_type, valid_from, valid_to (null: open), ratio.
     """
-    few = rules.limit(1001)
-    if few.count() > 1000:
-        raise ValueError("more than 1000 rules")
-    r = F.broadcast(few)
-    on = (F.col(x) >= r.x_min) & (F.col(x) < r.x_max) & (F.col(y) >= r.y_min) & (F.col(y) < r.y_max) & (r.rule_type.isNull() | (F.col(kind) == r.rule_type)) & (F.col(day) >= r.valid_from) & (r.valid_to.isNull() | (F.col(day) <= r.valid_to))
-    return rows.join(r, on, "left").drop("x_min", "x_max", "y_min", "y_max", "rule_type", "valid_from", "valid_to")
+    own = F.col("rule_type").isNull() | (F.col(kind) == F.col("rule_type"))
+    valid = (F.col(day) >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col(day) <= F.col("valid_to")))
+    return band_join(rows, rules, x, y, own & valid).drop("x_min", "x_max", "y_min", "y_max", "rule_type", "valid_from", "valid_to")
 
 
 def scheme_summary(results: DataFrame, sections: DataFrame, schemes: DataFrame, key: str) -> DataFrame:
