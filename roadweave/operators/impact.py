@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.measures import MEASURES, derived_impact, safe_div
+from ..shared import stored
 
 
 def mid_trip_exits(trips: DataFrame, ods: DataFrame, hours: float = 6.0, vehicle: str = "vehicle") -> DataFrame:
@@ -133,3 +134,49 @@ def rate_matrix(rows: DataFrame, row: str, column: str, values: Sequence) -> Dat
         return F.coalesce(lost * 100.0 / F.nullif(affected, F.lit(0)), F.lit(0.0))
 
     return rows.groupBy(row).agg(*(rate(F.col(column) == v).alias(f"v{v}") for v in values), rate(F.lit(True)).alias("all"))
+
+
+def affected_paths(paths: DataFrame, works: DataFrame) -> DataFrame:
+    """Paths of every pair that some works affect, once for each such works: works_id, enid, exid, path_key, path, affected, is_affected, anchor.
+
+    paths: enid, exid, path_key, path (one row each); works: works_id, units. A pair is affected if any of its paths visits any unit of the works.
+    affected: the works' units that the path visits, in the works' order; anchor: the first of them, else the path's first unit. Paths
+    meet works by unit, pairs by both ends.
+    """
+    units = works.select("works_id", F.posexplode("units").alias("nth", "unit"))
+    visits = paths.select("enid", "exid", "path_key", F.explode(F.array_distinct("path")).alias("unit"))
+    hit = visits.join(units, "unit").groupBy("works_id", "enid", "exid", "path_key").agg(F.sort_array(F.collect_set(F.struct("nth", "unit"))).alias("hit"))
+    hit = stored(hit.withColumn("affected", F.array_distinct(F.transform("hit", lambda h: h["unit"]))).drop("hit"), "affected-paths")
+    every = paths.join(hit.select("works_id", "enid", "exid").distinct(), ["enid", "exid"])
+    found = every.join(hit, ["works_id", "enid", "exid", "path_key"], "left")
+    none = F.coalesce("affected", F.array().cast(dict(hit.dtypes)["affected"]))
+    return found.select("works_id", "enid", "exid", "path_key", "path", none.alias("affected"), F.col("affected").isNotNull().alias("is_affected"), F.coalesce(F.get("affected", F.lit(0)), F.get("path", F.lit(0))).alias("anchor"))
+
+
+def anchor_flow(trips: DataFrame, works: DataFrame, keys: Sequence[str] = ("vehicle_type",), years: int = 1, path_key: Column | None = None) -> DataFrame:
+    """Flow of each path that matters to a works, at its anchor, over the works' days and the same days `years` before, by vehicle type.
+
+    trips: enid, exid, path, times (of each visit) and keys; works: works_id, units, start, end (days, both included). Returns works_id, enid, exid, path_key, affected,
+    is_affected, anchor, keys, con_flow, sp_flow. What counts is the hour at which the anchor is passed, not that of entry; a trip counts once for an hour at it. Each path comes with every
+    vehicle type that any of the works' paths had in either period (`0` if none had), but an affected path without flow in both goes.
+    Trips are counted by path, unit and hour before works are joined; only visits of units that anchor their path are counted.
+    """
+    text = F.array_join(F.col("path").cast("array<string>"), "|") if path_key is None else path_key
+    mine = trips.withColumn("path_key", text)
+    paths = mine.select("enid", "exid", "path_key", "path").groupBy("enid", "exid", "path_key").agg(F.first("path").alias("path"))
+    wanted = stored(affected_paths(paths, works), "anchors-wanted")
+    anchors = wanted.groupBy("enid", "exid", "path_key").agg(F.collect_set("anchor").alias("anchors"))
+    visits = F.transform(F.arrays_zip(F.col("path").alias("unit"), F.col("times").alias("at")), lambda v: F.struct(v["unit"].alias("unit"), F.date_trunc("hour", v["at"]).alias("hour")))
+    there = mine.join(anchors, ["enid", "exid", "path_key"]).select("enid", "exid", "path_key", *keys, F.explode(F.array_distinct(F.filter(visits, lambda v: F.array_contains("anchors", v["unit"]) & v["hour"].isNotNull()))).alias("v"))
+    hourly = there.groupBy("enid", "exid", "path_key", F.col("v.unit").alias("anchor"), F.col("v.hour").alias("hour"), *keys).agg(F.count("*").alias("n"))
+    days = works.select("works_id", F.col("start").alias("_a"), F.col("end").alias("_b"), F.add_months("start", -12 * years).alias("_c"), F.add_months("end", -12 * years).alias("_d"))
+    timed = wanted.select("works_id", "enid", "exid", "path_key", "anchor").join(days, "works_id").join(hourly, ["enid", "exid", "path_key", "anchor"])
+    within = lambda a, b: F.to_date("hour").between(F.col(a), F.col(b))
+    flows = timed.where(within("_a", "_b") | within("_c", "_d")).groupBy("works_id", "enid", "exid", "path_key", *keys).agg(period_sum("n", within("_a", "_b")).alias("con_flow"), period_sum("n", within("_c", "_d")).alias("sp_flow"))
+    flows = stored(flows, "anchors-flows")
+    types = flows.select("works_id", *keys).distinct()
+    first = works.select("works_id").join(types, "works_id", "left")
+    kinds = dict(flows.dtypes)
+    first = first.select("works_id", *(F.coalesce(F.col(k), F.lit("0").cast(kinds[k])).alias(k) for k in keys)).distinct()
+    every = wanted.drop("path").join(first, "works_id").join(flows, ["works_id", "enid", "exid", "path_key", *keys], "left").fillna(0, ["con_flow", "sp_flow"])
+    return every.where("not is_affected or con_flow > 0 or sp_flow > 0")

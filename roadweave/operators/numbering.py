@@ -8,6 +8,7 @@ keys are told apart by a hash of the whole row, so that one value that many rows
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -69,3 +70,36 @@ def running_sums(df: DataFrame, order: Sequence[Column | str], sums: dict[str, s
     parts = _in_ranges(whole, order, list(names.values()), ranges)
     shifted = _shifted(parts, {f"_{c}_before": F.max_by(n, "_row") for c, n in names.items()})
     return shifted.select(*df.columns, *((F.col(n) + F.col(f"_{c}_before")).alias(c) for c, n in names.items()))
+
+
+def grown_ids(old: DataFrame, rows: DataFrame, keys: Sequence[str], id_col: str = "id", ranges: int | None = None) -> DataFrame:
+    """(keys, id) of each key that rows have and old lacks, numbered after old's largest id in the order of the keys; old: keys, id.
+
+    So ids are dense and stay: a key that has one keeps it, and a second run over the same rows adds none. Nulls in keys are a value
+    of their own. Runs jobs when called, as `numbered` does.
+    """
+    mine = rows.select(*keys).distinct()
+    named = old.select(*(F.col(k).alias(f"_{k}") for k in keys))
+    same = reduce(lambda a, b: a & b, (mine[k].eqNullSafe(named[f"_{k}"]) for k in keys))
+    new = numbered(mine.join(named, same, "left_anti"), keys, id_col, ranges)
+    top = old.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint")).first()[0]  # one number
+    return new.withColumn(id_col, F.col(id_col) + F.lit(top))
+
+
+def keep_ids(path: str, rows: DataFrame, keys: Sequence[str], id_col: str = "id") -> DataFrame:
+    """The stored table (keys, id) at path after ids for keys that it lacks are added to it; the table is made if it isn't there."""
+    spark = rows.sparkSession
+    schema = ", ".join(f"`{k}` {kind}" for k, kind in rows.select(*keys).dtypes) + f", `{id_col}` bigint"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        spark.createDataFrame([], schema).write.parquet(path)
+    grown_ids(spark.read.schema(schema).parquet(path), rows, keys, id_col).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def with_ids(rows: DataFrame, ids: DataFrame, columns: dict[str, str], key: str, id_col: str = "id") -> DataFrame:
+    """rows with the ids of several of their columns: columns names each column and the new one for its id; null where ids (key, id) has none."""
+    for i, (column, out) in enumerate(columns.items()):
+        named = ids.select(F.col(key).alias(f"_key{i}"), F.col(id_col).alias(out))
+        rows = rows.join(named, F.col(column) == F.col(f"_key{i}"), "left").drop(f"_key{i}")
+    return rows

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import dates, measures
 from ..operators import lookup, numbering
+from ..shared import stored
 from ..sources import sinks
-from .adapters import SQL, edges, table, trips, with_
+from .adapters import SQL, edges, table, timed_trips, trips, with_
 from .queries import query
 
 
@@ -123,6 +125,7 @@ def _period_flows(spark, sf_dir):
 
 @query(with_("trips") + f", {_PERIOD} select * from flows")
 def a7_period_flow(spark, sf_dir):
+    """Flow by entry time; a7_anchor_flow has that at the anchor."""
     return _period_flows(spark, sf_dir)
 
 
@@ -162,3 +165,63 @@ def w4_running_total(spark, sf_dir):
     """What all orders up to each one come to, and how many they are."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", (F.col("o_totalprice").cast("decimal(15,2)") * 100).cast("bigint").alias("price"), F.lit(1).alias("one"))
     return numbering.running_sums(orders, ["o_orderdate", "o_orderkey"], {"cents": "price", "orders": "one"}).select("o_orderkey", "cents", "orders")
+
+
+@query(
+    with_("trips") + ", ods as (select enid, exid, min(entime) < timestamp '1994-01-01' as early from trips group by 1, 2),"
+    " old as (select enid, exid, row_number() over (order by enid, exid) as id from ods where early)"
+    " select * from old union all select enid, exid, (select coalesce(max(id), 0) from old) + row_number() over (order by enid, exid) from ods where not early"
+)
+def k4_stable_ids(spark, sf_dir):
+    """Ids of pairs after two runs: those of the first, over the trips before 1994, stay in the second over all trips."""
+    t = trips(spark, sf_dir).select("enid", "exid", "entime")
+    none = spark.createDataFrame([], "enid int, exid int, id bigint")
+    old = stored(numbering.grown_ids(none, t.where("entime < timestamp_ntz '1994-01-01'"), ["enid", "exid"]), "od-ids")
+    return old.unionByName(numbering.grown_ids(old, t, ["enid", "exid"]))
+
+
+@query(f"with {SQL['edges']}, ids as (select node, row_number() over (order by node) as id from (select src as node from edges union select dst from edges)) select src, dst, a.id as source, b.id as target, miles from edges join ids a on src = a.node join ids b on dst = b.node")
+def j11_edge_ids(spark, sf_dir):
+    """Edges with the ids of their ends."""
+    e = edges(spark, sf_dir)
+    nodes = e.select(F.explode(F.array("src", "dst")).alias("node"))
+    ids = stored(numbering.grown_ids(spark.createDataFrame([], "node int, id bigint"), nodes, ["node"]), "node-ids")
+    return numbering.with_ids(e, ids, {"src": "source", "dst": "target"}, "node").select("src", "dst", "source", "target", F.col("miles").cast("bigint").alias("miles"))
+
+
+_EARLY = "where entime < timestamp '1997-01-01'"
+_RANKED = "select enid, exid, rank() over (partition by enid order by count(*) desc) as rank from trips {} group by 1, 2"
+
+
+@query(with_("trips") + f", old as ({_RANKED.format(_EARLY)}), new as ({_RANKED.format('')}) select o.enid, o.exid, n.rank::int as rank from old o join new n on o.enid = n.enid and o.exid = n.exid where o.rank is distinct from n.rank")
+def k6_changed_ranks(spark, sf_dir):
+    """Pairs whose rank by trips is another once all trips count, with the new rank: what a write-back would touch."""
+    t = trips(spark, sf_dir).select("enid", "exid", "entime")
+    ranks = lambda df: df.groupBy("enid", "exid").agg(F.count("*").alias("n")).withColumn("rank", F.rank().over(Window.partitionBy("enid").orderBy(F.desc("n")))).drop("n")
+    return sinks.changed_rows(ranks(t.where("entime < timestamp_ntz '1997-01-01'")), ranks(t), ["enid", "exid"], ["rank"])
+
+
+@query(
+    "with trips as (select o_orderkey as trip_id, substr(o_orderpriority, 1, 1)::int as vehicle_type, o_orderdate as entime, list(s_nationkey order by l_linenumber, l_partkey, l_suppkey) as path from orders join lineitem on o_orderkey = l_orderkey join supplier on l_suppkey = s_suppkey group by all),"
+    " works as (select n_nationkey as works_id, [n_nationkey, (n_nationkey + 9) % 25] as units, date '1995-01-01' + (n_nationkey * 40)::int as a, date '1995-01-01' + (n_nationkey * 40 + 120)::int as b from nation where n_nationkey % 7 = 2),"
+    " named as (select *, path[1] as enid, path[-1] as exid, array_to_string(path, '|') as path_key from trips),"
+    " paths as (select distinct enid, exid, path_key, path from named),"
+    " hit as (select works_id, p.*, list_filter(units, lambda u: list_contains(path, u)) as affected, units from paths p, works),"
+    " wanted as (select * from hit where (works_id, enid, exid) in (select (works_id, enid, exid) from hit where len(affected) > 0)),"
+    " anchored as (select *, coalesce(affected[1], path[1]) as anchor from wanted),"
+    " hours as (select distinct trip_id, enid, exid, path_key, vehicle_type, path[i] as unit, date_trunc('hour', entime + (40 * (i - 1)) * interval 1 minute) as hour from named, unnest(range(1, len(path) + 1)) x(i)),"
+    " flows as (select t.works_id, t.enid, t.exid, t.path_key, vehicle_type, count(*) filter (hour::date between a and b) as con_flow, count(*) filter (hour::date between (a - interval 12 months)::date and (b - interval 12 months)::date) as sp_flow"
+    " from anchored t join works w on t.works_id = w.works_id join hours h on h.enid = t.enid and h.exid = t.exid and h.path_key = t.path_key and h.unit = t.anchor group by 1, 2, 3, 4, 5 having con_flow > 0 or sp_flow > 0),"
+    " types as (select distinct works_id, vehicle_type from flows)"
+    " select t.works_id, t.enid, t.exid, t.path_key, array_to_string(affected, '|') as affected, len(affected) > 0 as is_affected, anchor, y.vehicle_type, coalesce(con_flow, 0) as con_flow, coalesce(sp_flow, 0) as sp_flow"
+    " from anchored t join types y on t.works_id = y.works_id left join flows f on f.works_id = t.works_id and f.enid = t.enid and f.exid = t.exid and f.path_key = t.path_key and f.vehicle_type = y.vehicle_type"
+    " where len(affected) = 0 or con_flow > 0 or sp_flow > 0"
+)
+def a7_anchor_flow(spark, sf_dir):
+    """Flow of all paths of affected pairs at their anchors, over four works' periods and the same ones a year before."""
+    from ..operators.impact import anchor_flow
+
+    n, first = F.col("n_nationkey"), F.lit("1995-01-01").cast("date")
+    works = table(spark, sf_dir, "nation").where("n_nationkey % 7 = 2").select(n.alias("works_id"), F.array(n, (n + 9) % 25).alias("units"), F.date_add(first, (n * 40).cast("int")).alias("start"), F.date_add(first, (n * 40 + 120).cast("int")).alias("end"))
+    found = anchor_flow(timed_trips(spark, sf_dir).select("enid", "exid", "path", "times", "vehicle_type"), works)
+    return found.withColumn("affected", F.array_join(F.col("affected").cast("array<string>"), "|"))

@@ -1,4 +1,4 @@
-"""Readers of trips, path records and dimensions. Files are read by Spark; only a header line is peeked at."""
+"""Readers of trips, path records and dimensions. Files are read by Spark; one job tells which of them have a header."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from ..functions.paths import split_path
@@ -16,24 +16,36 @@ TRIP_COLUMNS = ("exid", "enid", "intervalgroup", "intervaltimegroup", "envehicle
 HEADER_WORDS = ("enid", "exid", "intervalgroup")
 
 
-def has_header(spark: SparkSession, path: str) -> bool:
-    """Whether the first line names columns; an empty file counts as one with a header."""
-    first = spark.read.text(path).limit(1).collect()
-    return not first or any(word in first[0][0] for word in HEADER_WORDS)
+def file_headers(spark: SparkSession, paths: str | Sequence[str], encoding: str = "utf-8") -> dict[str, list[str]]:
+    """Column names in the first line of each file that has some, by file, in one job over all of them. A file is told by its path.
+
+    A first line names columns if any of HEADER_WORDS is in it. There is a row a file that has a header; a month has 31 files.
+    """
+    lines = spark.read.option("encoding", encoding).text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
+    # a task reads the lines of a file's first block in order
+    first = lines.where("at = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("path").agg(F.min_by("value", "n").alias("value"))
+    first = first.where(F.col("value").rlike("|".join(HEADER_WORDS))).collect()
+    return {r["path"]: [c.strip().strip('"') for c in r["value"].lstrip("\ufeff").rstrip("\r").split(",")] for r in first}
 
 
 def read_trip_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] = TRIP_COLUMNS, encoding: str = "utf-8") -> DataFrame:
-    """All columns as text, by name where files have a header and by position where not; what a file lacks is null, short rows are filled with nulls."""
+    """All columns as text, by name where files have a header and by position where not; what a file lacks is null, short rows are filled with nulls.
+
+    One job finds the headers; files of one header are one scan, however many they are. Files without one have all of TRIP_COLUMNS in order.
+    """
+    heads = file_headers(spark, paths, encoding)
+    every = [r["path"] for r in spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("path")).collect()]  # names only, contents aren't read
+    forms: dict[tuple, list[str]] = {}
+    for path in sorted(every):
+        forms.setdefault(tuple(heads.get(path, ())), []).append(path)
     out = None
-    for path in [paths] if isinstance(paths, str) else paths:
-        reader = spark.read.option("encoding", encoding).option("mode", "PERMISSIVE")
-        if has_header(spark, path):
-            found = reader.option("header", True).option("inferSchema", False).csv(path)
-            found = found.select(*(F.col(f"`{c}`") if c in found.columns else F.lit(None).cast("string").alias(c) for c in columns))
-        else:
-            found = reader.schema(StructType.fromDDL(", ".join(f"`{c}` string" for c in columns))).csv(path)
+    for header, files in sorted(forms.items()):
+        names = list(header or TRIP_COLUMNS)
+        schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))])
+        found = spark.read.option("encoding", encoding).option("mode", "PERMISSIVE").option("header", bool(header)).option("enforceSchema", True).schema(schema).csv(files)
+        found = found.select(*(F.col(f"c{names.index(c)}").alias(c) if c in names else F.lit(None).cast("string").alias(c) for c in columns))
         out = found if out is None else out.unionByName(found)
-    return out
+    return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns)) if out is None else out
 
 
 def daily_files(spark: SparkSession, folder: str, month: str) -> DataFrame:
@@ -45,6 +57,13 @@ def daily_files(spark: SparkSession, folder: str, month: str) -> DataFrame:
     return found
 
 
+def missing_days(spark: SparkSession, folder: str, month: str) -> DataFrame:
+    """stat_day of each day of the month that has no file, or an empty one."""
+    first = F.to_date(F.lit(f"{month}01"), "yyyyMMdd")
+    days = spark.range(1).select(F.explode(F.sequence(first, F.last_day(first))).alias("stat_day"))
+    return days.join(daily_files(spark, folder, month).select("stat_day"), "stat_day", "left_anti")
+
+
 def read_daily_trips(spark: SparkSession, folder: str, month: str, header: bool = True) -> DataFrame:
     """A month's daily files with the day of each row's file."""
     found = spark.read.option("header", header).schema(StructType.fromDDL(", ".join(f"`{c}` string" for c in TRIP_COLUMNS))).option("enforceSchema", True).option("pathGlobFilter", "data_*.csv").csv(f"{folder}/{month}")
