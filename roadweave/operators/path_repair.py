@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import measures
+from ..shared import stored
 from . import toll
 from .graph import RoadGraph, graph_of, k_shortest_paths, shared_graph, shortest_paths
 
@@ -49,22 +50,17 @@ def common_subsequence(a: Sequence, b: Sequence) -> int:
 
 
 def without_returns(nodes: Sequence) -> list:
-    """Without ways that come back to a place met before: both visits and all between them go.
+    """Without ways that come back to a place: from its first visit on, all goes up to its last one, both included.
 
-    A place is also known where it stood in a part that has gone; coming back to it cuts the path at its old position.
+    Places that were only met in a part that has gone don't count again: a later visit of one is its first. Fewer than three nodes stay.
     """
-    if len(nodes) < 3:
-        return list(nodes)
-    first: dict[str, int] = {}
-    out: list = []
-    for v in nodes:
-        place = str(v)[:PLACE]
-        if place in first:
-            del out[first[place] :]
-        else:
-            first[place] = len(out)
-            out.append(v)
-    return out
+    last = {str(v)[:PLACE]: i for i, v in enumerate(nodes)}
+    out, i = [], 0
+    while i < len(nodes) and len(nodes) > 2:
+        back = last[str(nodes[i])[:PLACE]]
+        out += nodes[i : i + 1] if back == i else []
+        i = back + 1
+    return out if len(nodes) > 2 else list(nodes)
 
 
 class Repair:
@@ -260,3 +256,25 @@ def best_detours(pairs: DataFrame, edges: DataFrame, works: Sequence, units: Dat
         F.min_by("path", F.struct("fee", "path_no")).alias("cheapest_path"), F.min("fee").alias("cheapest_fee"),
     )
     return direct.join(best, ["source", "target"], "left")
+
+
+def repair_report(records: DataFrame, edges: DataFrame, id_col: str, nodes: DataFrame, works: Sequence, units: DataFrame, rates: DataFrame, vehicle_type: int = 11, config: RepairConfig = RepairConfig(returns=True)) -> DataFrame:
+    """All that a user reads of a repair, a row a record (id, enid, exid, path): repair_paths with
+
+    result, the units between the ends; points and missing, the path's coordinates and the units without (nodes: unit, lon, lat); passes_works, whether the
+    repaired path meets one of the works' units, and direct_passes_works, whether the shortest way between its ends does; and for paths that meet them
+    the ways around them of best_detours, once a pair of ends. Ways out and back are cut (config). A record without a path has no points and passes nothing.
+    """
+    node = dict(edges.dtypes)["src"]
+    ends = records.select(id_col, *(F.col(c).cast(node).alias(c) for c in ("enid", "exid")))
+    found = stored(repair_paths(records, edges, id_col, config).join(ends, id_col), "repair-report")
+    met = F.arrays_overlap("path", F.array(*(F.lit(w) for w in works)).cast(f"array<{node}>")) if works else F.lit(False)
+    found = found.withColumns({"result": result_path(F.col("path"), F.col("enid"), F.col("exid")), "passes_works": F.coalesce(met, F.lit(False))})
+    places = with_coordinates(found, nodes, id_col)
+    pairs = found.select(F.col("enid").alias("source"), F.col("exid").alias("target"))
+    around = best_detours(pairs, edges, works, units, rates, vehicle_type, config.k).withColumnsRenamed({"source": "enid", "target": "exid", "passes_works": "direct_passes_works"})
+    detours = [c for c in around.columns if c.startswith(("detour_", "cheapest_"))]
+    out = found.join(places, id_col, "left").join(around, ["enid", "exid"], "left")
+    kinds = dict(places.dtypes)
+    out = out.withColumns({c: F.coalesce(c, F.array().cast(kinds[c])) for c in ("points", "missing")} | {"direct_passes_works": F.coalesce("direct_passes_works", F.lit(False))})
+    return out.withColumns({c: F.when(F.col("passes_works"), F.col(c)) for c in detours})

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import RoadGraph, graph_of, shared_graph
 
 #: Ids shorter than this are stations, not units.
 UNIT_ID_LENGTH = 16
+#: Reasons of a change, as results carry them. Fixed values.
+TURNED, TURNED_AND_FILLED = "reverse_fix", "reverse_path_fill"
 
 
 def opposite(unit: str) -> str | None:
@@ -22,124 +24,160 @@ def opposite(unit: str) -> str | None:
 
 
 @dataclass
-class Repaired:
-    units: list[str]
-    times: list[datetime | None]
-    changes: list[tuple[int, str, str, str]] = field(default_factory=list)
-    error: str | None = None
-
-
-class _Output:
-    """The repaired path so far: each unit once, with a time if the record has times."""
-
-    def __init__(self, timed: bool):
-        self.timed, self.rows, self.seen = timed, [], set()
-
-    def put(self, unit: str, time: datetime | None) -> None:
-        if unit not in self.seen:
-            self.seen.add(unit)
-            self.rows.append((unit, time if self.timed else None))
+class Plan:
+    """A repaired path, whatever the clock said: units as (unit, at, nth, of), changes as (place, from, to, reason), the last gap that stays.
 
-    def fill(self, units: Sequence[str], right: datetime | None) -> None:
-        """Units that are new, at equal steps between the last time and `right`. Without one of both times nothing can be placed."""
-        new = [u for u in units if u not in self.seen]
-        if not self.timed:
-            for u in new:
-                self.put(u, None)
-            return
-        left = self.rows[-1][1]
-        if left is None or right is None:
-            return
-        for i, u in enumerate(new, 1):
-            self.put(u, (left + (right - left) * (i / (len(new) + 1))).replace(microsecond=0))
-
-
-def repair_interval(units: Sequence[str], times: Sequence[datetime | None] | None, graph: RoadGraph, enid: str = "", exid: str = "", entime: datetime | None = None, extime: datetime | None = None) -> Repaired:
-    """A recorded path with its gaps closed.
+    of 0: the unit has the time at place `at` of the record (-1: entry, length of the path: exit). Else it is the nth of of - 1 units that
+    lie between the unit before them and that time, in equal steps.
+    """
 
-    A window of three units moves along the path, stations included. What follows from its two steps:
-    first step is an edge: keep the second unit. Only the second is: fill in the best path up to the second unit, whose own
-    time is interpolated as well. Neither: if the second unit's opposite follows the first, it takes its place; else the
-    shorter of the best paths to the second unit and to its opposite is filled in. Where no path exists the unit stays and
-    the error names the last such gap. Every unit appears once; stations are taken off again at the ends.
+    units: list[tuple[str, int, int, int]] = field(default_factory=list)
+    changes: list[tuple[int, str, str, str]] = field(default_factory=list)
+    error: str | None = None
+    timed: bool = True
+
+
+def judged(graph: RoadGraph, before: str, unit: str, after: str) -> tuple[str, tuple]:
+    """What becomes of a unit between two others, and the way to it: keep, fill (a way to the unit), turn (its opposite follows), reach (the shorter way to it or its opposite) or stuck."""
+    if graph.has_edge(before, unit):
+        return "keep", ()
+    way_to = lambda x: (graph.shortest(before, x) or (0, ()))[1] if x else ()
+    if graph.has_edge(unit, after):
+        kind, ways = "fill", [way_to(unit)]
+    elif (back := opposite(unit)) and graph.has_edge(before, back):
+        return "turn", (before, back)
+    else:
+        kind, ways = "reach", [way_to(unit), way_to(back)]
+    way = min(filter(None, ways), key=len, default=())
+    return (kind, way) if len(way) > 1 else ("stuck", ())
+
+
+def planned(units: Sequence[str], known: Sequence[bool] | None, graph: RoadGraph, enid: str = "", exid: str = "") -> Plan:
+    """The repair of a recorded path. known: whether entry, each unit and exit have a time; None: the record has no times.
+
+    Entry and exit station are stops like the units. Each stop but the first and the last is judged between the stop behind and the next
+    one. It is kept or its opposite takes its place; or the best way to it is filled in, to the shorter of both ends where the road
+    leads on from neither; what can't be reached is kept and named. After a way that was filled towards the unit itself, with
+    no edge on from it, the next stop is the one behind, and isn't put down. A unit is put down once. Filled units need a time on
+    both sides if the record has times. Stations go again from both ends. A record of fewer than three stops stays, without its ends.
     """
-    timed = bool(times)
-    seq = list(zip(units, [*(times or []), *[None] * len(units)], strict=False))
-    if enid and (not seq or seq[0][0] != enid):
-        seq.insert(0, (enid, entime))
-    if exid and (not seq or seq[-1][0] != exid):
-        seq.append((exid, extime))
-    if len(seq) <= 2:
-        kept = [x for x in seq if x[0] not in (enid, exid)] if enid or exid else seq
-        return Repaired([u for u, _ in kept] or list(units), [t for _, t in kept] if timed else [])
-    out, changes, error, i = _Output(timed), [], None, 0
-    out.put(*seq[0])
-    path_to = lambda a, b: (graph.shortest(a, b) or (None, ()))[1]
-    for _ in range(2 * len(seq)):  # a unit is turned at most once, all else moves on or shortens the rest
-        if i >= len(seq) - 2:
-            break
-        (a, _), (b, at_b), (c, at_c) = seq[i : i + 3]
-        if graph.has_edge(a, b):
-            out.put(b, at_b)
-        elif graph.has_edge(b, c):
-            way = path_to(a, b)
-            if len(way) > 1:
-                out.fill(way[1:], at_b)
-            else:
-                error = f"path_fill_failed:{a}->{b}"
-                out.put(b, at_b)
+    n, timed = len(units), known is not None
+    stops = deque((u, i) for i, u in enumerate(units))
+    if enid and (not stops or stops[0][0] != enid):
+        stops.appendleft((enid, -1))
+    if exid and (not stops or stops[-1][0] != exid):
+        stops.append((exid, n))
+    if len(stops) < 3:
+        kept = [s for s in stops if not (enid or exid) or s[0] not in (enid, exid)]
+        return Plan([(u, i, 0, 0) for u, i in kept or [(u, i) for i, u in enumerate(units)]], timed=timed and bool(kept))
+    plan, met, has = Plan(timed=timed), set(), (lambda i: known[i + 1]) if timed else (lambda i: True)
+    clock = True  # whether the last unit put down has a time
+
+    def put(unit: str, at: int) -> bool:
+        if unit in met:
+            return clock
+        met.add(unit)
+        plan.units.append((unit, at, 0, 0))
+        return has(at)
+
+    behind, moves = stops.popleft(), 0
+    clock = put(*behind)
+    while len(stops) > 1:
+        (unit, at), (after, at_after) = stops[0], stops[1]
+        kind, way = judged(graph, behind[0], unit, after)
+        end = way[-1] if way else unit
+        if end != unit:
+            plan.changes.append((moves + 1, unit, end, TURNED if kind == "turn" else TURNED_AND_FILLED))
+        if kind == "turn":
+            clock = put(end, at)
+            stops[0] = end, at
+            continue
+        if kind in ("keep", "stuck"):
+            clock = put(unit, at)
         else:
-            back = opposite(b)
-            if back and graph.has_edge(a, back):
-                out.put(back, at_b)
-                seq[i + 1] = back, at_b
-                changes.append((i + 1, b, back, "reverse_fix"))
-                continue
-            ways = [(path_to(a, x), x) for x in (b, back) if x]
-            way, end = min((w for w in ways if w[0]), key=lambda w: len(w[0]), default=((), b))
-            if len(way) > 1:
-                out.fill(way[1:], at_c if end == c else at_b)
-                if end == c:
-                    del seq[i + 2]
-                elif end == b:
-                    del seq[i + 1]
-                if end != b:
-                    changes.append((i + 1, b, end, "reverse_path_fill"))
-            else:
-                error = f"path_fill_failed:{a}->{b}(case3b)"
-                out.put(b, at_b)
-        i += 1
-    for unit, at in seq[i:]:
-        out.put(unit, at)
-    rows = out.rows
-    if enid and len(enid) < UNIT_ID_LENGTH and rows and rows[0][0] == enid:
-        rows = rows[1:]
-    if exid and len(exid) < UNIT_ID_LENGTH and rows and rows[-1][0] == exid:
-        rows = rows[:-1]
-    return Repaired([u for u, _ in rows], [t for _, t in rows] if timed else [], changes, error)
+            right = at_after if kind == "reach" and end == after else at
+            new = [u for u in dict.fromkeys(way[1:]) if u not in met]
+            if new and clock and has(right):
+                met.update(new)
+                plan.units += [(u, right, i, len(new) + 1) for i, u in enumerate(new, 1)]
+        if kind == "stuck":
+            plan.error = f"no_way:{behind[0]}>{unit}"
+        behind, moves = stops.popleft(), moves + 1
+        if kind == "reach" and end == after:
+            stops.popleft()
+        elif kind == "reach" and end == unit:
+            behind = stops.popleft()
+    for stop in (behind, *stops):
+        clock = put(*stop)
+    if enid and len(enid) < UNIT_ID_LENGTH and plan.units[:1] and plan.units[0][0] == enid:
+        del plan.units[0]
+    if exid and len(exid) < UNIT_ID_LENGTH and plan.units and plan.units[-1][0] == exid:
+        del plan.units[-1]
+    return plan
+
+
+def planned_times(plan: Column, times: Column, entime: Column, extime: Column, length: Column) -> Column:
+    """Times of a plan's units, in one fold: recorded ones, or equal steps from the last one, cut to seconds."""
+    recorded = lambda i: F.when(i == -1, entime).when(i == length, extime).otherwise(F.get(times, i))
+
+    def between(left: Column, right: Column, nth: Column, of: Column) -> Column:
+        at = left + (right - left) * (nth.cast("double") / of)
+        return at - F.make_dt_interval(secs=F.extract(F.lit("SECOND"), at) % 1)
+
+    def step(so_far: Column, u: Column) -> Column:
+        left = F.when(u["nth"] == 1, F.get(so_far["done"], F.size(so_far["done"]) - 1)).otherwise(so_far["left"])
+        at = F.when(u["of"] == 0, recorded(u["at"])).otherwise(between(left, recorded(u["at"]), u["nth"], u["of"]))
+        return F.struct(F.array_append(so_far["done"], at).alias("done"), left.alias("left"))
+
+    start = F.struct(F.array().cast("array<timestamp_ntz>").alias("done"), F.lit(None).cast("timestamp_ntz").alias("left"))
+    return F.aggregate(plan, start, step, lambda x: x["done"])
+
+
+#: Different records whose plans a task remembers.
+HELD = 65_536
 
 
 def repair_intervals(records: DataFrame, edges: DataFrame, id_col: str, reverse_penalty: float | None = None) -> DataFrame:
     """records: id, path, times, enid, exid, entime, extime. Returns id, path, times, changes (place, from, to, reason), error.
 
-    The graph is broadcast (its size is checked) and each task builds it once; records are independent, nothing is shuffled.
+    A plan depends on the units, the ends and on which times are known, not on the times: a task plans each of these once while it
+    remembers it (HELD), and times follow by column. The graph is broadcast (its size is checked); nothing is shuffled. A null path is
+    an empty one, null or blank ends are none, null times (or none) make a record without times.
     """
     shared = shared_graph(edges, reverse_penalty)
     kind = dict(records.dtypes)[id_col]
-    schema = f"{id_col} {kind}, path array<string>, times array<timestamp_ntz>, changes array<struct<place:int,from:string,to:string,reason:string>>, error string"
+    unit = "array<struct<unit:string,at:int,nth:int,of:int>>"
+    schema = f"{id_col} {kind}, _times array<timestamp_ntz>, _entime timestamp_ntz, _extime timestamp_ntz, _n int, _units {unit}, _timed boolean, changes array<struct<place:int,from:string,to:string,reason:string>>, error string"
+    plan = pa.struct([("_units", pa.list_(pa.struct([("unit", pa.string()), ("at", pa.int32()), ("nth", pa.int32()), ("of", pa.int32())]))), ("_timed", pa.bool_()), ("changes", pa.list_(pa.struct([("place", pa.int32()), ("from", pa.string()), ("to", pa.string()), ("reason", pa.string())]))), ("error", pa.string())])
 
     def run(batches):
-        graph = graph_of(shared)
-        day = lambda x: None if x is None or pd.isna(x) else pd.Timestamp(x).to_pydatetime()
+        graph, held = graph_of(shared), {}
+
+        def of(path, enid, exid, mask):
+            key = (*path, None, enid, exid, mask)
+            if key not in held:
+                if len(held) >= HELD:
+                    held.clear()
+                found = planned(path, None if mask is None else [c == "1" for c in mask], graph, enid, exid)
+                held[key] = {
+                    "_units": [dict(zip(("unit", "at", "nth", "of"), u, strict=True)) for u in found.units], "_timed": found.timed,
+                    "changes": [dict(zip(("place", "from", "to", "reason"), c, strict=True)) for c in found.changes], "error": found.error,
+                }
+            return held[key]
+
         for batch in batches:
-            out = []
-            for r in batch.itertuples(index=False):
-                r = r._asdict()
-                found = repair_interval(list(r["path"]), [day(t) for t in r["times"]] if r["times"] is not None else None, graph, r["enid"] or "", r["exid"] or "", day(r["entime"]), day(r["extime"]))
-                out.append((r[id_col], found.units, found.times, [dict(zip(("place", "from", "to", "reason"), c, strict=True)) for c in found.changes], found.error))
-            yield pd.DataFrame(out, columns=[id_col, "path", "times", "changes", "error"])
-
-    return records.select(id_col, "path", "times", "enid", "exid", "entime", "extime").mapInPandas(run, schema)
+            made = pa.array([of(*x) for x in zip(*(batch[c].to_pylist() for c in ("_path", "_enid", "_exid", "_known")), strict=True)], plan)
+            kept = [batch[c] for c in (id_col, "_times", "_entime", "_extime", "_n")]
+            yield pa.RecordBatch.from_arrays([*kept, *made.flatten()], names=[id_col, "_times", "_entime", "_extime", "_n", "_units", "_timed", "changes", "error"])
+
+    path, times = F.coalesce(F.col("path").cast("array<string>"), F.array().cast("array<string>")), F.col("times").cast("array<timestamp_ntz>")
+    ends = [F.col(c).cast("timestamp_ntz") for c in ("entime", "extime")]
+    flag = lambda t: F.when(t.isNotNull(), "1").otherwise("0")
+    known = F.when(F.size(times) > 0, F.concat(flag(ends[0]), F.array_join(F.transform(path, lambda _, i: flag(F.get(times, i))), ""), flag(ends[1])))
+    asked = records.select(id_col, path.alias("_path"), *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_{c}") for c in ("enid", "exid")), known.alias("_known"), times.alias("_times"), ends[0].alias("_entime"), ends[1].alias("_extime"), F.size(path).alias("_n"))
+    found = asked.mapInArrow(run, schema)
+    at = F.when(F.col("_timed"), planned_times(F.col("_units"), F.col("_times"), F.col("_entime"), F.col("_extime"), F.col("_n"))).otherwise(F.array().cast("array<timestamp_ntz>"))
+    return found.select(id_col, F.transform("_units", lambda u: u["unit"]).alias("path"), at.alias("times"), "changes", "error")
 
 
 def rejected(repaired: DataFrame) -> DataFrame:

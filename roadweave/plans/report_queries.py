@@ -156,3 +156,14 @@ _RECORD = (
 def dq11_record_errors(spark, sf_dir):
     records = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).selectExpr("k", *_RECORD)
     return records.select("k", F.array_join(quality.record_errors(*(F.col(c) for c in ("origin", "destination", "first", "last", "sections"))), ",").alias("errors"))
+
+
+@query()
+def r1_repair_report(spark, sf_dir):
+    """Each different trip path with all that its repair says: scores, coordinates, units without, works met, ways around them."""
+    records = trips(spark, sf_dir).where("enid <> exid").groupBy("enid", "exid", "path").agg(F.min("trip_id").alias("record_id"))
+    n = F.col("n_nationkey")
+    nodes = table(spark, sf_dir, "nation").where(n % 8 != 6).select(n.alias("unit"), (n % 13 + 100).cast("double").alias("lon"), (n % 11 + 30).cast("double").alias("lat"))
+    found = path_repair.repair_report(records, edges(spark, sf_dir), "record_id", nodes, [3, 7], _units(spark, sf_dir), _rates(spark), 2)
+    shown = {c: paths.join_path(F.col(c)) for c in ("path", "result", "missing", "detour_path", "cheapest_path")}
+    return found.withColumns(shown | {"points": F.size("points")})

@@ -33,21 +33,26 @@ def at(clock):
     return datetime.strptime(f"2026-03-15 {clock}", "%Y-%m-%d %H:%M:%S")
 
 
-def test_interval_repair_examples():
-    roads = lambda text: graph.RoadGraph([(a, b, 1) for a, b in (x.split(">") for x in text.split())])
+def _repaired(spark, units, times, roads, enid=None, exid=None):
+    edges = spark.createDataFrame([(*x.split(">"), 1) for x in roads.split()], "src string, dst string, miles int")
+    row = spark.createDataFrame([(1, units, times, enid, exid, None, None)], "id int, path array<string>, times array<timestamp_ntz>, enid string, exid string, entime timestamp_ntz, extime timestamp_ntz")
+    return repair.repair_intervals(row, edges, "id").first()
+
+
+def test_interval_repair_examples(spark):
     times = [at("10:00:00"), at("10:10:00"), at("10:20:00")]
-    intact = repair.repair_interval(list("ABC"), times, roads("A>B B>C"))
-    assert intact.units == list("ABC") and intact.times == times and not intact.changes
-    filled = repair.repair_interval(list("ABC"), [at("10:00:00"), at("10:20:00"), at("10:30:00")], roads("A>X X>B B>C"))
-    assert filled.units == list("AXBC") and filled.times[1:3] == [at("10:06:40"), at("10:13:20")]
-    turned = repair.repair_interval(["A", "G007061003000220", "C"], times, roads("A>G007061003000210 G007061003000210>C"))
-    assert turned.units == ["A", "G007061003000210", "C"] and turned.times == times and turned.changes[0][3] == "reverse_fix"
-    again = repair.repair_interval(list("ABCA"), [*times, at("10:30:00")], roads("A>B B>C C>A"))
-    assert again.units == list("ABC") and again.times[0] == at("10:00:00")
-    broken = repair.repair_interval(list("ABC"), None, roads("B>C Q>A"))
-    assert broken.error == "path_fill_failed:A->B" and broken.units == list("ABC")
-    station = repair.repair_interval(list("BC"), None, roads("S>A A>B B>C C>T"), enid="S", exid="T")
-    assert station.units == list("ABC")
+    intact = _repaired(spark, list("ABC"), times, "A>B B>C")
+    assert intact.path == list("ABC") and intact.times == times and not intact.changes
+    filled = _repaired(spark, list("ABC"), [at("10:00:00"), at("10:20:00"), at("10:30:00")], "A>X X>B B>C")
+    assert filled.path == list("AXBC") and filled.times[1:3] == [at("10:06:40"), at("10:13:20")]
+    turned = _repaired(spark, ["A", "G007061003000220", "C"], times, "A>G007061003000210 G007061003000210>C")
+    assert turned.path == ["A", "G007061003000210", "C"] and turned.times == times and turned.changes[0].reason == "reverse_fix"
+    again = _repaired(spark, list("ABCA"), [*times, at("10:30:00")], "A>B B>C C>A")
+    assert again.path == list("ABC") and again.times[0] == at("10:00:00")
+    broken = _repaired(spark, list("ABC"), None, "B>C Q>A")
+    assert broken.error == "no_way:A>B" and broken.path == list("ABC") and broken.times == []
+    station = _repaired(spark, list("BC"), None, "S>A A>B B>C C>T", "S", "T")
+    assert station.path == list("ABC")
 
 
 def test_graph_searches_match_enumeration():
