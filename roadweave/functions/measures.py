@@ -36,6 +36,7 @@ def derived_impact(row: dict[str, Column] | None = None) -> dict[str, Column]:
     }
 
 
+#: What a roll-up of impact rows sums. Fixed values, as are the weights, bands and names of the scores below.
 MEASURES = ("ref_total_flow", "unaffected_flow", "affected_flow", "detour_flow_final", "retained_nearby", "retained_midtrip", "lost_flow", "original_control_fee", "unaffected_control_fee", "detour_control_fee_final", "retained_nearby_control_fee", "retained_midtrip_control_fee", "lost_control_fee")
 
 
@@ -61,6 +62,41 @@ def wkt_point(lon: Column, lat: Column) -> Column:
     return F.format_string("POINT(%s %s)", lon.cast("string"), lat.cast("string"))
 
 
+def wkt_line(points: Column) -> Column:
+    """LINESTRING of an array of structs lon, lat."""
+    return F.concat(F.lit("LINESTRING("), F.array_join(F.transform(points, lambda p: F.concat_ws(" ", p["lon"].cast("string"), p["lat"].cast("string"))), ", "), F.lit(")"))
+
+
+def with_srid(wkt: Column, srid: int = 4326) -> Column:
+    return F.concat(F.lit(f"SRID={srid};"), wkt)
+
+
+def geometry_type(wkt: Column) -> Column:
+    """The type's name in capitals of a WKT text, with or without an SRID; null for anything else."""
+    return F.upper(F.nullif(F.regexp_extract(wkt, r"^(?:SRID=\d+;)?\s*([A-Za-z]+)\s*\(", 1), F.lit("")))
+
+
+def line_length_m(points: Column) -> Column:
+    """Metres along an array of structs lon, lat; 0 for fewer than two."""
+    step = lambda p, i: F.when(i == 0, F.lit(0.0)).otherwise(haversine_m(F.get(points, i - 1)["lon"], F.get(points, i - 1)["lat"], p["lon"], p["lat"]))
+    return F.aggregate(F.transform(points, step), F.lit(0.0), lambda a, b: a + b)
+
+
+def distance_to_line_m(lon: Column, lat: Column, points: Column) -> Column:
+    """Metres from a point to the nearest place of a line: on the plane that touches the earth at the point, where the line is short against it; null for an empty line."""
+    per = F.lit(EARTH_M) * F.radians(F.lit(1.0))
+    x = lambda p: (p["lon"] - lon) * F.cos(F.radians(lat)) * per
+    y = lambda p: (p["lat"] - lat) * per
+
+    def to_step(b: Column, i: Column) -> Column:
+        a = F.get(points, F.greatest(i - 1, F.lit(0)))
+        dx, dy = x(b) - x(a), y(b) - y(a)
+        along = F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), -(x(a) * dx + y(a) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)))), F.lit(0.0))
+        return F.sqrt((x(a) + along * dx) ** 2 + (y(a) + along * dy) ** 2)
+
+    return F.array_min(F.transform(points, to_step))
+
+
 def repeated_nodes(path: Column) -> Column:
     """Number of different units that a path visits more than once."""
     return F.size(F.filter(F.array_distinct(path), lambda u: F.size(F.filter(path, lambda v: v == u)) > 1))

@@ -153,13 +153,13 @@ def disjoint_paths(pairs: DataFrame, edges: DataFrame, n: int, reverse_penalty:
 
 
 def simple_paths(edges: DataFrame, sources: DataFrame, max_depth: int) -> DataFrame:
-    """All simple paths of up to max_depth steps from the sources (column source): source, target, miles, path."""
+    """All simple paths of up to max_depth steps from the sources (column source): source, target, miles, path. Each level is stored once."""
     step = edges.select(F.col("src").alias("_src"), F.col("dst").alias("_dst"), F.col("miles").alias("_miles"))
     front = sources.select("source", F.col("source").alias("target"), F.lit(0).cast("bigint").alias("miles"), F.array("source").alias("path"))
     found = None
     for _ in range(max_depth):
         front = front.join(step, front["target"] == step["_src"]).where(~F.array_contains("path", F.col("_dst")))
-        front = front.select("source", F.col("_dst").alias("target"), (F.col("miles") + F.col("_miles")).alias("miles"), F.array_append("path", F.col("_dst")).alias("path"))
+        front = stored(front.select("source", F.col("_dst").alias("target"), (F.col("miles") + F.col("_miles")).alias("miles"), F.array_append("path", F.col("_dst")).alias("path")), "simple-paths")
         found = front if found is None else found.unionByName(front)
     return found
 
@@ -315,11 +315,29 @@ def portals(parts: DataFrame, edges: DataFrame) -> DataFrame:
     return of("dst", "src", "entry").unionByName(of("src", "dst", "exit"))
 
 
+def built_edges(relations: DataFrame, version: str, penalty: float | None = None) -> DataFrame:
+    """src, dst, miles and reverse_miles of a version's graph. relations: src, dst, miles, version.
+
+    Missing or zero miles count as 1, so that every edge costs something; relations without an end go; of parallel ones the shortest stays. Driving
+    backwards costs the penalty (1e9 if none is given), which only a search that asks for it uses.
+    """
+    of = relations.where((F.col("version") == version) & F.col("src").isNotNull() & F.col("dst").isNotNull())
+    cost = F.coalesce(F.nullif("miles", F.lit(0)), F.lit(1))
+    return of.groupBy("src", "dst").agg(F.min(cost).alias("miles")).withColumn("reverse_miles", F.lit(1e9 if penalty is None else float(penalty)))
+
+
 def neighbours(edges: DataFrame, unit, backwards: bool = False) -> DataFrame:
     here, there = ("dst", "src") if backwards else ("src", "dst")
     return edges.where(F.col(here) == unit).select(F.col(there).alias("unit"), "miles")
 
 
+def drilled(edges: DataFrame) -> DataFrame:
+    """(origin, unit, level): neighbours of each unit (1) and theirs (2), each at its least level."""
+    first = edges.select(F.col("src").alias("origin"), F.col("dst").alias("unit"), F.lit(1).alias("level"))
+    second = first.join(edges.select(F.col("src").alias("unit"), "dst"), "unit").select("origin", F.col("dst").alias("unit"), F.lit(2).alias("level"))
+    return first.unionByName(second).groupBy("origin", "unit").agg(F.min("level").alias("level"))
+
+
 def near_works(pairs: DataFrame, works: DataFrame, edges: DataFrame, column: str, most_nodes: int) -> DataFrame:
     """Values of pairs' column whose best path to or from a unit under works has at most most_nodes nodes. works: unit."""
     ends = pairs.select(F.col(column).alias("unit")).distinct()

@@ -115,6 +115,37 @@ def evaluation(rows: DataFrame, key: str, kind: str) -> DataFrame:
     return by_type.groupBy(key).agg(F.sum("lost").alias("lost_flow"), F.sum("fee").alias("lost_fee"), top(F.col("lost")).alias("main_type"), top(rate).alias("highest_rate_type"))
 
 
+#: Names of vehicle categories and what stands where there is no type. Fixed values.
+CARS, LORRIES, NONE = "客车", "货车", "-"
+
+
+def evaluation_table(rows: DataFrame, totals: DataFrame, key: str, kind: str, category: str, n: int = 15) -> DataFrame:
+    """The n keys with the largest lost flow, labelled TOP01 on, with all that the loss report says of each.
+
+    rows: key, kind (type name), category, affected_flow, lost_flow, lost_control_fee (in ten thousands); totals: key, ref_total_flow. Keys without totals go, after they were
+    labelled. Rates are in percent, 0 where nothing is lost or affected. Types are named with their share of the lost flow and with their own rate; ties go to the
+    name that sorts first. Halves are rounded to even.
+    """
+    by_type = rows.groupBy(key, kind, category).agg(*(F.sum(c).cast("double").alias(c) for c in ("affected_flow", "lost_flow", "lost_control_fee")))
+    rate = F.when(F.col("affected_flow") > 0, F.col("lost_flow") * 100 / F.col("affected_flow"))
+    # the larger first, then the smaller name: min_by with the value turned round
+    first = lambda x: F.min(F.when(x.isNotNull(), F.struct((-x).alias("x"), F.col(kind).alias("kind"))))
+    of = lambda name: F.coalesce(F.sum(F.when(F.col(category) == name, F.col("lost_flow"))), F.lit(0.0))
+    found = by_type.groupBy(key).agg(*(F.sum(c).alias(c) for c in ("affected_flow", "lost_flow", "lost_control_fee")), first(F.col("lost_flow")).alias("_main"), first(rate).alias("_high"), of(CARS).alias("_cars"), of(LORRIES).alias("_lorries"))
+    top = found.orderBy(F.desc("lost_flow"), key).limit(n)
+    label = F.row_number().over(Window.orderBy(F.desc("lost_flow"), key))  # at most n rows
+    top = top.withColumn("label", F.concat(F.lit("TOP"), F.lpad(label.cast("string"), 2, "0"))).join(totals.select(key, "ref_total_flow"), key)
+    lost = F.col("lost_flow")
+    share = lambda x, of: F.when(of > 0, x * 100 / of).otherwise(F.lit(0.0))
+    named = lambda name, x: F.concat(name, F.lit("("), F.bround(x, 0).cast("bigint").cast("string"), F.lit("%)"))
+    nothing = F.lit(f"{NONE}(0%)")
+    return top.select(
+        "label", key, "ref_total_flow", "affected_flow", "lost_flow", F.bround(share(lost, F.col("affected_flow")), 1).alias("loss_rate"), F.bround("lost_control_fee", 2).alias("lost_control_fee"),
+        F.bround(F.when(lost > 0, F.col("lost_control_fee") / lost * 10000).otherwise(0.0), 0).alias("fee_per_vehicle"), F.when(lost > 0, named(F.col("_main.kind"), share(-F.col("_main.x"), lost))).otherwise(nothing).alias("main_type"),
+        F.coalesce(named(F.col("_high.kind"), -F.col("_high.x")), nothing).alias("highest_rate_type"), F.bround(share(F.col("_cars"), lost), 1).alias("cars_share"), F.bround(share(F.col("_lorries"), lost), 1).alias("lorries_share"),
+    )
+
+
 def period_sum(measure: str, period: Column) -> Column:
     return F.coalesce(F.sum(F.when(period, F.col(measure))), F.lit(0))
 

@@ -71,11 +71,11 @@ def _levels(start: str, depth: int, more: str = "", a: str = "src", b: str = "ds
     return f"lv(source, node, level) as ({start} union select l.source, e.{b}, l.level + 1 from lv l join edges e on e.{a} = l.node where l.level < {depth} {more})"
 
 
-@query(f"{_CTE}{SQL['edges']}, {_levels('select n_nationkey, n_nationkey, 0 from nation where n_nationkey in (0, 5)', 6)}, m as (select source, node, min(level) as level from lv group by 1, 2), c as (select source, level, count(*) as n from m group by 1, 2) select source, level, n, sum(n) over (partition by source order by level)::bigint as reached from c")
+@query(f"{_CTE}{SQL['edges']}, {_levels('select n_nationkey, n_nationkey, 0 from nation', 6)}, m as (select source, node, min(level) as level from lv group by 1, 2), c as (select source, level, count(*) as n from m group by 1, 2) select source, level, n, sum(n) over (partition by source order by level)::bigint as reached from c")
 def g11_reach_by_depth(spark, sf_dir):
     from pyspark.sql.window import Window
 
-    sources = table(spark, sf_dir, "nation").where("n_nationkey in (0, 5)").select(F.col("n_nationkey").alias("source"))
+    sources = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("source"))
     n = graph.reach_levels(edges(spark, sf_dir), sources, 6).groupBy("source", "level").agg(F.count("*").alias("n"))
     return n.withColumn("reached", F.sum("n").over(Window.partitionBy("source").orderBy("level")))
 
@@ -108,24 +108,22 @@ def g15_portals(spark, sf_dir):
     return graph.portals(_parts(spark, sf_dir), edges(spark, sf_dir))
 
 
-@query(f"{_CTE}{SQL['edges']}, {_levels('select n_nationkey, n_nationkey, 0 from nation where n_nationkey in (1, 8)', 12, 'and e.dst % 3 <> 0')} select source, node, min(level)::int as level from lv group by 1, 2")
+@query(f"{_CTE}{SQL['edges']}, {_levels('select n_nationkey, n_nationkey, 0 from nation', 12, 'and e.dst % 3 <> 0')} select source, node, min(level)::int as level from lv group by 1, 2")
 def g16_reachable(spark, sf_dir):
     n = table(spark, sf_dir, "nation")
-    return graph.reach_levels(edges(spark, sf_dir), n.where("n_nationkey in (1, 8)").select(F.col("n_nationkey").alias("source")), 12, allowed=n.where("n_nationkey % 3 <> 0").select(F.col("n_nationkey").alias("node")))
+    return graph.reach_levels(edges(spark, sf_dir), n.select(F.col("n_nationkey").alias("source")), 12, allowed=n.where("n_nationkey % 3 <> 0").select(F.col("n_nationkey").alias("node")))
 
 
-@query(f"{_CTE}{SQL['edges']}, {_levels('select n_nationkey, n_nationkey, 0 from nation where n_nationkey in (1, 8)', 5, 'and e.src not in (10, 11)', 'dst', 'src')} select source, node, min(level)::int as level from lv group by 1, 2")
+@query(f"{_CTE}{SQL['edges']}, {_levels('select n_nationkey, n_nationkey, 0 from nation', 5, 'and e.src not in (10, 11)', 'dst', 'src')} select source, node, min(level)::int as level from lv group by 1, 2")
 def g17_bfs_levels(spark, sf_dir):
     n = table(spark, sf_dir, "nation")
-    return graph.reach_levels(edges(spark, sf_dir), n.where("n_nationkey in (1, 8)").select(F.col("n_nationkey").alias("source")), 5, blocked=n.where("n_nationkey in (10, 11)").select(F.col("n_nationkey").alias("node")), backwards=True)
+    return graph.reach_levels(edges(spark, sf_dir), n.select(F.col("n_nationkey").alias("source")), 5, blocked=n.where("n_nationkey in (10, 11)").select(F.col("n_nationkey").alias("node")), backwards=True)
 
 
-@query(f"with {SQL['edges']} select a.dst as unit, min(level)::int as level from (select dst, 1 as level from edges where src = 5 union all select e.dst, 2 from edges d join edges e on e.src = d.dst where d.src = 5) a group by 1")
+@query(f"with {SQL['edges']} select origin, unit, min(level)::int as level from (select src as origin, dst as unit, 1 as level from edges union all select d.src, e.dst, 2 from edges d join edges e on e.src = d.dst) group by 1, 2")
 def j21_neighbour_drill(spark, sf_dir):
-    e = edges(spark, sf_dir)
-    first = graph.neighbours(e, 5).select("unit", F.lit(1).alias("level"))
-    second = e.join(first.select(F.col("unit").alias("src")), "src").select(F.col("dst").alias("unit"), F.lit(2).alias("level"))
-    return first.unionByName(second).groupBy("unit").agg(F.min("level").alias("level"))
+    """Each unit's neighbours and theirs."""
+    return graph.drilled(edges(spark, sf_dir))
 
 
 _RECORDS = ", records as (select trip_id as record_id, enid, exid, path, 1 as flow from trips)"

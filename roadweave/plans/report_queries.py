@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import measures, paths
 from ..operators import graph, impact, lookup, mining, path_repair, quality, toll
 from .adapters import SQL, edges, table, trips, with_
-from .queries import _FEE, _UNITS, _fees, _rates, _units, query
+from .queries import _FEE, _RAW, _UNITS, _fees, _rates, _summary, _units, query
 
 _GROUP = "case when code between 1 and 4 then '客' || code when code between 11 and 16 then '货' || (code - 10) when code between 21 and 26 then '货' || (code - 20) else code::varchar end"
 
@@ -167,3 +167,46 @@ def r1_repair_report(spark, sf_dir):
     found = path_repair.repair_report(records, edges(spark, sf_dir), "record_id", nodes, [3, 7], _units(spark, sf_dir), _rates(spark), 2)
     shown = {c: paths.join_path(F.col(c)) for c in ("path", "result", "missing", "detour_path", "cheapest_path")}
     return found.withColumns(shown | {"points": F.size("points")})
+
+
+@query(
+    with_("trips") + _RAW + ", named as (select enid, case when vehicle_type <= 3 then '客' || vehicle_type else '货' || (vehicle_type - 3) end as kind, case when vehicle_type <= 3 then '客车' else '货车' end as category, ref_total_flow, affected_flow::double as affected, lost_flow::double as lost, lost_control_fee as fee from summary),"
+    " by_type as (select enid, kind, category, sum(affected) as affected, sum(lost) as lost, sum(fee) as fee from named group by all),"
+    " ranked as (select *, row_number() over (partition by enid order by lost desc, kind) as n1, row_number() over (partition by enid order by case when affected > 0 then lost / affected end desc nulls last, kind) as n2 from by_type),"
+    " found as (select enid, sum(affected) as affected, sum(lost) as lost, sum(fee) as fee, max(kind) filter (n1 = 1) as main, max(lost) filter (n1 = 1) as main_lost, max(kind) filter (n2 = 1 and affected > 0) as high, max(lost * 100 / affected) filter (n2 = 1 and affected > 0) as high_rate,"
+    " coalesce(sum(lost) filter (category = '客车'), 0) as cars, coalesce(sum(lost) filter (category = '货车'), 0) as lorries from ranked group by 1),"
+    " top as (select *, row_number() over (order by lost desc, enid) as n from found order by lost desc, enid limit 15), totals as (select enid, sum(ref_total_flow)::bigint as ref_total_flow from named group by 1)"
+    " select 'TOP' || lpad(n::varchar, 2, '0') as label, enid, ref_total_flow, affected as affected_flow, lost as lost_flow, case when affected > 0 then round_even(lost * 100 / affected, 1) else 0 end as loss_rate, round_even(fee, 2) as lost_control_fee,"
+    " case when lost > 0 then round_even(fee / lost * 10000, 0) else 0 end as fee_per_vehicle, case when lost > 0 then main || '(' || round_even(main_lost * 100 / lost, 0)::bigint || '%)' else '-(0%)' end as main_type,"
+    " coalesce(high || '(' || round_even(high_rate, 0)::bigint || '%)', '-(0%)') as highest_rate_type, case when lost > 0 then round_even(cars * 100 / lost, 1) else 0 end as cars_share, case when lost > 0 then round_even(lorries * 100 / lost, 1) else 0 end as lorries_share from top join totals using (enid)"
+)
+def a20_evaluation_table(spark, sf_dir):
+    rows = _summary(spark, sf_dir)
+    kind = F.when(F.col("vehicle_type") <= 3, F.concat(F.lit("客"), F.col("vehicle_type").cast("string"))).otherwise(F.concat(F.lit("货"), (F.col("vehicle_type") - 3).cast("string")))
+    named = rows.withColumns({"kind": kind, "category": F.when(F.col("vehicle_type") <= 3, impact.CARS).otherwise(impact.LORRIES)})
+    totals = rows.groupBy("enid").agg(F.sum("ref_total_flow").cast("bigint").alias("ref_total_flow"))
+    return impact.evaluation_table(named, totals, "enid", "kind", "category")
+
+
+_LINE = "(select list({'lon': (100 + n * 0.01)::double, 'lat': (30 + (n * 7 % 5) * 0.01)::double} order by n) as line from range(8) t(n))"
+
+
+@query(
+    f"with line as {_LINE}, seg as (select c_custkey, (100 + (c_custkey % 97) * 0.001)::double as lon, (30 + (c_custkey % 61) * 0.001)::double as lat, line[greatest(i - 1, 1)] as a, line[i] as b, len(line) as n from customer, line, unnest(range(1, len(line) + 1)) x(i)),"
+    " flat as (select c_custkey, lon, lat, (a.lon - lon) * cos(radians(lat)) * k as ax, (a.lat - lat) * k as ay, (b.lon - lon) * cos(radians(lat)) * k as bx, (b.lat - lat) * k as \"by\" from seg, (select 6371000.0::double * radians(1.0) as k)),"
+    " near as (select *, coalesce(greatest(0, least(1, -(ax * (bx - ax) + ay * (\"by\" - ay)) / nullif((bx - ax) ** 2 + (\"by\" - ay) ** 2, 0))), 0) as t from flat)"
+    " select c_custkey, round(min(sqrt((ax + t * (bx - ax)) ** 2 + (ay + t * (\"by\" - ay)) ** 2)), 3) as metres, 'LINESTRING' as kind from near group by 1"
+)
+def f13_distance_to_line(spark, sf_dir):
+    """Each customer's distance from a line of eight points."""
+    points = F.array(*(F.struct((F.lit(100) + F.lit(n * 0.01)).cast("double").alias("lon"), (F.lit(30) + F.lit((n * 7 % 5) * 0.01)).cast("double").alias("lat")) for n in range(8)))
+    c = table(spark, sf_dir, "customer").select("c_custkey", (F.lit(100) + (F.col("c_custkey") % 97) * 0.001).cast("double").alias("lon"), (F.lit(30) + (F.col("c_custkey") % 61) * 0.001).cast("double").alias("lat"), points.alias("line"))
+    return c.select("c_custkey", F.round(measures.distance_to_line_m(F.col("lon"), F.col("lat"), F.col("line")), 3).alias("metres"), measures.geometry_type(measures.with_srid(measures.wkt_line(F.col("line")))).alias("kind"))
+
+
+@query("select src, dst, min(coalesce(nullif(miles, 0), 1))::bigint as miles, 1e9::double as reverse_miles from (select case when l_linenumber <> 6 then l_suppkey end as src, l_partkey % 50 as dst, case when l_linenumber = 5 then null else l_orderkey % 4 end as miles, l_linenumber % 2 as version from lineitem) where version = 1 and src is not null and dst is not null group by 1, 2")
+def g1_built_edges(spark, sf_dir):
+    """Suppliers and groups of parts as a graph, with missing and zero miles."""
+    line = F.col("l_linenumber")
+    rows = table(spark, sf_dir, "lineitem").select(F.when(line != 6, F.col("l_suppkey")).alias("src"), (F.col("l_partkey") % 50).alias("dst"), F.when(line != 5, F.col("l_orderkey") % 4).alias("miles"), (line % 2).cast("string").alias("version"))
+    return graph.built_edges(rows, "1").withColumn("miles", F.col("miles").cast("bigint"))

@@ -101,6 +101,25 @@ def with_priority(sources: Sequence[DataFrame], key: str) -> DataFrame:
     return both.withColumn("_n", F.row_number().over(by)).where("_n = 1").drop("_n", "_priority")
 
 
+#: What a gantry's id has behind the id of its section. Fixed value.
+GANTRY_TAIL = "010"
+
+
+def node_places(gantries: DataFrame, stations: DataFrame, fallback: DataFrame) -> DataFrame:
+    """node_id, lon, lat and source of each node: from gantries (id, lng, lat) before stations (code, entryLng, entryLat); fallback (id, startlng, startlat) only if both are empty.
+
+    A gantry's id without its tail names the node. Blank ids go, coordinates that are no numbers are null; of several rows of a node and source the one of the smallest id and
+    coordinates counts. Runs a job when called, to see whether there is any gantry or station.
+    """
+    number = lambda c: F.expr(f"try_cast(trim(`{c}`) as double)")
+    part = lambda df, i, x, y, name, order: df.select(F.trim(i).alias("id"), number(x).alias("lon"), number(y).alias("lat"), F.lit(name).alias("source"), F.lit(order).alias("_order"))
+    files = part(gantries, "id", "lng", "lat", "gantry", 0).unionByName(part(stations, "code", "entryLng", "entryLat", "station", 1)).where("id <> ''")
+    every = part(fallback, "id", "startlng", "startlat", "db", 2).where("id <> ''") if files.isEmpty() else files
+    node = F.when((F.col("source") == "gantry") & F.endswith("id", F.lit(GANTRY_TAIL)), F.substring("id", F.lit(1), F.length("id") - len(GANTRY_TAIL))).otherwise(F.col("id"))
+    best = every.groupBy(node.alias("node_id")).agg(F.min(F.struct("_order", "id", "lon", "lat", "source")).alias("b"))
+    return best.select("node_id", "b.lon", "b.lat", "b.source")
+
+
 def calendar(spark: SparkSession, start: str, end: str) -> DataFrame:
     """Every day from start to end, both included."""
     return spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)))).alias("stat_day"))
