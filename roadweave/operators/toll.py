@@ -38,9 +38,16 @@ def fees_by_type(paths: DataFrame, units: DataFrame, rates: DataFrame, id_col: s
 
 
 def fees_of_distinct(paths: DataFrame, units: DataFrame, rates: DataFrame, path: str = "path", kind: str = "vehicle_type") -> DataFrame:
-    """paths with the columns of path_fees; each different path and type is priced once, however many rows take it."""
-    priced = path_fees(paths.select(path, kind).distinct(), units, rates, path, path, kind).withColumnsRenamed({path: "_path", kind: "_kind"})
-    return paths.join(priced, paths[path].eqNullSafe(priced["_path"]) & paths[kind].eqNullSafe(priced["_kind"])).drop("_path", "_kind")
+    """paths with the columns of path_fees; each different path and type is priced once, however many rows take it.
+
+    Rows meet their price by a hash of path and type, and by both.
+    """
+    keyed = paths.withColumn("_hash", F.xxhash64(path, kind))
+    one = keyed.select("_hash", path, kind).distinct()
+    priced = path_fees(one.withColumn("_one", F.struct("_hash", path)), units, rates, "_one", path, kind)
+    priced = priced.select(F.col("_one._hash").alias("_hash"), F.col(f"_one.{path}").alias("_path"), F.col(kind).alias("_kind"), *(c for c in priced.columns if c not in ("_one", kind)))
+    same = (keyed["_hash"] == priced["_hash"]) & keyed[path].eqNullSafe(priced["_path"]) & keyed[kind].eqNullSafe(priced["_kind"])
+    return keyed.join(priced, same).drop("_hash", "_path", "_kind")
 
 
 #: Fixed value: the nature of roads that are still being paid off, which makes their units control units.

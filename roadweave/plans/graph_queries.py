@@ -217,8 +217,10 @@ def f4_od_toll(spark, sf_dir):
     own = trips(spark, sf_dir).where("enid <> exid").select("trip_id", "vehicle_type", "enid", "exid", "path")
     best = graph.shortest_paths(own.select(F.col("enid").alias("source"), F.col("exid").alias("target")), edges(spark, sf_dir))
     driven = own.drop("path").join(best.select(F.col("source").alias("enid"), F.col("target").alias("exid"), "path"), ["enid", "exid"])
-    fee = lambda p: _fees(toll.path_fees(p, _units(spark, sf_dir), _rates(spark), "trip_id"))
-    return toll.od_toll(fee(own), fee(driven), ["trip_id", "vehicle_type"])
+    # each different path is priced once a type, whether it was driven or is the shortest one
+    both = own.select("trip_id", "vehicle_type", "path", F.lit(True).alias("own")).unionByName(driven.select("trip_id", "vehicle_type", "path", F.lit(False).alias("own")))
+    priced = stored(_fees(toll.fees_of_distinct(both, _units(spark, sf_dir), _rates(spark))).drop("path"), "od-toll")
+    return toll.od_toll(priced.where("own").drop("own"), priced.where("not own").drop("own"), ["trip_id", "vehicle_type"])
 
 
 @query()
