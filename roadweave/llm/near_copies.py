@@ -1,25 +1,29 @@
 """Near copies by exact similarity: SimHash fingerprints find the candidates, the shingles of both texts decide.
 
 Texts of equal shingle sets collapse to one node with four 64-bit fingerprints, 256 bits. A node is dealt once a key: a
-choice of some of these bits and their values. The more nodes there are, the more bits a key has, so that a key holds some
-hundred nodes at any size, and the more keys there are, so that a pair at the stated similarity still shares one with a
-probability of Deal.recall. Inside a task the Gray-order index finds the rows of a key that differ in few bits.
+choice of some of these bits and their values. The more nodes there are, the more bits a key has, so that a key holds about a
+thousand nodes at any size, and the more keys there are, so that a pair at the stated similarity still shares one with a
+probability of Deal.recall. Inside a task the Gray-order index finds the rows of a key that differ in few bits. A pair counts in
+the first of the keys that it shares only.
 
 A family of n near copies has n * n / 2 such pairs; what is wanted are its connections. So
 1. a first, linear pass: in a few keys each row names its neighbour in Gray order and the key's first node. Confirmed pairs
    (keyed joins on the shingles) make components: large families are connected by now.
 2. passes over all keys. Rows of one component needn't meet, and the tree drops groups of rows of one component as it drops
-   those that differ in too many bits. Of a pair in two components the row of the smaller one names the other. Of what a row
-   names the nearest Deal.tried are held against the shingles. Passes go on, each from where the last one ended in the row's
-   order of nearness, over the rows that had partners in other components, until one confirms nothing.
+   those that differ in too many bits. Of a pair in two components the row whose component is rarer in the key names the other; a row
+   names its nearest ones, at first a few a key, and each pass GROWTH times as many as the one before. The next pass is of the
+   components in which some row had more partners than it named. When none had, every candidate pair in two
+   components was held against the shingles, and that is the end: nothing is capped.
 A key with very many nodes is split over tasks: if most are of one component, these are split and the rest meets all parts;
 else every two blocks meet in a task. No pair is left out at any size.
 """
 
 from __future__ import annotations
 
+import gc
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,21 +37,21 @@ from .simhash import HOT_KEY, GrayIndex, fingerprints, gray_rank, other_words, s
 
 WORDS = ["w0", "w1", "w2", "w3"]
 BITS = 64 * len(WORDS)
-NONE = np.uint64((1 << 63) - 1)
+#: How much more a row names a key in each pass than in the one before.
+GROWTH = 8
 
 
 @dataclass(frozen=True)
 class Deal:
     """similarity: Jaccard similarity of pairs to find. recall: share of them that meet in a key, by calculation. per_key: nodes that
     a key is expected to hold at most. deviations: of the differing bits of such pairs, up to which a pair is a candidate.
-    tried: partners of a row that one pass holds against its shingles; named: those that a single key names. linear: keys of the
-    first pass. hot_key: nodes of a key beyond which it is split."""
+    named: partners that a row names a key in the first pass over all keys. linear: keys of the pass before. hot_key: nodes of a key
+    beyond which it is split."""
 
     similarity: float = 0.8
     recall: float = 0.998
-    per_key: int = 256
+    per_key: int = 1024
     deviations: float = 2.6
-    tried: int = 16
     named: int = 2
     linear: int = 6
     hot_key: int = HOT_KEY
@@ -61,7 +65,7 @@ class Deal:
         return math.ceil(bits * self.differ + self.deviations * math.sqrt(bits * self.differ * (1 - self.differ)))
 
     def bits(self, n: int) -> int:
-        return min(32, max(12, math.ceil(math.log2(max(1, n) / self.per_key))))
+        return min(32, max(8, math.ceil(math.log2(max(1, n) / self.per_key))))
 
     def keys(self, bits: int) -> int:
         """The fewest keys of so many bits of which a pair, whose differing bits follow a binomial distribution, shares one with probability `recall`."""
@@ -98,57 +102,64 @@ def with_prints(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select("id", "key", "text").mapInArrow(lean(run), f"id {schema}, key bigint, node bigint, {', '.join(f'{w} bigint' for w in WORDS)}, shingles array<int>")
 
 
-def keys_of(words: list[np.ndarray], bits: int, keys: int, seed: int = 42) -> np.ndarray:
-    """One row of keys (number of the key << 32 | its bits) for each fingerprint. A shuffle of the 256 bits is cut into keys, then the next."""
+def places_of(bits: int, keys: int, seed: int = 42) -> np.ndarray:
+    """The bits of each key (keys x bits). A shuffle of the 256 bits is cut into keys, then the next."""
     rng = np.random.default_rng(seed)
     shuffles = [rng.permutation(BITS) for _ in range(-(-keys // (BITS // bits)))]
-    chosen = np.concatenate([x[: BITS // bits * bits].reshape(-1, bits) for x in shuffles])[:keys]
-    width = 16 if bits <= 16 else 32
+    return np.concatenate([x[: BITS // bits * bits].reshape(-1, bits) for x in shuffles])[:keys]
+
+
+def keys_of(words: list[np.ndarray], bits: int, keys: int) -> np.ndarray:
+    """One row of keys (number of the key << 32 | its bits) for each fingerprint."""
+    width = 8 if bits <= 8 else 16 if bits <= 16 else 32
     places = np.full((keys, width), BITS)
-    places[:, width - bits :] = chosen
+    places[:, width - bits :] = places_of(bits, keys)
     flat = np.unpackbits(np.stack(words, axis=1).astype("<u8").view(np.uint8).reshape(-1, 8 * len(words)), axis=1)
     flat = np.concatenate([flat, np.zeros((len(flat), 1), np.uint8)], axis=1)
     cut = np.ascontiguousarray(np.packbits(flat[:, places.ravel()], axis=1)).view(f">u{width // 8}").astype(np.int64)
     return cut + (np.arange(keys) << 32)
 
 
-@dataclass
-class Hot:
-    """Keys (ascending) that are split: into how many blocks, and the component that most of its nodes are in (where `most`)."""
+def key_masks(bits: int, keys: int) -> np.ndarray:
+    """The bits of each key as words (keys x WORDS)."""
+    flat = np.zeros((keys, BITS), np.uint8)
+    np.put_along_axis(flat, places_of(bits, keys), 1, axis=1)
+    return np.packbits(flat, axis=1).view("<u8")
+
 
-    key: np.ndarray
-    blocks: np.ndarray
-    label: np.ndarray
-    most: np.ndarray
+#: Keys that are split (ascending), into how many blocks, the component that most of their nodes are in, and whether there is one.
+NOT_HOT = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool))
 
 
-def _dealt(batches, bits: int, keys: int, hot: Hot, linear: bool):
+def _dealt(batches, bits: int, keys: int, hot: tuple, linear: bool):
     """Rows of nodes (COLUMNS) once a key; of a hot key as often as its blocks demand."""
+    hot_key, hot_blocks, hot_label, hot_most = hot
     for batch in batches:
         for at in range(0, batch.num_rows, 1024):
             part = batch.slice(at, 1024)
-            node, *words, label, size, tested = (part[c].to_numpy().view(np.uint64) for c in COLUMNS)
+            node, *words, label = (part[c].to_numpy().view(np.uint64) for c in COLUMNS)
             key = keys_of(words, bits, keys).ravel()
             row = np.repeat(np.arange(len(node)), keys)
-            block = np.zeros(len(key), np.int64)
-            if len(hot.key):
-                place = np.minimum(np.searchsorted(hot.key, key), len(hot.key) - 1)
-                is_hot = hot.key[place] == key
-                n = np.where(is_hot, hot.blocks[place], 1)
+            block = np.zeros(len(key), np.int32)
+            if len(hot_key):
+                place = np.minimum(np.searchsorted(hot_key, key), len(hot_key) - 1)
+                is_hot = hot_key[place] == key
+                n = np.where(is_hot, hot_blocks[place], 1)
                 own = (mix64(node[row] ^ np.uint64(99)) % n.astype(np.uint64)).astype(np.int64)
-                alone = linear | (is_hot & hot.most[place] & (label[row] == hot.label[place]))  # its like needn't meet
+                alone = linear | (is_hot & hot_most[place] & (label[row] == hot_label[place]))  # its like needn't meet
                 times = np.where(alone, 1, n)
-                paired = is_hot & ~hot.most[place] & (not linear)
+                paired = is_hot & ~hot_most[place] & (not linear)
                 again = np.repeat(np.arange(len(key)), times)
                 other = np.arange(len(again)) - np.repeat(np.cumsum(times) - times, times)
                 a, n = own[again], n[again]
-                block = np.where(alone[again], a, np.where(paired[again], np.minimum(a, other) * n + np.maximum(a, other), other))
+                block = np.where(alone[again], a, np.where(paired[again], np.minimum(a, other) * n + np.maximum(a, other), other)).astype(np.int32)
                 key, row = key[again], row[again]
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(block), *(pa.array(x[row].view(np.int64)) for x in (node, *words, label, size, tested))], names=DEALT)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(block), *(pa.array(x[row].view(np.int64)) for x in (node, *words, label))], names=DEALT)
 
 
-COLUMNS = ["node", *WORDS, "label", "size", "tested"]
+COLUMNS = ["node", *WORDS, "label"]
 DEALT = ["key", "block", *COLUMNS]
+DEALT_SCHEMA = "key bigint, block int, " + ", ".join(f"{c} bigint" for c in COLUMNS)
 
 
 def differing(words: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -167,52 +178,86 @@ def neighbour_pairs(run: np.ndarray, node: np.ndarray, words: list[np.ndarray],
     return a[near], b[near]
 
 
-def nearest(row: np.ndarray, value: np.ndarray, to: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The n smallest values of each row."""
-    order = np.lexsort((value, row))
-    row, value, to = row[order], value[order], to[order]
-    keep = np.arange(len(row)) - np.searchsorted(row, row) < n
-    return row[keep], value[keep], to[keep]
+def first_shared(words: list[np.ndarray], a: np.ndarray, b: np.ndarray, number: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    """Whether the key with that number is the first that both rows of a pair share."""
+    out = np.ones(len(a), bool)
+    apart = [w[a] ^ w[b] for w in words]
+    for k in range(int(number.max()) if len(number) else 0):
+        differs = np.zeros(len(a), bool)
+        for x, m in zip(apart, masks[k], strict=True):
+            differs |= (x & m) != 0
+        out &= differs | (number <= k)
+    return out
 
 
-def named_pairs(run: np.ndarray, node: np.ndarray, words: list[np.ndarray], label: np.ndarray, size: np.ndarray, tested: np.ndarray, deal: Deal) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
-    """Of rows in Gray order within each run (rows of one key): (row, value, partner), what rows name, by differing bits and then a scramble
-    (value) above `tested`; and the rows that have a partner in another component (label, with its size) at all."""
+def rarer(run: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Of each row the number of rows in its run that have its label."""
+    order = np.lexsort((label, run))
+    new = np.concatenate([[True], (run[order][1:] != run[order][:-1]) | (label[order][1:] != label[order][:-1])])
+    group = np.cumsum(new) - 1
+    out = np.empty(len(run), np.int64)
+    out[order] = np.bincount(group)[group]
+    return out
+
+
+def named_pairs(run: np.ndarray, number: np.ndarray, node: np.ndarray, words: list[np.ndarray], label: np.ndarray, masks: np.ndarray, named: int, deal: Deal) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows in Gray order within each run (rows of one key, number): (row, partner) of the nearest `named` partners in other components of each row that
+    names, by differing bits and then a scramble; and the labels of rows and partners where a row had more."""
     limit, none = deal.limit(BITS), np.empty(0, np.int64)
-    found, held, near_any = (none, none.view(np.uint64), none), [], np.zeros(len(node), bool)
+    found, seen, size = (none, none.view(np.uint64), none), np.zeros(len(node), np.int64), rarer(run, label)
+    held, rows, partners = [], [], []
     scrambled = mix64(node) >> np.uint64(16)
 
-    def merged():
-        return nearest(*(np.concatenate(x) for x in zip(found, *held, strict=True)), deal.named) if held else found
+    def nearest(parts: list[tuple]) -> tuple:
+        row, value, to = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((value, row))
+        row, value, to = row[order], value[order], to[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < named
+        return row[keep], value[keep], to[keep]
 
     for a, b in GrayIndex(run, words[0], label).links(deal.limit(64)):
         apart = differing(words, a, b)
-        near = apart <= limit
+        near = (apart <= limit) & (label[a] != label[b])
         a, b, apart = a[near], b[near], apart[near].astype(np.uint64) << np.uint64(48)
-        near_any[a] = near_any[b] = True
-        for p, q in ((a, b), (b, a)):
-            value = apart | scrambled[q]
-            own = (size[p] <= size[q]) & (value > tested[p])
-            held.append(nearest(p[own], value[own], q[own], deal.named))
+        first = first_shared(words, a, b, number[a], masks)
+        a, b, apart = a[first], b[first], apart[first]
+        for p, q, own in ((a, b, size[a] <= size[b]), (b, a, size[b] < size[a])):
+            row, to = p[own], q[own]
+            seen += np.bincount(row, minlength=len(node))
+            held.append((row, apart[own] | scrambled[to], to))
+            # which components would have to meet again, if the row has more than it names
+            both = np.unique(np.stack([row.astype(np.uint64), label[to]]), axis=1)
+            rows.append(both[0].astype(np.int64))
+            partners.append(both[1])
         if len(held) > 64:
-            found, held = merged(), []
-    return merged(), np.flatnonzero(near_any)
+            found, held = nearest([found, *held]), []
+            both = np.unique(np.stack([np.concatenate(rows).astype(np.uint64), np.concatenate(partners)]), axis=1)
+            rows, partners = [both[0].astype(np.int64)], [both[1]]
+    if held:
+        found = nearest([found, *held])
+    more = seen > named
+    rows, partners = (np.concatenate(rows), np.concatenate(partners)) if rows else (none, none.view(np.uint64))
+    opened = more[rows]
+    return found[0], found[2], np.unique(np.concatenate([label[more], partners[opened]]))
 
 
-def _candidates(batches, deal: Deal, linear: bool, rows: int = 1 << 16):
-    """batches of dealt rows, ordered by key and block. Yields u, v, value: what nodes name in each key and block, and components (u) of nodes that only have a partner, with no v."""
+def _candidates(batches, deal: Deal, bits: int, keys: int, named: int, rows: int = 1 << 16):
+    """batches of dealt rows, ordered by key and block. Yields u, v: what nodes name in each key and block, and components (u, no v) that must meet again. named 0: the linear pass."""
+    masks = key_masks(bits, keys)
 
     def chunks():
-        held = [np.empty(0, np.int64)] * len(DEALT)
+        held = None
         for batch in batches:
-            held = [np.concatenate([h, batch[c].to_numpy()]) for h, c in zip(held, DEALT, strict=True)]
+            new = [batch[c].to_numpy() for c in DEALT]
+            held = new if held is None else [np.concatenate([h, x]) for h, x in zip(held, new, strict=True)]
             if len(held[0]) >= rows:
                 new = np.flatnonzero((held[0][1:] != held[0][:-1]) | (held[1][1:] != held[1][:-1]))
                 if len(new):
                     cut = new[-1] + 1
                     yield [h[:cut] for h in held]
                     held = [h[cut:] for h in held]
-        yield held
+        if held is not None:
+            yield held
 
     for key, block, *rest in chunks():
         if len(key) < 2:
@@ -221,29 +266,26 @@ def _candidates(batches, deal: Deal, linear: bool, rows: int = 1 << 16):
         some = np.bincount(run)[run] > 1
         if not some.any():
             continue
-        run, (node, *words, label, size, tested) = run[some], [np.ascontiguousarray(x[some]).view(np.uint64) for x in rest]
+        run, number, (node, *words, label) = run[some], key[some] >> 32, [np.ascontiguousarray(x[some]).view(np.uint64) for x in rest]
         run = np.unique(run, return_inverse=True)[1]
-        together = np.where(size > 64, label, 0)  # large components lie together, so that the tree can drop them as a whole
+        together = np.where(rarer(run, label) > 8, label, 0)  # rows of one component lie together, so that the tree can drop them as a whole
         order = np.lexsort((gray_rank(words[0]), together, run))
-        run, node, words, label, size, tested = run[order], node[order], [w[order] for w in words], label[order], size[order], tested[order]
-        if linear:
-            a, b = neighbour_pairs(run, node, words, label, deal.limit(BITS))
-            value, alone = np.zeros(len(a), np.uint64), node[:0]
+        run, number, node, words, label = run[order], number[order], node[order], [w[order] for w in words], label[order]
+        if named:
+            a, b, opened = named_pairs(run, number, node, words, label, masks, named, deal)
         else:
-            (a, value, b), touched = named_pairs(run, node, words, label, size, tested, deal)
-            alone = np.unique(label[np.setdiff1d(touched, a)])  # a large component is told once a chunk, not once a row
-        if len(a) or len(alone):
-            u, v = np.concatenate([node[a], alone]).view(np.int64), np.concatenate([node[b].view(np.int64), np.zeros(len(alone), np.int64)])
-            value = np.concatenate([value, np.full(len(alone), NONE)]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v, mask=value == NONE.view(np.int64)), pa.array(value)], names=["u", "v", "value"])
+            (a, b), opened = neighbour_pairs(run, node, words, label, deal.limit(BITS)), node[:0]
+        if len(a) or len(opened):
+            u = np.concatenate([node[a], opened]).view(np.int64)
+            v = np.concatenate([node[b].view(np.int64), np.zeros(len(opened), np.int64)])
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v, mask=np.arange(len(v)) >= len(a))], names=["u", "v"])
 
 
-def _hot_keys(nodes: DataFrame, n: int, bits: int, keys: int, deal: Deal, linear: bool) -> Hot:
+def _hot_keys(nodes: DataFrame, n: int, bits: int, keys: int, deal: Deal, linear: bool) -> tuple:
     """The keys of more than hot_key nodes, or a 4096th of all if that is more: so there are 4096 a key number at most."""
     least = max(deal.hot_key, n // 4096)
-    none = Hot(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool))
     if n <= least:
-        return none
+        return NOT_HOT
     spark = nodes.sparkSession
     of = lambda batch: keys_of([batch[c].to_numpy().view(np.uint64) for c in WORDS], bits, keys)
 
@@ -257,10 +299,10 @@ def _hot_keys(nodes: DataFrame, n: int, bits: int, keys: int, deal: Deal, linear
     order = np.argsort(found["key"].to_numpy())
     key, times = found["key"].to_numpy()[order], found["n"].to_numpy()[order]
     if not len(key):
-        return none
+        return NOT_HOT
     blocks, label, most = -(-2 * times // least), np.zeros(len(key), np.uint64), np.zeros(len(key), bool)
     if linear:
-        return Hot(key, blocks, label, most)
+        return key, blocks, label, most
     shared = spark.sparkContext.broadcast(key)
 
     def labelled(batches):
@@ -278,23 +320,21 @@ def _hot_keys(nodes: DataFrame, n: int, bits: int, keys: int, deal: Deal, linear
     at = np.searchsorted(key, top["key"].to_numpy())
     label[at] = top["label"].to_numpy().view(np.uint64)
     most[at] = times[at] - top["n"].to_numpy() <= least
-    return Hot(key, blocks, label, most)
+    return key, blocks, label, most
+
 
+def candidates(nodes: DataFrame, deal: Deal = Deal(), named: int = 0, of: int | None = None) -> DataFrame:
+    """(u, v): pairs that a node u names, `named` of each key at most (0: those of the linear pass); and components u, without v, some of whose nodes had more
+    partners than that, or are such partners. nodes: COLUMNS, label being the component so far. of: number of all nodes, if these are a part.
 
-def candidates(nodes: DataFrame, deal: Deal = Deal(), linear: bool = False, of: int | None = None) -> DataFrame:
-    """(u, value, v), a row for each pair that a node u names; for a component u some of whose nodes have a partner and name none, one without value. nodes:
-    COLUMNS; label and size are those of the component so far, tested the value from which on the node hasn't been tried. of: number of all nodes, if these are a part.
+    Runs a job when called: the nodes are counted, and if they are many the keys that hold very many of them.
     """
     n = nodes.count()
-    bits = deal.bits(of or n)
+    bits, linear = deal.bits(of or n), not named
     keys = min(deal.linear, deal.keys(bits)) if linear else deal.keys(bits)
     shared = nodes.sparkSession.sparkContext.broadcast(_hot_keys(nodes, n, bits, keys, deal, linear))
-    dealt = nodes.select(*COLUMNS).mapInArrow(lean(lambda batches: _dealt(batches, bits, keys, shared.value, linear)), ", ".join(f"{c} bigint" for c in DEALT))
-    named = dealt.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(lean(lambda batches: _candidates(batches, deal, linear)), "u bigint, v bigint, value bigint")
-    # a key names few, so a node's set is bounded by the number of keys
-    each = named.groupBy("u", F.col("v").isNull().alias("none")).agg(F.collect_set(F.when(F.col("v").isNotNull(), F.struct("value", "v"))).alias("all"))
-    first = F.sort_array("all") if linear else F.slice(F.sort_array("all"), 1, deal.tried)
-    return each.select("u", F.explode_outer(first).alias("p")).select("u", "p.value", "p.v")
+    dealt = nodes.select(*COLUMNS).mapInArrow(lean(lambda batches: _dealt(batches, bits, keys, shared.value, linear)), DEALT_SCHEMA)
+    return dealt.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(lean(lambda batches: _candidates(batches, deal, bits, keys, named)), "u bigint, v bigint").distinct()
 
 
 def confirmed(pairs: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
@@ -306,10 +346,15 @@ def confirmed(pairs: DataFrame, shingles: DataFrame, similarity: float) -> DataF
 
 
 def _labelled(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """nodes (node, WORDS, tested) with label and size of the component that roots give them."""
-    sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
-    found = nodes.select("node", *WORDS, "tested").join(roots.join(sizes, "root"), "node", "left")
-    return stored(found.select("node", *WORDS, F.coalesce("root", "node").alias("label"), F.coalesce("size", F.lit(1)).cast("bigint").alias("size"), "tested"), "near-labelled")
+    """nodes (node, WORDS) with the label of the component that roots give them."""
+    found = nodes.select("node", *WORDS).join(roots, "node", "left")
+    return stored(found.select("node", *WORDS, F.coalesce("root", "node").alias("label")), "near-labelled")
+
+
+def _release(spark) -> None:
+    """Lets Spark remove the shuffles of plans that nothing refers to any more; it does so when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def near_copy_classes(docs: DataFrame, id_col: str, text: str, shingle: int, deal: Deal) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
@@ -319,8 +364,9 @@ def near_copy_classes(docs: DataFrame, id_col: str, text: str, shingle: int, dea
     rep = F.struct(F.col("id").isNull().alias("no_id"), "id", "key")
     nodes = stored(prints.groupBy("node").agg(F.min(rep).alias("rep"), *(F.first(w).alias(w) for w in WORDS)), "near-nodes")
     n = nodes.count()
-    def sure_of(named: DataFrame) -> DataFrame:
-        pairs = named.where("v is not null").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+    def sure_of(pairs: DataFrame) -> DataFrame:
+        """Of stored pairs those that the shingles confirm."""
         ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
         ends = stored(ends, "near-ends")
         # one row of a node brings its shingles; nodes without a partner are passed over before anything is shuffled
@@ -332,28 +378,37 @@ def near_copy_classes(docs: DataFrame, id_col: str, text: str, shingle: int, dea
         discard(ends)
         return found
 
-    nodes = nodes.withColumn("tested", F.lit(0).cast("bigint"))
-    alone = nodes.select("node", *WORDS, F.col("node").alias("label"), F.lit(1).cast("bigint").alias("size"), "tested")
-    sure = sure_of(stored(candidates(alone, deal, linear=True), "near-named"))
-    roots = stored(components(sure), "near-components")
-    labelled = _labelled(nodes, roots)
+    def all_pairs(named: DataFrame) -> DataFrame:
+        pairs = named.where("v is not null").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        return stored(pairs, "near-pairs")
+
+    spark = docs.sparkSession
+    alone = nodes.select("node", *WORDS, F.col("node").alias("label"))
+    pairs = all_pairs(candidates(alone, deal))
+    sure = [sure_of(pairs)]
+    discard(pairs)
+    roots = stored(components(sure[0]), "near-components")
+    labelled, times = _labelled(nodes, roots), deal.named
     while True:
-        named = stored(candidates(labelled, deal, of=n), "near-named")
-        new = sure_of(named)
-        if new.isEmpty():
+        _release(spark)
+        named = stored(candidates(labelled, deal, times, of=n), "near-named")
+        pairs = all_pairs(named)
+        new = sure_of(pairs)
+        discard(pairs)
+        opened = named.where("v is null").select(F.col("u").alias("label")).distinct()
+        if not new.isEmpty():
+            sure.append(new)
+            discard(roots)
+            roots = stored(components(reduce(DataFrame.unionByName, sure)), "near-components")
+        if opened.isEmpty():
             break
-        sure = sure.unionByName(new)
-        roots = stored(components(sure), "near-components")
-        touched = named.where("v is not null").select(F.col("u").alias("node"), F.col("value").alias("now"))
-        others = named.where("v is not null").select(F.col("v").alias("node"), F.lit(None).cast("bigint").alias("now"))
-        touched = touched.unionByName(others).groupBy("node").agg(F.max("now").alias("now"), F.lit(True).alias("near"))
-        whole = named.where("v is null").select(F.col("u").alias("label"), F.lit(True).alias("of_near")).distinct()
-        again = labelled.join(touched, "node", "left").join(whole, "label", "left").where("near or of_near")
-        before, labelled = labelled, _labelled(again.select("node", *WORDS, F.coalesce("now", "tested").alias("tested")), roots)
+        before, labelled = labelled, _labelled(labelled.join(opened, "label", "left_semi"), roots)
         discard(before)
         discard(named)
+        times *= GROWTH
+    discard(named)
     named = stored(nodes.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")), "near-roots")
-    for x in (labelled, nodes, roots):
+    for x in (labelled, nodes, roots, *sure):
         discard(x)
     return prints.select("id", "key", "node"), named, [prints, named]
 
