@@ -3,27 +3,24 @@
 Texts of equal shingle sets collapse to one node with four 64-bit fingerprints, 256 bits. A node is dealt once a key: a
 choice of some of these bits and their values. The more nodes there are, the more bits a key has, so that a key holds about a
 thousand nodes at any size, and the more keys there are, so that a pair at the stated similarity still shares one with a
-probability of Deal.recall. Inside a task the Gray-order index finds the rows of a key that differ in few bits. A pair counts in
-the first of the keys that it shares only.
+probability of Deal.recall. Inside a task the Gray-order index finds the rows of a key that differ in few bits.
 
 A family of n near copies has n * n / 2 such pairs; what is wanted are its connections. So
-1. a first, linear pass: in a few keys each row names its neighbour in Gray order and the key's first node. Confirmed pairs
-   (keyed joins on the shingles) make components: large families are connected by now.
-2. passes over all keys. Rows of one component needn't meet, and the tree drops groups of rows of one component as it drops
-   those that differ in too many bits. Of a pair in two components the row whose component is rarer in the key names the other; a row
-   names its nearest ones, at first a few a key, and each pass GROWTH times as many as the one before. The next pass is of the
-   components in which some row had more partners than it named. When none had, every candidate pair in two
-   components was held against the shingles, and that is the end: nothing is capped.
-A key with very many nodes is split over tasks: if most are of one component, these are split and the rest meets all parts;
+1. candidates are gathered as clusters. A linear pass, in a few keys, joins each row with its neighbour in Gray order and the key's
+   first node, if they differ in few bits; a pass over all keys joins what is near and not in one cluster yet, for the tree
+   drops groups of rows of one cluster as it drops those that differ in too many bits. Tasks give spanning stars of what they joined.
+2. Clusters are checked on the shingles, in blocks of a bounded number of shingles: each pair of a block that differs in few bits is compared, unless
+   what was found before connects it. A cluster of several blocks has a few of its nodes in all of them. What then is in two
+   components and two blocks meets in a second round: all parts of the largest component the rest, or every two blocks.
+So every candidate pair of two components is held against its shingles, and no table has a row for each pair.
+A key with very many nodes is split over tasks: if most are of one cluster, these are split and the rest meets all parts;
 else every two blocks meet in a task. No pair is left out at any size.
 """
 
 from __future__ import annotations
 
-import gc
 import math
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,28 +30,27 @@ from pyspark.sql import functions as F
 
 from .common import discard, lean, maybe_in, mix64, slices, stored
 from .components import components
-from .simhash import HOT_KEY, GrayIndex, fingerprints, gray_rank, other_words, shingle_hashes
+from .simhash import HOT_KEY, GrayIndex, fingerprints, gray_rank, other_words, shingle_hashes, spanning
 
 WORDS = ["w0", "w1", "w2", "w3"]
 BITS = 64 * len(WORDS)
-#: How much more a row names a key in each pass than in the one before.
-GROWTH = 8
 
 
 @dataclass(frozen=True)
 class Deal:
     """similarity: Jaccard similarity of pairs to find. recall: share of them that meet in a key, by calculation. per_key: nodes that
     a key is expected to hold at most. deviations: of the differing bits of such pairs, up to which a pair is a candidate.
-    named: partners that a row names a key in the first pass over all keys. linear: keys of the pass before. hot_key: nodes of a key
-    beyond which it is split."""
+    linear: keys of the first pass. hot_key: nodes of a key beyond which it is split. block: shingles that a task compares at once. pivots: nodes
+    of a cluster, about, that are in all of its blocks."""
 
     similarity: float = 0.8
     recall: float = 0.998
     per_key: int = 1024
     deviations: float = 2.6
-    named: int = 2
     linear: int = 6
     hot_key: int = HOT_KEY
+    block: int = 1 << 19
+    pivots: int = 8
 
     @property
     def differ(self) -> float:
@@ -120,13 +116,6 @@ def keys_of(words: list[np.ndarray], bits: int, keys: int) -> np.ndarray:
     return cut + (np.arange(keys) << 32)
 
 
-def key_masks(bits: int, keys: int) -> np.ndarray:
-    """The bits of each key as words (keys x WORDS)."""
-    flat = np.zeros((keys, BITS), np.uint8)
-    np.put_along_axis(flat, places_of(bits, keys), 1, axis=1)
-    return np.packbits(flat, axis=1).view("<u8")
-
-
 #: Keys that are split (ascending), into how many blocks, the component that most of their nodes are in, and whether there is one.
 NOT_HOT = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool))
 
@@ -178,18 +167,6 @@ def neighbour_pairs(run: np.ndarray, node: np.ndarray, words: list[np.ndarray],
     return a[near], b[near]
 
 
-def first_shared(words: list[np.ndarray], a: np.ndarray, b: np.ndarray, number: np.ndarray, masks: np.ndarray) -> np.ndarray:
-    """Whether the key with that number is the first that both rows of a pair share."""
-    out = np.ones(len(a), bool)
-    apart = [w[a] ^ w[b] for w in words]
-    for k in range(int(number.max()) if len(number) else 0):
-        differs = np.zeros(len(a), bool)
-        for x, m in zip(apart, masks[k], strict=True):
-            differs |= (x & m) != 0
-        out &= differs | (number <= k)
-    return out
-
-
 def rarer(run: np.ndarray, label: np.ndarray) -> np.ndarray:
     """Of each row the number of rows in its run that have its label."""
     order = np.lexsort((label, run))
@@ -200,85 +177,60 @@ def rarer(run: np.ndarray, label: np.ndarray) -> np.ndarray:
     return out
 
 
-def named_pairs(run: np.ndarray, number: np.ndarray, node: np.ndarray, words: list[np.ndarray], label: np.ndarray, masks: np.ndarray, named: int, deal: Deal) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of rows in Gray order within each run (rows of one key, number): (row, partner) of the nearest `named` partners in other components of each row that
-    names, by differing bits and then a scramble; and the labels of rows and partners where a row had more."""
-    limit, none = deal.limit(BITS), np.empty(0, np.int64)
-    found, seen, size = (none, none.view(np.uint64), none), np.zeros(len(node), np.int64), rarer(run, label)
-    held, rows, partners = [], [], []
-    scrambled = mix64(node) >> np.uint64(16)
+def near_pairs(run: np.ndarray, words: list[np.ndarray], label: np.ndarray, deal: Deal):
+    """Blocks of pairs of rows in Gray order within each run that may be near and have different labels."""
+    limit = deal.limit(BITS)
+    for a, b in GrayIndex(run, words[0], label).links(deal.limit(64)):
+        near = (label[a] != label[b]) & (differing(words, a, b) <= limit)
+        yield a[near], b[near]
 
-    def nearest(parts: list[tuple]) -> tuple:
-        row, value, to = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((value, row))
-        row, value, to = row[order], value[order], to[order]
-        keep = np.arange(len(row)) - np.searchsorted(row, row) < named
-        return row[keep], value[keep], to[keep]
 
-    for a, b in GrayIndex(run, words[0], label).links(deal.limit(64)):
-        apart = differing(words, a, b)
-        near = (apart <= limit) & (label[a] != label[b])
-        a, b, apart = a[near], b[near], apart[near].astype(np.uint64) << np.uint64(48)
-        first = first_shared(words, a, b, number[a], masks)
-        a, b, apart = a[first], b[first], apart[first]
-        for p, q, own in ((a, b, size[a] <= size[b]), (b, a, size[b] < size[a])):
-            row, to = p[own], q[own]
-            seen += np.bincount(row, minlength=len(node))
-            held.append((row, apart[own] | scrambled[to], to))
-            # which components would have to meet again, if the row has more than it names
-            both = np.unique(np.stack([row.astype(np.uint64), label[to]]), axis=1)
-            rows.append(both[0].astype(np.int64))
-            partners.append(both[1])
-        if len(held) > 64:
-            found, held = nearest([found, *held]), []
-            both = np.unique(np.stack([np.concatenate(rows).astype(np.uint64), np.concatenate(partners)]), axis=1)
-            rows, partners = [both[0].astype(np.int64)], [both[1]]
-    if held:
-        found = nearest([found, *held])
-    more = seen > named
-    rows, partners = (np.concatenate(rows), np.concatenate(partners)) if rows else (none, none.view(np.uint64))
-    opened = more[rows]
-    return found[0], found[2], np.unique(np.concatenate([label[more], partners[opened]]))
+def _groups(batches, columns: list[str], rows: int, size: str | None = None):
+    """Columns of whole groups (rows with the same first two columns, which follow each other), of at least `rows` rows if there are more. size: a column
+    whose sum counts instead of the rows."""
+    held, n = [], 0
 
+    def whole(final: bool):
+        nonlocal held, n
+        table = pa.Table.from_batches(held)
+        key, block = (table[c].to_numpy() for c in columns[:2])
+        new = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1
+        cut = len(key) if final else int(new[-1]) if len(new) else 0
+        rest = table.slice(cut)
+        held, n = rest.to_batches(), len(rest) if size is None else int(np.sum(rest[size].to_numpy()))
+        return table.slice(0, cut)
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows if size is None else int(np.sum(batch[size].to_numpy()))
+        if n >= rows:
+            found = whole(False)
+            if len(found):
+                yield found
+    if held:
+        yield whole(True)
 
-def _candidates(batches, deal: Deal, bits: int, keys: int, named: int, rows: int = 1 << 16):
-    """batches of dealt rows, ordered by key and block. Yields u, v: what nodes name in each key and block, and components (u, no v) that must meet again. named 0: the linear pass."""
-    masks = key_masks(bits, keys)
 
-    def chunks():
-        held = None
-        for batch in batches:
-            new = [batch[c].to_numpy() for c in DEALT]
-            held = new if held is None else [np.concatenate([h, x]) for h, x in zip(held, new, strict=True)]
-            if len(held[0]) >= rows:
-                new = np.flatnonzero((held[0][1:] != held[0][:-1]) | (held[1][1:] != held[1][:-1]))
-                if len(new):
-                    cut = new[-1] + 1
-                    yield [h[:cut] for h in held]
-                    held = [h[cut:] for h in held]
-        if held is not None:
-            yield held
-
-    for key, block, *rest in chunks():
+def _candidates(batches, deal: Deal, linear: bool):
+    """batches of dealt rows, ordered by key and block. Yields u, v: stars that connect what may be near and has different labels."""
+    for table in _groups(batches, DEALT, 1 << 16):
+        key, block, *rest = (table[c].to_numpy() for c in DEALT)
         if len(key) < 2:
             continue
         run = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]) | (block[1:] != block[:-1]))])
         some = np.bincount(run)[run] > 1
         if not some.any():
             continue
-        run, number, (node, *words, label) = run[some], key[some] >> 32, [np.ascontiguousarray(x[some]).view(np.uint64) for x in rest]
+        run, (node, *words, label) = run[some], [np.ascontiguousarray(x[some]).view(np.uint64) for x in rest]
         run = np.unique(run, return_inverse=True)[1]
-        together = np.where(rarer(run, label) > 8, label, 0)  # rows of one component lie together, so that the tree can drop them as a whole
+        together = np.where(rarer(run, label) > 8, label, 0)  # rows of one cluster lie together, so that the tree can drop them as a whole
         order = np.lexsort((gray_rank(words[0]), together, run))
-        run, number, node, words, label = run[order], number[order], node[order], [w[order] for w in words], label[order]
-        if named:
-            a, b, opened = named_pairs(run, number, node, words, label, masks, named, deal)
-        else:
-            (a, b), opened = neighbour_pairs(run, node, words, label, deal.limit(BITS)), node[:0]
-        if len(a) or len(opened):
-            u = np.concatenate([node[a], opened]).view(np.int64)
-            v = np.concatenate([node[b].view(np.int64), np.zeros(len(opened), np.int64)])
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v, mask=np.arange(len(v)) >= len(a))], names=["u", "v"])
+        run, node, words, label = run[order], node[order], [w[order] for w in words], label[order]
+        root = spanning(len(run), [neighbour_pairs(run, node, words, label, deal.limit(BITS))] if linear else near_pairs(run, words, label, deal))
+        own = np.flatnonzero(root != np.arange(len(root)))
+        if len(own):
+            yield pa.RecordBatch.from_arrays([pa.array(node[own].view(np.int64)), pa.array(node[root[own]].view(np.int64))], names=["u", "v"])
 
 
 def _hot_keys(nodes: DataFrame, n: int, bits: int, keys: int, deal: Deal, linear: bool) -> tuple:
@@ -323,26 +275,99 @@ def _hot_keys(nodes: DataFrame, n: int, bits: int, keys: int, deal: Deal, linear
     return key, blocks, label, most
 
 
-def candidates(nodes: DataFrame, deal: Deal = Deal(), named: int = 0, of: int | None = None) -> DataFrame:
-    """(u, v): pairs that a node u names, `named` of each key at most (0: those of the linear pass); and components u, without v, some of whose nodes had more
-    partners than that, or are such partners. nodes: COLUMNS, label being the component so far. of: number of all nodes, if these are a part.
+def candidates(nodes: DataFrame, deal: Deal = Deal(), linear: bool = False) -> DataFrame:
+    """(u, v): stars that connect nodes (COLUMNS; label: their cluster so far) which may be near.
 
     Runs a job when called: the nodes are counted, and if they are many the keys that hold very many of them.
     """
     n = nodes.count()
-    bits, linear = deal.bits(of or n), not named
+    bits = deal.bits(n)
     keys = min(deal.linear, deal.keys(bits)) if linear else deal.keys(bits)
     shared = nodes.sparkSession.sparkContext.broadcast(_hot_keys(nodes, n, bits, keys, deal, linear))
     dealt = nodes.select(*COLUMNS).mapInArrow(lean(lambda batches: _dealt(batches, bits, keys, shared.value, linear)), DEALT_SCHEMA)
-    return dealt.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(lean(lambda batches: _candidates(batches, deal, bits, keys, named)), "u bigint, v bigint").distinct()
-
-
-def confirmed(pairs: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (u, v) whose sets of shingles (node, shingles) have at least that Jaccard similarity."""
-    a = shingles.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
-    b = shingles.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-    both = pairs.join(a, "u").join(b, "v").select("u", "v", (F.size("a") + F.size("b")).alias("n"), F.size(F.array_intersect("a", "b")).alias("same"))
-    return both.where(F.col("same") >= F.lit(similarity) * (F.col("n") - F.col("same")) - F.lit(1e-9)).select("u", "v")
+    return dealt.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(lean(lambda batches: _candidates(batches, deal, linear)), "u bigint, v bigint").distinct()
+
+
+def similar(words: list[np.ndarray], label: np.ndarray, flat: np.ndarray, ends: np.ndarray, limit: int, similarity: float) -> np.ndarray:
+    """Of each row the row that links connect it with, among rows of one label from the start. Rows are linked if they differ in at most `limit` bits and
+    their sets of shingles (flat, cut at ends) have that Jaccard similarity; pairs that are connected already aren't compared."""
+    root = np.unique(label, return_index=True, return_inverse=True)
+    root = root[1][root[2]]
+    number = np.unique(flat, return_inverse=True)[1]
+    size, held = np.diff(ends), np.zeros(int(number.max()) + 1 if len(number) else 1, bool)
+    for u in range(len(root) - 1):
+        rest = np.arange(u + 1, len(root))
+        rest = rest[root[rest] != root[u]]
+        rest = rest[differing(words, np.full(len(rest), u), rest) <= limit] if len(rest) else rest
+        if not len(rest):
+            continue
+        own = number[ends[u] : ends[u + 1]]
+        held[own] = True
+        n = size[rest]
+        inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        shared = np.bincount(np.repeat(np.arange(len(rest)), n), held[number[np.repeat(ends[rest], n) + inner]], minlength=len(rest))
+        held[own] = False
+        found = rest[shared >= similarity * (size[u] + n - shared) - 1e-9]
+        if len(found):
+            joined = np.unique(np.append(root[found], root[u]))
+            root[np.isin(root, joined)] = joined[0]
+    return root
+
+
+MEMBER = ["cluster", "block", "node", *WORDS, "label", "size", "shingles"]
+
+
+def _compared(batches, deal: Deal):
+    """batches of MEMBER, ordered by cluster and block. Yields u, v: stars that connect what the shingles confirm and isn't connected by its label."""
+    for table in _groups(batches, MEMBER, deal.block, "size"):
+        cluster, block = (table[c].to_numpy() for c in MEMBER[:2])
+        node, *words, label = (np.ascontiguousarray(table[c].to_numpy()).view(np.uint64) for c in MEMBER[2:8])
+        lists = table["shingles"].combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        flat, ends = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(table["size"].to_numpy())])
+        cut = np.concatenate([[0], np.flatnonzero((cluster[1:] != cluster[:-1]) | (block[1:] != block[:-1])) + 1, [len(cluster)]])
+        u, v = [], []
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            root = similar([w[a:b] for w in words], label[a:b], flat[ends[a] : ends[b]], ends[a : b + 1] - ends[a], deal.limit(BITS), deal.similarity)
+            own = np.flatnonzero(root != np.arange(b - a))
+            u.append(node[a:b][own])
+            v.append(node[a:b][root[own]])
+        if sum(map(len, u)):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (u, v)], names=["u", "v"])
+
+
+def _links(members: DataFrame, deal: Deal) -> DataFrame:
+    """Stars that connect nodes of one cluster and block (MEMBER)."""
+    return members.select(*MEMBER).repartition("cluster", "block").sortWithinPartitions("cluster", "block").mapInArrow(lean(lambda batches: _compared(batches, deal)), "u bigint, v bigint").distinct()
+
+
+def confirmed(members: DataFrame, deal: Deal) -> list[DataFrame]:
+    """Stored stars (u, v) that connect just what all links do. members: cluster, node, WORDS, size and shingles of every node that is in a cluster."""
+    totals = stored(members.groupBy("cluster").agg(F.sum("size").alias("total"), F.count("*").alias("nodes")), "near-clusters")
+    blocks = F.ceil(F.col("total") / F.lit(deal.block)).cast("int")
+    scramble = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "node"), n)
+    counted = members.join(totals.withColumn("blocks", F.greatest(blocks, F.lit(1))), "cluster").withColumn("own", scramble(5, F.col("blocks")).cast("int"))
+    everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
+    is_pivot = scramble(6, F.lit(1 << 30)) * F.col("nodes") < F.lit(deal.pivots << 30)
+    once = counted.withColumn("block", F.explode(F.when((F.col("blocks") > 1) & is_pivot, everywhere).otherwise(F.array("own"))))
+    first = stored(_links(once.withColumn("label", F.col("node")), deal), "near-sure")
+    large = counted.where("blocks > 1")
+    if totals.where(blocks > 1).isEmpty():
+        return [first]
+    roots = stored(components(first), "near-components")
+    named = stored(large.drop("shingles").join(roots, "node", "left").select("cluster", "node", "size", "blocks", F.coalesce("root", "node").alias("label")), "near-labelled")
+    by = named.groupBy("cluster", "label").agg(F.sum("size").alias("of"))
+    top = by.groupBy("cluster").agg(F.max(F.struct("of", "label")).alias("top"), F.sum("of").alias("all"), F.count("*").alias("labels")).where("labels > 1")
+    top = stored(top.select("cluster", F.col("top.label").alias("main"), (F.col("all") - F.col("top.of") <= deal.block).alias("mostly")), "near-main")
+    again = large.join(named.select("node", "label"), "node").join(top, "cluster")
+    # of a cluster that is mostly one component its parts meet the rest; of any other every two blocks meet
+    n, other = F.col("blocks"), F.col("other")
+    again = again.withColumn("other", F.explode(F.when(F.col("mostly") & (F.col("label") == F.col("main")), F.array("own")).otherwise(everywhere)))
+    again = again.withColumn("block", F.when(F.col("mostly"), other).otherwise(F.least("own", other) * n + F.greatest("own", other)).cast("int"))
+    second = stored(_links(again, deal), "near-sure")
+    for x in (roots, named, top):
+        discard(x)
+    return [first, second]
 
 
 def _labelled(nodes: DataFrame, roots: DataFrame) -> DataFrame:
@@ -351,64 +376,27 @@ def _labelled(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     return stored(found.select("node", *WORDS, F.coalesce("root", "node").alias("label")), "near-labelled")
 
 
-def _release(spark) -> None:
-    """Lets Spark remove the shuffles of plans that nothing refers to any more; it does so when the driver collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def near_copy_classes(docs: DataFrame, id_col: str, text: str, shingle: int, deal: Deal) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
     """(id, key, node) of each row of docs, key being a hash of its text; of each node its root and rep: the row of it with the smallest id (no id last), then key; and the stored tables behind both."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("key"), F.col(f"`{text}`").alias("text"))
     prints = stored(with_prints(rows, shingle), "near-prints")
     rep = F.struct(F.col("id").isNull().alias("no_id"), "id", "key")
     nodes = stored(prints.groupBy("node").agg(F.min(rep).alias("rep"), *(F.first(w).alias(w) for w in WORDS)), "near-nodes")
-    n = nodes.count()
-
-    def sure_of(pairs: DataFrame) -> DataFrame:
-        """Of stored pairs those that the shingles confirm."""
-        ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-        ends = stored(ends, "near-ends")
-        # one row of a node brings its shingles; nodes without a partner are passed over before anything is shuffled
-        lead = maybe_in(prints.select("node", "id", "key", "shingles"), "node", ends).where("maybe").join(nodes.select("node", "rep").join(ends, "node", "left_semi"), "node")
-        lead = lead.where(F.col("id").eqNullSafe(F.col("rep.id")) & (F.col("key") == F.col("rep.key")))
-        shown = stored(lead.dropDuplicates(["node"]).select("node", "shingles"), "near-shingles")
-        found = stored(confirmed(pairs, shown, deal.similarity), "near-sure")
-        discard(shown)
-        discard(ends)
-        return found
-
-    def all_pairs(named: DataFrame) -> DataFrame:
-        pairs = named.where("v is not null").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-        return stored(pairs, "near-pairs")
-
-    spark = docs.sparkSession
     alone = nodes.select("node", *WORDS, F.col("node").alias("label"))
-    pairs = all_pairs(candidates(alone, deal))
-    sure = [sure_of(pairs)]
-    discard(pairs)
-    roots = stored(components(sure[0]), "near-components")
-    labelled, times = _labelled(nodes, roots), deal.named
-    while True:
-        _release(spark)
-        named = stored(candidates(labelled, deal, times, of=n), "near-named")
-        pairs = all_pairs(named)
-        new = sure_of(pairs)
-        discard(pairs)
-        opened = named.where("v is null").select(F.col("u").alias("label")).distinct()
-        if not new.isEmpty():
-            sure.append(new)
-            discard(roots)
-            roots = stored(components(reduce(DataFrame.unionByName, sure)), "near-components")
-        if opened.isEmpty():
-            break
-        before, labelled = labelled, _labelled(labelled.join(opened, "label", "left_semi"), roots)
-        discard(before)
-        discard(named)
-        times *= GROWTH
-    discard(named)
+    linear = stored(components(candidates(alone, deal, linear=True)), "near-components")
+    labelled = _labelled(nodes, linear)
+    across = stored(candidates(labelled, deal), "near-stars")
+    clusters = stored(components(linear.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(across)), "near-components")
+    of = clusters.select("node", F.col("root").alias("cluster"))
+    # one row of a node brings its shingles; nodes that are in no cluster are passed over before anything is shuffled
+    lead = maybe_in(prints.select("node", "id", "key", *WORDS, "shingles"), "node", of).where("maybe").join(nodes.select("node", "rep").join(of, "node"), "node")
+    lead = lead.where(F.col("id").eqNullSafe(F.col("rep.id")) & (F.col("key") == F.col("rep.key")))
+    members = stored(lead.dropDuplicates(["node"]).select("cluster", "node", *WORDS, F.size("shingles").cast("bigint").alias("size"), "shingles"), "near-shingles")
+    sure = confirmed(members, deal)
+    every = sure[0] if len(sure) == 1 else sure[0].unionByName(sure[1])
+    roots = stored(components(every), "near-components")
     named = stored(nodes.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")), "near-roots")
-    for x in (labelled, nodes, roots, *sure):
+    for x in (linear, labelled, across, clusters, members, nodes, roots, *sure):
         discard(x)
     return prints.select("id", "key", "node"), named, [prints, named]
 

@@ -44,15 +44,30 @@ def test_families_around_the_similarity(spark):
     assert lost == 0 and found == dict(enumerate(label))
 
 
-def test_a_pair_counts_in_the_first_key_that_it_shares():
+def test_clusters_of_several_blocks(spark):
+    """A cluster that is cut in blocks: copies of one text, a cloud of texts around the similarity, and both."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(6000)}" for _ in range(150)]
+    texts = [" ".join(w if rng.random() > share else f"x{rng.randrange(6000)}" for w in base) for share in (0.002,) * 60 + (0.02,) * 60]
+    for part in (texts, texts[:60], texts[60:]):
+        label, _ = brute(part)
+        for block in (1 << 19, 1500, 400):
+            some = spark.createDataFrame(list(enumerate(part)), "doc_id bigint, text string")
+            found = {r["doc_id"]: r["component"] for r in near_copies.near_copy_components(some, deal=near_copies.Deal(block=block, pivots=2)).collect()}
+            assert found == dict(enumerate(label))
+
+
+def test_shared_shingles_are_counted():
     rng = np.random.default_rng(0)
-    words = list(rng.integers(0, 1 << 63, (4, 300)).astype(np.uint64))
-    for w in words:
-        w[100:200] = w[:100] ^ (np.uint64(1) << rng.integers(0, 60, 100).astype(np.uint64))
-    keys, masks = near_copies.keys_of(words, 8, 20), near_copies.key_masks(8, 20)
-    a, b = np.arange(100), np.arange(100, 200)
-    shares = keys[a] == keys[b]
-    for k in range(20):
-        want = shares[:, k] & ~shares[:, :k].any(1)
-        got = near_copies.first_shared(words, a, b, np.full(100, k), masks) & shares[:, k]
-        assert (got == want).all()
+    sets = [np.unique(rng.integers(0, 40, int(n))).astype(np.int32) for n in rng.integers(1, 60, 80)] + [np.empty(0, np.int32)] * 2
+    words = [np.zeros(len(sets), np.uint64)] * 4
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    root = near_copies.similar(words, np.arange(len(sets)).astype(np.uint64), np.concatenate(sets), ends, 0, 0.8)
+    want = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            same, either = len(np.intersect1d(sets[a], sets[b])), len(np.union1d(sets[a], sets[b]))
+            if same >= 0.8 * either:
+                low, high = sorted((want[a], want[b]))
+                want = [low if x == high else x for x in want]
+    assert root.tolist() == want
