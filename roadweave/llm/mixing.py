@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -100,8 +100,8 @@ def _round(df: DataFrame, keys: list[str], last: bool) -> DataFrame:
     return df.groupBy(*keys).applyInArrow(run, schema)
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, keep: bool = False) -> DataFrame:
-    """Each row of docs with size, source_size, target (words), copies and taken = copies * size; with all its columns if keep, else id and source.
+def mixed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, keep: bool = False, words: Column | None = None) -> DataFrame:
+    """Each row of docs with size, source_size, target (words), copies and taken = copies * size; with all its columns if keep, else id and source. words: its size, if that is known.
 
     Null and empty texts have size 0 and take no words. Rows that repeat are separate documents. Ids needn't be unique or
     set: a draw hashes id, source and size. If no document has a word, all targets are 0.
@@ -109,7 +109,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: s
     """
     added = ["size", "source_size", "target", "copies", "taken"]
     rest = [c for c in docs.columns if c not in added] if keep else list(dict.fromkeys([id_col, source]))
-    rows = docs.select(*(F.col(f"`{c}`") for c in rest), word_count(text).alias("_size"))
+    rows = docs.select(*(F.col(f"`{c}`") for c in rest), (word_count(text) if words is None else words).alias("_size"))
     totals = rows.groupBy(F.col(f"`{source}`").alias("source")).agg(F.sum("_size").alias("size"), F.count("*").alias("n"))
     totals = stored(totals, "mixing-sources")
     targets = source_targets(totals.select("source", "size"), weights, share, most).select(F.col("source").alias("_source"), F.col("size").alias("_source_size"), F.col("target").alias("_target"))
@@ -133,6 +133,20 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: s
 
 
 def take_mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", **settings) -> DataFrame:
-    """docs with each row as many times as the mix takes it; a document without words stays only if its draw says so."""
-    found = mixed(docs, id_col, text, source, keep=True, **settings).where("copies > 0")
-    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*(F.col(f"`{c}`") for c in docs.columns))
+    """docs with each row as many times as the mix takes it; a document without words stays only if its draw says so.
+
+    Sizes, ids and a hash of each row are rounded; texts only meet the numbers of copies, in one keyed join. Rows that are equal in all columns are taken
+    as often as all of them together.
+    """
+    on = {"_mix_id": F.col(f"`{id_col}`"), "_mix_source": F.col(f"`{source}`"), "_mix_size": word_count(text), "_mix_row": F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))}
+    keyed = docs.withColumns(on)
+    each = keyed.groupBy(*on).agg(F.count("*").alias("_mix_n")).withColumn("_mix_nth", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_mix_n"))))
+    found = mixed(each, "_mix_id", text, "_mix_source", keep=True, words=F.col("_mix_size"), **settings)
+    taken = found.groupBy(*on).agg(F.sum("copies").alias("_mix_copies"), F.count("*").alias("_mix_n")).where("_mix_copies > 0")
+    taken = stored(taken.select(*(F.col(c).alias(f"{c}_") for c in on), "_mix_copies", "_mix_n"), "mixing-taken")
+    same = (keyed["_mix_row"] == taken["_mix_row_"]) & (keyed["_mix_size"] == taken["_mix_size_"]) & keyed["_mix_id"].eqNullSafe(taken["_mix_id_"]) & keyed["_mix_source"].eqNullSafe(taken["_mix_source_"])
+    rows = keyed.join(taken, same)
+    # of equal rows one stands for all; there are none in most tables, and then nothing more is shuffled
+    if not taken.where("_mix_n > 1").isEmpty():
+        rows = rows.where("_mix_n = 1").unionByName(rows.where("_mix_n > 1").dropDuplicates([*on]))
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_mix_copies")))).select(*(F.col(f"`{c}`") for c in docs.columns))
