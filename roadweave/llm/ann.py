@@ -146,10 +146,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec
     known_id, known = sample["id"].to_numpy(), matrix(sample["x"].combine_chunks(), dim)
     coder = Coder(known.mean(0), settings.seed)
     centres = cell_centres(known, max(1, min(len(known) // 16, -(-dims["count"] // settings.cell_rows))), settings.seed)
-    shared = spark.sparkContext.broadcast((coder, centres, known_id, known))
+    # only plain arrays are broadcast: executors have no copy of this module's classes
+    shared = spark.sparkContext.broadcast((coder.centre, centres, known_id, known))
+    seed = settings.seed
 
     def encode(batches):
-        coder, centres, _, _ = shared.value
+        coder, centres = Coder(shared.value[0], seed), shared.value[1]
         for batch in batches:
             x = matrix(batch["x"], dim)
             bits, length, own = coder.code(x)
@@ -199,7 +201,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec
 
     codes = index.select("id", "x", "bits", "length", "own", "cell").mapInArrow(lean(dealt), "id bigint, x array<double>, bits binary, length double, own double, cell int, chunk int, lot int")
     lot = F.pmod(F.xxhash64("id"), F.element_at(F.array(*(F.lit(int(x)) for x in np.maximum(1, lots.value))), F.col("cell") + 1)).cast("int")
-    found = codes.groupBy("cell", "chunk", "lot").cogroup(queries.withColumn("lot", lot).groupBy("cell", "chunk", "lot")).applyInArrow(lambda a, b: _scan(a, b, shared.value[0], k, settings.epsilon), "query_id bigint, vec_id bigint, score double")
+    found = codes.groupBy("cell", "chunk", "lot").cogroup(queries.withColumn("lot", lot).groupBy("cell", "chunk", "lot")).applyInArrow(lambda a, b: _scan(a, b, Coder(shared.value[0], seed), k, settings.epsilon), "query_id bigint, vec_id bigint, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -18,7 +18,8 @@ A range reads its packed rows twice, a bounded number at a time, so what it hold
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections import defaultdict
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, lean, mix64, slices, split_words, stored
+from .common import give_back, lean, mix64, per_process, slices, split_words, stored
 
 #: At most so many words are frequent, and twice so many bigrams are hot (a task knows only its own counts when it sends its frequent bigrams).
 FREQUENT, HOT = 1 << 20, 1 << 16
@@ -115,34 +116,51 @@ def _word_counts(batches, hot: int):
     yield pa.RecordBatch.from_arrays([pa.array(x) for x in (one, pairs.names[0][often].view(np.int64), pairs.names[1][often].view(np.int64), pairs.sums[0][often], one - 1)], names=names)
 
 
+#: Names of packed columns; a column is told by its place here.
+NAMES = (
+    "base", "held", "tokens", "hot", "text", "n", "pair", "fit", "tune", "row", "case", "context", "both", "word", "cell", "name", "fold", "context_fit", "context_all", "both_fit",
+    "score", "known", *(f"{c}{k}" for c in ("key", "beside", "text", "n", "fold") for k in range(3)),
+)
+#: Bytes below which packed columns aren't compressed.
+SMALL = 256
+
+
 def pack(**columns: np.ndarray) -> bytes:
-    """Integer columns as bytes: each narrowed to its largest value, byte planes apart, compressed."""
-    out = []
+    """Columns of whole numbers or doubles as bytes: each narrowed to its largest value, byte planes apart, all compressed at once where that pays.
+
+    Empty ones are left out; a column costs five bytes beside its values, so that few rows stay small too.
+    """
+    head, body = [], []
     for name, x in columns.items():
+        if not len(x):
+            continue
         x = np.ascontiguousarray(x)
+        kind = 9
         if x.dtype != np.float64:
-            width = next(w for w in (1, 2, 4, 8) if w == 8 or not len(x) or int(x.max()) < 1 << (8 * w))
-            x = x.astype(f"<u{width}")
-        kind = "f" if x.dtype == np.float64 else str(x.itemsize)
-        body = zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()) if len(x) else b""
-        out.append(f"{name} {kind} {len(x)} {len(body)}\n".encode() + body)
-    return b"".join(out)
+            top = int(x.max())
+            kind = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
+            x = x.astype(f"<u{kind}")
+        head.append(bytes([NAMES.index(name) << 2 | (1, 2, 4, 8, 9).index(kind) & 3, (kind == 9)]) + len(x).to_bytes(4, "little"))
+        body.append(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes())
+    whole = b"".join(body)
+    squeezed = per_process("lm-pack", lambda: zstandard.ZstdCompressor(level=1)).compress(whole) if len(whole) > SMALL else whole
+    use = len(squeezed) < len(whole)
+    return bytes([len(head), use]) + b"".join(head) + (squeezed if use else whole)
 
 
 def unpack(data: bytes) -> dict[str, np.ndarray]:
-    out, at = {}, 0
-    while at < len(data):
-        end = data.index(b"\n", at)
-        name, kind, n, size = data[at:end].decode().split(" ")
-        n, size = int(n), int(size)
-        at = end + 1 + size
-        width = 8 if kind == "f" else int(kind)
-        if not n:
-            out[name] = np.empty(0, np.float64 if kind == "f" else np.uint64)
-            continue
-        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[end + 1 : at], max_output_size=n * width), np.uint8).reshape(width, n)
+    """The columns again, whole numbers as 64 bits; one that was empty, or wasn't packed, is empty."""
+    out = defaultdict(lambda: np.empty(0, np.uint64))
+    at = 2 + 6 * data[0]
+    body = per_process("lm-unpack", zstandard.ZstdDecompressor).decompress(data[at:]) if data[1] else data[at:]
+    place = 0
+    for i in range(2, at, 6):
+        real, n = data[i + 1], int.from_bytes(data[i + 2 : i + 6], "little")
+        width = 8 if real else (1, 2, 4, 8)[data[i] & 3]
+        planes = np.frombuffer(body, np.uint8, n * width, place).reshape(width, n)
+        place += n * width
         x = np.ascontiguousarray(planes.T).reshape(-1)
-        out[name] = x.view(np.float64) if kind == "f" else x.view(f"<u{width}").astype(np.uint64)
+        out[NAMES[data[i] >> 2]] = x.view(np.float64) if real else x.view(f"<u{width}").astype(np.uint64)
     return out
 
 
@@ -201,7 +219,7 @@ def _bigrams(batches, words: Words, ranges: int):
             hot = np.where(kind == BOTH, _place(words.hot, key), len(words.hot))
             to = (mix64(key ^ (kind.astype(np.uint64) << np.uint64(62))) % np.uint64(ranges)).astype(np.int64)
             base = task << 33 | row
-            head = {"base": np.array([base], np.uint64), "fold": fold}
+            head = {"base": np.array([base], np.uint64)}
             out, names = [], []
             cold = np.flatnonzero(hot == len(words.hot))
             cold = cold[np.lexsort((text[cold], beside[cold], key[cold], kind[cold], to[cold]))]
@@ -210,7 +228,7 @@ def _bigrams(batches, words: Words, ranges: int):
                 blob = dict(head)
                 for k in (BOTH, FIRST, SECOND):
                     x = mine[kind[mine] == k]
-                    blob |= {f"key{k}": _gaps(key[x]), f"beside{k}": beside[x], f"text{k}": text[x], f"n{k}": times[x]}
+                    blob |= {f"key{k}": _gaps(key[x]), f"beside{k}": beside[x], f"text{k}": text[x], f"n{k}": times[x], f"fold{k}": fold[text[x]]}
                 out.append(pack(**blob))
                 names.append(int(to[mine[0]]))
             warm = np.flatnonzero(hot < len(words.hot))
@@ -323,7 +341,7 @@ def _resolve(blobs: list[bytes], words: Words, ranges: int):
 
     def columns(x: dict, k: int):
         text = x[f"text{k}"].astype(np.int64)
-        return np.cumsum(x[f"key{k}"], dtype=np.uint64), x[f"beside{k}"], text + int(x["base"][0]), x["fold"][text], x[f"n{k}"].astype(np.int64)
+        return np.cumsum(x[f"key{k}"], dtype=np.uint64), x[f"beside{k}"], text + int(x["base"][0]), x[f"fold{k}"].astype(np.int64), x[f"n{k}"].astype(np.int64)
 
     sizes = ["key0", "key1", "key2"]
     for held in _steps(blobs, sizes):
@@ -504,23 +522,24 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     a, b = (words.find(found[c].to_numpy().view(np.uint64)) for c in ("word", "second"))
     on = (a < len(word)) & (b < len(word))
     words.hot = np.sort((a[on] << 21 | b[on]).astype(np.uint64))
-    shared = spark.sparkContext.broadcast(words)
+    # only plain arrays are broadcast: executors have no copy of this module's classes
+    shared = spark.sparkContext.broadcast(tuple(getattr(words, f.name) for f in fields(Words)))
     ranges = max(1, round(1.2 * n / range_rows))
 
     def resolve(table: pa.Table) -> pa.Table:
         if table["range"][0].as_py() < 0:
             out = [("documents", None, x, y) for x, y in zip(table["packed"].to_pylist(), table["ids"].to_pylist(), strict=True)]
         else:
-            out = [(*x, None) for x in _resolve(table["packed"].to_pylist(), shared.value, ranges)]
+            out = [(*x, None) for x in _resolve(table["packed"].to_pylist(), Words(*shared.value), ranges)]
         kinds = (pa.string(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
         give_back()
         return pa.table({k: pa.array([x[i] for x in out], t) for i, (k, t) in enumerate(zip(("kind", "range", "packed", "ids"), kinds, strict=True))})
 
-    dealt = rows.mapInArrow(lean(lambda batches: _bigrams(batches, shared.value, ranges)), "range bigint, packed binary, ids array<bigint>")
+    dealt = rows.mapInArrow(lean(lambda batches: _bigrams(batches, Words(*shared.value), ranges)), "range bigint, packed binary, ids array<bigint>")
     resolved = stored(dealt.groupBy("range").applyInArrow(resolve, "kind string, range bigint, packed binary, ids array<bigint>"), "lm-ranges")
 
     def resolve_second(table: pa.Table) -> pa.Table:
-        out = list(_resolve_second(table["packed"].to_pylist(), shared.value))
+        out = list(_resolve_second(table["packed"].to_pylist(), Words(*shared.value)))
         give_back()
         return pa.table({"kind": [x[0] for x in out], "packed": pa.array([x[1] for x in out], pa.binary())})
 
@@ -542,7 +561,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     summary = summary.mapInArrow(lean(cells), "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     mix = weights(np.concatenate([summary["cell"].to_numpy(), hot_cell]), np.concatenate([summary["n"].to_numpy(), hot_n]), 1 / (distinct + 1))
     known = spark.sparkContext.broadcast((pair_fit, pair_fit + pair_tune))
-    hot_rows = documents_of.select("packed").mapInArrow(lean(lambda batches: _hot_rows(batches, shared.value, *known.value)), "packed binary")
+    hot_rows = documents_of.select("packed").mapInArrow(lean(lambda batches: _hot_rows(batches, Words(*shared.value), *known.value)), "packed binary")
     every = resolved.where("kind = 'rows'").select("packed").unionByName(second.where("kind = 'rows'").select("packed")).unionByName(hot_rows)
     sums = every.mapInArrow(lean(lambda batches: _scores(batches, mix, n, distinct)), "block bigint, packed binary")
     sums = sums.groupBy("block").applyInArrow(_block_sums, "row bigint, score double, base_score double, n_known bigint")

@@ -418,3 +418,21 @@ def test_sentencepiece_unigram_models():
     model = sentencepiece_tok.SentencePieceModel(pieces=pieces, model_type=sentencepiece_tok.UNIGRAM, byte_fallback=True)
     ids = model.tokenizer().encode("▁abba").ids
     assert [pieces[i][0] for i in ids] == ["▁ab", "ba"]
+
+
+def test_packed_rows_stay_small_when_they_are_few():
+    from roadweave.llm import lm_scoring
+
+    rng = np.random.default_rng(0)
+    columns = lambda n: {"base": np.array([5], np.uint64), "key1": np.sort(rng.integers(0, 1 << 62, n).astype(np.uint64)), "beside1": rng.integers(0, 1 << 62, n).astype(np.uint64), "text1": rng.integers(0, 600, n), "n1": rng.integers(1, 4, n), "fold1": rng.integers(0, 3, n), "key0": np.empty(0, np.uint64)}
+    size = {}
+    for n in (1, 5, 50, 5000):
+        x = columns(n)
+        packed = lm_scoring.pack(**x)
+        back = lm_scoring.unpack(packed)
+        assert all((back[k].astype(np.int64) == np.asarray(v).astype(np.int64)).all() and len(back[k]) == len(v) for k, v in x.items()) and len(back["key2"]) == 0
+        size[n] = len(packed) / n
+    # a range of a hundred times as many has a hundredth of a slice's rows
+    assert size[50] < 1.3 * size[5000] and size[1] < 80
+    score = {"row": np.arange(3), "score": np.array([-1.5, 2.0, 0.25])}
+    assert (lm_scoring.unpack(lm_scoring.pack(**score))["score"] == score["score"]).all()
