@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.paths import visits_in_order, window_class
+from ..functions.paths import first_position, last_position
 from ..shared import stored
 from . import graph
 
@@ -101,15 +101,31 @@ def anchor_candidates(windows: DataFrame, edges: DataFrame, config: AnchorConfig
     return windows.select("works_id", "start_unit", "end_unit", "covered").mapInPandas(run, schema)
 
 
-def anchor_stats(candidates: DataFrame, records: DataFrame) -> DataFrame:
+def path_visits(records: DataFrame) -> DataFrame:
+    """(record_id, unit, first, last): places of a unit's first and last visit on each path, a row a unit. Made in the path's own array, without a shuffle."""
+    units = F.transform(F.array_distinct("path"), lambda u: F.struct(u.alias("unit"), first_position(F.col("path"), u).cast("int").alias("first"), last_position(F.col("path"), u).cast("int").alias("last")))
+    return records.select("record_id", F.explode(units).alias("v")).select("record_id", "v.*")
+
+
+def _ordered(visits: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(record_id, anchor_start, anchor_end): the pairs of units that a path visits in order. Only units that are in some pair, and only their places, are joined."""
+    asked = pairs.select("anchor_start", "anchor_end").distinct()
+    starts = visits.select("record_id", F.col("unit").alias("anchor_start"), "first")
+    ends = visits.join(asked.select(F.col("anchor_end").alias("unit")).distinct(), "unit", "left_semi").select("record_id", F.col("unit").alias("anchor_end"), "last")
+    return starts.join(asked, "anchor_start").join(ends, ["record_id", "anchor_end"]).where(F.col("first") < F.col("last")).select("record_id", "anchor_start", "anchor_end")
+
+
+def anchor_stats(candidates: DataFrame, records: DataFrame, visits: DataFrame | None = None) -> DataFrame:
     """Flow, number and distinct pairs of the paths that pass or bypass each candidate. records: record_id, enid, exid, path, flow.
 
-    Paths meet candidates over their units: a candidate's start is one of them.
+    Paths meet candidates over places of units, once for each different pair of anchors; which paths meet a window's covered units is told once a window.
     """
-    each = records.select("record_id", "enid", "exid", "path", "flow", F.explode(F.array_distinct("path")).alias("anchor_start"))
-    both = each.join(candidates, "anchor_start").withColumn("kind", window_class(F.col("path"), F.col("anchor_start"), F.col("anchor_end"), F.col("covered"))).where("kind <> 'none'")
-    keys = ["works_id", "start_unit", "end_unit", "level", "anchor_start", "anchor_end"]
-    of = lambda kind, x: F.when(F.col("kind") == kind, x)
+    visits = stored(path_visits(records), "anchor-visits") if visits is None else visits
+    window, keys = ["works_id", "start_unit", "end_unit"], ["works_id", "start_unit", "end_unit", "level", "anchor_start", "anchor_end"]
+    covers = candidates.select(*window, "covered").distinct().select(*window, F.explode("covered").alias("unit"))
+    touched = covers.join(visits.select("record_id", "unit"), "unit").select(*window, "record_id").distinct().withColumn("passes", F.lit(True))
+    both = _ordered(visits, candidates).join(candidates.select(*keys), ["anchor_start", "anchor_end"]).join(touched, [*window, "record_id"], "left").join(records.select("record_id", "enid", "exid", "flow"), "record_id")
+    of = lambda kind, x: F.when(F.coalesce("passes", F.lit(False)) == (kind == "pass"), x)
     return both.groupBy(*keys).agg(
         *(F.coalesce(F.sum(of(k, F.col("flow"))), F.lit(0)).alias(f"{k}_flow") for k in ("pass", "bypass")),
         *(F.count(of(k, F.lit(1))).alias(f"{k}_count") for k in ("pass", "bypass")),
@@ -133,24 +149,28 @@ def merged_anchors(candidates: DataFrame) -> DataFrame:
     return candidates.groupBy("works_id", "anchor_start", "anchor_end").agg(F.min("level").alias("min_level"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("covered")))).alias("covered"), F.count("*").alias("window_count"))
 
 
-def assign_paths(records: DataFrame, anchors: DataFrame, parts: DataFrame) -> DataFrame:
+def assign_paths(records: DataFrame, anchors: DataFrame, parts: DataFrame, visits: DataFrame | None = None) -> DataFrame:
     """Each path with its best anchor pair: lowest level, fewest covered units, then smallest start and end; unassigned if it visits none in order.
 
     route_type is pass if the path visits any unit of the site, else bypass.
     """
-    sites = parts.groupBy("works_id").agg(F.collect_set("unit").alias("units"))
-    each = records.select("record_id", "path", F.explode(F.array_distinct("path")).alias("anchor_start"))
-    both = each.join(anchors, "anchor_start").where(visits_in_order(F.col("path"), F.col("anchor_start"), F.col("anchor_end"))).join(sites, "works_id")
-    both = both.withColumn("route_type", F.when(F.arrays_overlap("path", "units"), "pass").otherwise("bypass")).withColumn("score", F.struct("min_level", F.size("covered").alias("n"), "anchor_start", "anchor_end", "works_id"))
-    best = both.groupBy("record_id").agg(F.min_by(F.struct("works_id", "anchor_start", "anchor_end", "route_type"), "score").alias("best")).select("record_id", "best.*")
+    visits = stored(path_visits(records), "anchor-visits") if visits is None else visits
+    score = F.struct("min_level", F.size("covered").alias("n"), "anchor_start", "anchor_end", "works_id")
+    # of the sites that share a pair of anchors only the best can be a path's choice
+    best_of = anchors.groupBy("anchor_start", "anchor_end").agg(F.min(score).alias("score"))
+    best = _ordered(visits, anchors).join(best_of, ["anchor_start", "anchor_end"]).groupBy("record_id").agg(F.min("score").alias("best"))
+    best = best.select("record_id", "best.works_id", "best.anchor_start", "best.anchor_end")
+    touched = visits.join(parts.select("works_id", "unit").distinct(), "unit").select("record_id", "works_id").distinct().withColumn("route_type", F.lit("pass"))
+    best = best.join(touched, ["record_id", "works_id"], "left").withColumn("route_type", F.coalesce("route_type", F.lit("bypass")))
     return records.select("record_id", "enid", "exid", "flow").join(best, "record_id", "left").withColumn("route_type", F.coalesce("route_type", F.lit("unassigned")))
 
 
 def aggregate(records: DataFrame, works: DataFrame, edges: DataFrame, config: AnchorConfig = AnchorConfig()) -> tuple[DataFrame, DataFrame]:
     """Anchor pairs and the assignment of each path, from works (works_id, unit), edges and records. What several steps use is stored."""
     parts, records = stored(graph.works_components(works, edges), "anchor-parts"), stored(records, "anchor-records")
+    visits = stored(path_visits(records), "anchor-visits")
     windows = combined_windows(portal_windows(parts, edges), hit_windows(records, parts, config), parts)
     candidates = stored(anchor_candidates(windows, edges, config), "anchor-candidates")
-    nearest = nearest_anchors(candidates, anchor_stats(candidates, records), config)
+    nearest = nearest_anchors(candidates, anchor_stats(candidates, records, visits), config)
     anchors = stored(merged_anchors(nearest), "anchor-pairs")
-    return anchors, assign_paths(records, anchors, parts)
+    return anchors, assign_paths(records, anchors, parts, visits)

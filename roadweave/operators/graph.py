@@ -74,19 +74,41 @@ class RoadGraph:
                     heapq.heappush(queue, (cost + miles, before))
         return done
 
+    def _leaving(self, way: tuple, cost, target, rest: dict, not_next: set, excluded: frozenset) -> tuple | None:
+        """The best (cost, path) that starts with `way`, goes on to none of not_next and comes to the target without meeting a node twice."""
+        done = set(way[:-1]) | excluded
+        queue = [(cost + rest[way[-1]], len(way), way, cost)] if way[-1] in rest else []
+        while queue:
+            _, hops, path, so_far = heapq.heappop(queue)
+            node = path[-1]
+            if node == target:
+                return so_far, path
+            if node in done:
+                continue
+            done.add(node)
+            for to, miles in self.next.get(node, {}).items():
+                if to in rest and to not in done and not (len(path) == len(way) and to in not_next):
+                    heapq.heappush(queue, (so_far + miles + rest[to], hops + 1, (*path, to), so_far + miles))
+        return None
+
     def k_shortest(self, source, target, k: int, excluded: frozenset = frozenset()) -> list[tuple]:
-        """The k best simple paths. Partial paths are taken by cost so far plus the exact rest, so none is opened in vain but by a loop."""
+        """The k best simple paths. Each one that is found is left at each of its nodes for the best way on that no found path takes; a search never
+        opens a node twice, so the work is at most k times a path's length of them."""
         rest = self.distances_to(target, excluded)
-        out = []
-        queue = [(rest[source], 0, (source,), 0)] if source in rest else []
+        first = self._leaving((source,), 0, target, rest, set(), excluded) if source in rest else None
+        out, queue, known = [], [] if first is None else [(first[0], len(first[1]), first[1])], {first[1]} if first else set()
         while queue and len(out) < k:
-            total, hops, path, cost = heapq.heappop(queue)
-            if path[-1] == target:
-                out.append((cost, path))
-                continue
-            for to, miles in self.next.get(path[-1], {}).items():
-                if to in rest and to not in path:
-                    heapq.heappush(queue, (cost + miles + rest[to], hops + 1, (*path, to), cost + miles))
+            cost, _, path = heapq.heappop(queue)
+            out.append((cost, path))
+            so_far = 0
+            for i in range(len(path) - 1):
+                way = path[: i + 1]
+                taken = {p[i + 1] for _, p in out if p[: i + 1] == way}
+                found = self._leaving(way, so_far, target, rest, taken, excluded)
+                if found and found[1] not in known:
+                    known.add(found[1])
+                    heapq.heappush(queue, (found[0], len(found[1]), found[1]))
+                so_far += self.next[path[i]][path[i + 1]]
         return out
 
     def disjoint(self, source, target, n: int) -> list[tuple]:

@@ -105,7 +105,7 @@ def g14_components(spark, sf_dir):
 
 @query(_CTE + _PARTS + " select * from doors")
 def g15_portals(spark, sf_dir):
-    return graph.portals(_parts(spark, sf_dir), edges(spark, sf_dir))
+    return graph.portals(stored(_parts(spark, sf_dir), "anchor-parts"), edges(spark, sf_dir))
 
 
 @query(f"{_CTE}{SQL['edges']}, {_levels('select n_nationkey, n_nationkey, 0 from nation', 12, 'and e.dst % 3 <> 0')} select source, node, min(level)::int as level from lv group by 1, 2")
@@ -155,9 +155,18 @@ _WINDOWS = f"""{_PARTS}, {SQL['trips']}{_RECORDS},
 _CONFIG = anchors.AnchorConfig()
 
 
-def _anchor_windows(spark, sf_dir):
-    parts, e = _parts(spark, sf_dir), edges(spark, sf_dir)
-    return anchors.combined_windows(anchors.portal_windows(parts, e), anchors.hit_windows(_records(spark, sf_dir), parts, _CONFIG), parts)
+def _anchor_inputs(spark, sf_dir):
+    """Parts of the works, edges and records, each stored once."""
+    return stored(_parts(spark, sf_dir), "anchor-parts"), stored(edges(spark, sf_dir), "anchor-edges"), stored(_records(spark, sf_dir), "anchor-records")
+
+
+def _anchor_windows(spark, sf_dir, inputs=None):
+    parts, e, records = inputs or _anchor_inputs(spark, sf_dir)
+    return anchors.combined_windows(anchors.portal_windows(parts, e), anchors.hit_windows(records, parts, _CONFIG), parts)
+
+
+def _anchor_candidates(spark, sf_dir, inputs):
+    return stored(anchors.anchor_candidates(_anchor_windows(spark, sf_dir, inputs), inputs[1], _CONFIG), "anchor-candidates")
 
 
 def _text(df):
@@ -166,7 +175,7 @@ def _text(df):
 
 @query(_CTE + _WINDOWS + " select works_id, component, start_unit, end_unit, array_to_string(covered, '|') as covered from portal_w")
 def n1_portal_windows(spark, sf_dir):
-    return _text(anchors.portal_windows(_parts(spark, sf_dir), edges(spark, sf_dir)))
+    return _text(anchors.portal_windows(stored(_parts(spark, sf_dir), "anchor-parts"), stored(edges(spark, sf_dir), "anchor-edges")))
 
 
 @query(_CTE + _WINDOWS + " select works_id, start_unit, end_unit, flow, n from hit_w")
@@ -181,12 +190,14 @@ def n4_windows(spark, sf_dir):
 
 @query(_CTE + _WINDOWS + " select * from stats")
 def a21_anchor_stats(spark, sf_dir):
-    return anchors.anchor_stats(anchors.anchor_candidates(_anchor_windows(spark, sf_dir), edges(spark, sf_dir), _CONFIG), _records(spark, sf_dir))
+    inputs = _anchor_inputs(spark, sf_dir)
+    return anchors.anchor_stats(_anchor_candidates(spark, sf_dir, inputs), inputs[2])
 
 
 def _nearest(spark, sf_dir):
-    candidates = stored(anchors.anchor_candidates(_anchor_windows(spark, sf_dir), edges(spark, sf_dir), _CONFIG), "anchor-candidates")
-    return anchors.nearest_anchors(candidates, anchors.anchor_stats(candidates, _records(spark, sf_dir)), _CONFIG)
+    inputs = _anchor_inputs(spark, sf_dir)
+    candidates = _anchor_candidates(spark, sf_dir, inputs)
+    return anchors.nearest_anchors(candidates, anchors.anchor_stats(candidates, inputs[2]), _CONFIG)
 
 
 @query(_CTE + _WINDOWS + " select works_id, start_unit, end_unit, level, anchor_start, anchor_end, is_valid from nearest")
@@ -242,3 +253,13 @@ def r1_path_repair(spark, sf_dir):
     records = trips(spark, sf_dir).where("enid <> exid").groupBy("enid", "exid", "path").agg(F.min("trip_id").alias("record_id"))
     found = repair_paths(records, edges(spark, sf_dir), "record_id")
     return found.withColumn("path", paths.join_path(F.col("path")))
+
+
+@query(
+    "with recursive " + SQL["trips"] + " select trip_id, case when list_position(path, 3) > 0 and list_position(list_reverse(path), 7) > 0 and list_position(path, 3) < len(path) + 1 - list_position(list_reverse(path), 7)"
+    " then case when list_has_any(path, [4, 10, 11]) then 'pass' else 'bypass' end else 'none' end as kind from trips"
+)
+def q_window_class(spark, sf_dir):
+    """How each trip goes by a window from unit 3 to unit 7."""
+    units = F.array(*(F.lit(u) for u in (4, 10, 11)))
+    return trips(spark, sf_dir).select("trip_id", paths.window_class(F.col("path"), F.lit(3), F.lit(7), units).alias("kind"))

@@ -92,3 +92,16 @@ def test_partial_paths_without_an_end_in_reach_go_at_once(spark):
     assert levels == [[(0, 1)], [(0, 1, 2), (0, 1, 8)], [(0, 1, 2, 3), (0, 1, 8, 2)], [(0, 1, 8, 2, 3)]]
     nothing = spark.createDataFrame([(3, 0), (0, 0)], "source int, target int")
     assert graph.bounded_search(nothing, edges).count() == 0
+
+
+def test_best_paths_in_order_and_without_opening_loops():
+    for seed in range(12):
+        raw = _random_graph(seed)
+        roads = graph.RoadGraph([(a, b, m) for (a, b), m in raw])
+        for s, t in itertools.permutations(range(6), 2):
+            assert [(c, p) for c, p in roads.k_shortest(s, t, 6)] == _all_simple(raw, s, t, 9)[:6]
+    # a dense net with cheap steps everywhere, whose only way out has to be taken before they are used up
+    n, entry, out = 24, 100, 200
+    net = [(a, b, 1) for a in range(n) for b in range(n) if a != b] + [(entry, 0, 1), (0, out, 500)]
+    roads = graph.RoadGraph(net)
+    assert roads.k_shortest(entry, out, 5) == [(501, (entry, 0, out))]
