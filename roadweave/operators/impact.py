@@ -81,9 +81,9 @@ def impact_summary(first: DataFrame, mid: DataFrame, detour: DataFrame, keys: Se
 
 
 def measure_roll_up(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The 13 measures summed; rows with a null key go."""
+    """The 13 measures summed; rows with a null or empty key go."""
     for k in keys:
-        rows = rows.where(F.col(k).isNotNull())
+        rows = rows.where(F.col(k).isNotNull() & (F.col(k).cast("string") != ""))
     return rows.groupBy(*keys).agg(*(F.sum(m).alias(m) for m in MEASURES))
 
 

@@ -64,6 +64,19 @@ def consistency(rows: DataFrame, ratio: str) -> DataFrame:
     return rows.groupBy(level.alias("consistency")).agg(F.count("*").alias("n"))
 
 
+def map_summary(best: DataFrame, freq: DataFrame, version: str, od: tuple[str, str], path: str, ratio: str) -> DataFrame:
+    """One row a version: rows of the map of best paths and of the frequencies behind it, pairs and paths in the map, and the mean, least and greatest ratio.
+
+    Versions that only one of both has are shown too, with 0 rows of the other.
+    """
+    of_map = best.groupBy(version).agg(
+        F.count("*").alias("map_count"), F.countDistinct(*od).alias("od_pair_count"), F.countDistinct(path).alias("numpath_count"),
+        *(f(F.col(ratio).cast("double")).alias(f"{name}_freq_ratio") for name, f in (("avg", F.avg), ("min", F.min), ("max", F.max))),
+    )
+    found = of_map.join(freq.groupBy(version).agg(F.count("*").alias("freq_count")), version, "full")
+    return found.fillna(0, ["map_count", "od_pair_count", "numpath_count", "freq_count"])
+
+
 def run_summary(rows: DataFrame, different: dict[str, str], total: str, time: str) -> DataFrame:
     """One row of a run's figures: rows, different values (name to column), the summed measure (0 without rows) and the first and last time."""
     return rows.agg(F.count("*").alias("total_records"), *(F.countDistinct(c).alias(f"unique_{name}") for name, c in different.items()), F.coalesce(F.sum(total), F.lit(0)).alias(f"total_{total}"), F.min(time).alias(f"min_{time}"), F.max(time).alias(f"max_{time}"))

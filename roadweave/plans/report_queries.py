@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import measures, paths
 from ..operators import graph, impact, lookup, mining, path_repair, quality, toll
+from ..shared import stored
 from .adapters import SQL, edges, table, trips, with_
-from .queries import _FEE, _RAW, _UNITS, _fees, _rates, _summary, _units, query
+from .queries import _FEE, _RAW, _ROUNDED, _UNITS, _fees, _rates, _rounded, _summary, _units, query
 
 _GROUP = "case when code between 1 and 4 then '客' || code when code between 11 and 16 then '货' || (code - 10) when code between 21 and 26 then '货' || (code - 20) else code::varchar end"
 
@@ -210,3 +212,32 @@ def g1_built_edges(spark, sf_dir):
     line = F.col("l_linenumber")
     rows = table(spark, sf_dir, "lineitem").select(F.when(line != 6, F.col("l_suppkey")).alias("src"), (F.col("l_partkey") % 50).alias("dst"), F.when(line != 5, F.col("l_orderkey") % 4).alias("miles"), (line % 2).cast("string").alias("version"))
     return graph.built_edges(rows, "1").withColumn("miles", F.col("miles").cast("bigint"))
+
+
+@query(
+    with_("trips") + _RAW + ", named as (select *, case enid % 5 when 0 then null when 1 then '' else (enid % 5) || '-' || (exid // 5) end as section_od from summary)"
+    ", total as (select section_od, " + ", ".join(f"sum({m}) as {m}" for m in measures.MEASURES) + " from named where section_od <> '' group by 1)"
+    f" select section_od, {_ROUNDED} from total"
+)
+def a10_section_rollup(spark, sf_dir):
+    """The measures of each section pair; rows that have none go."""
+    section = F.when(F.col("enid") % 5 == 0, None).when(F.col("enid") % 5 == 1, "").otherwise(F.concat_ws("-", (F.col("enid") % 5).cast("string"), F.floor(F.col("exid") / 5).cast("string")))
+    return _rounded(impact.measure_roll_up(_summary(spark, sf_dir).withColumn("section_od", section), ["section_od"]), "section_od")
+
+
+@query(
+    with_("trips") + ", freq as (select year(entime)::int as version, enid, exid, array_to_string(path, '|') as numpath, count(*) as n from trips group by all),"
+    " best as (select *, n / sum(n) over (partition by version, enid, exid) as ratio, row_number() over (partition by version, enid, exid order by n desc, numpath) as k from freq),"
+    " f as (select version, count(*) as freq_count from freq group by 1)"
+    " select version, count(*) as map_count, count(distinct (enid, exid)) as od_pair_count, count(distinct numpath) as numpath_count, round(avg(ratio), 4) as avg_freq_ratio,"
+    " round(min(ratio), 3) as min_freq_ratio, round(max(ratio), 3) as max_freq_ratio, any_value(freq_count) as freq_count from best join f using (version) where k = 1 group by 1"
+)
+def a29_map_summary(spark, sf_dir):
+    """Figures of the map of best paths of each year."""
+    from ..operators import flow
+
+    freq = stored(flow.path_frequency(trips(spark, sf_dir).select(F.year("entime").alias("version"), "enid", "exid", paths.join_path(F.col("path")).alias("numpath")), ["version", "enid", "exid", "numpath"]), "path-frequency")
+    total = F.sum("ig_count").over(Window.partitionBy("version", "enid", "exid"))
+    best = flow.ranked_frequency(freq.withColumn("ratio", F.col("ig_count") / total), ["version", "enid", "exid"], "numpath").where("row_no = 1")
+    found = quality.map_summary(best, freq, "version", ("enid", "exid"), "numpath", "ratio")
+    return found.withColumns({"avg_freq_ratio": F.round("avg_freq_ratio", 4), "min_freq_ratio": F.round("min_freq_ratio", 3), "max_freq_ratio": F.round("max_freq_ratio", 3)})
