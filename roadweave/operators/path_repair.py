@@ -278,3 +278,29 @@ def repair_report(records: DataFrame, edges: DataFrame, id_col: str, nodes: Data
     kinds = dict(places.dtypes)
     out = out.withColumns({c: F.coalesce(c, F.array().cast(kinds[c])) for c in ("points", "missing")} | {"direct_passes_works": F.coalesce("direct_passes_works", F.lit(False))})
     return out.withColumns({c: F.when(F.col("passes_works"), F.col(c)) for c in detours})
+
+
+def repair_errors(confidence: Column, backtrack: Column, status: Column, path: Column, units: Column) -> Column:
+    """Codes of what is wrong with a repair's row, in a fixed order: scores missing or outside 0 to 100, no path though it didn't fail, another number of units than was noted (0 or null: not noted)."""
+    outside = lambda x: ~F.coalesce(x.between(0, 100), F.lit(False))
+    empty = F.coalesce(F.size(path), F.lit(0)) <= 0
+    found = {
+        "confidence out of range": outside(confidence), "backtrack index out of range": outside(backtrack),
+        "path empty": empty & ~F.coalesce(F.startswith(status, F.lit("FAILED")), F.lit(False)), "unit count differs": ~empty & (units > 0) & (F.size(path) != units),
+    }
+    return F.array_compact(F.array(*(F.when(wrong, code) for code, wrong in found.items())))
+
+
+def repair_batch(records: DataFrame, edges: DataFrame, id_col: str, config: RepairConfig = RepairConfig()) -> tuple[DataFrame, DataFrame]:
+    """Repairs of all records (id, enid, exid, path) with `errors`, their checks, stored; and one row of figures of the batch:
+
+    total, a column of each status, failed, valid and invalid. A record without ends or units is a row like any other, with a failed status.
+    """
+    whole = records.select(id_col, "enid", "exid", F.coalesce("path", F.array().cast(dict(records.dtypes)["path"])).alias("path"))
+    found = repair_paths(whole, edges, id_col, config)
+    checks = repair_errors(F.col("confidence"), F.col("backtrack_index"), F.col("status"), F.col("path"), F.size("path"))
+    done = stored(found.withColumn("errors", checks), "repair-batch")
+    names = ("HIGH_CONFIDENCE", "MEDIUM_CONFIDENCE", "LOW_CONFIDENCE", "NEED_MANUAL_REVIEW", "RECIPROCAL_DETECTED")
+    count = lambda c: F.coalesce(F.count_if(c), F.lit(0))
+    figures = done.agg(F.count("*").alias("total"), *(count(F.col("status") == n).alias(n.lower()) for n in names), count(F.startswith("status", F.lit("FAILED"))).alias("failed"), count(F.size("errors") == 0).alias("valid"), count(F.size("errors") > 0).alias("invalid"))
+    return done, figures

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import measures, paths
-from ..operators import graph, impact, lookup, mining, path_repair, quality, toll
+from ..operators import graph, impact, lookup, mining, path_repair, quality, repair, toll
 from ..shared import stored
 from .adapters import SQL, edges, table, trips, with_
 from .queries import _FEE, _RAW, _ROUNDED, _UNITS, _fees, _rates, _rounded, _summary, _units, query
@@ -241,3 +241,33 @@ def a29_map_summary(spark, sf_dir):
     best = flow.ranked_frequency(freq.withColumn("ratio", F.col("ig_count") / total), ["version", "enid", "exid"], "numpath").where("row_no = 1")
     found = quality.map_summary(best, freq, "version", ("enid", "exid"), "numpath", "ratio")
     return found.withColumns({"avg_freq_ratio": F.round("avg_freq_ratio", 4), "min_freq_ratio": F.round("min_freq_ratio", 3), "max_freq_ratio": F.round("max_freq_ratio", 3)})
+
+
+@query(
+    "select c_custkey, array_to_string(list_filter([case when not (c between 0 and 100) then 'confidence out of range' end, case when b is null or not (b between 0 and 100) then 'backtrack index out of range' end,"
+    " case when n = 0 and k % 4 <> 0 then 'path empty' end, case when n > 0 and noted > 0 and noted <> n then 'unit count differs' end], lambda x: x is not null), '|') as errors"
+    " from (select c_custkey, c_custkey as k, c_custkey % 121 - 10 as c, case when c_custkey % 9 = 0 then null else c_custkey % 107 - 3 end as b, c_custkey % 3 as n, c_custkey % 5 as noted from customer)"
+)
+def r20_repair_errors(spark, sf_dir):
+    k = F.col("c_custkey")
+    status = F.when(k % 4 == 0, "FAILED_NO_PATH").otherwise("LOW_CONFIDENCE")
+    path = F.slice(F.array(F.lit("a"), F.lit("b")), F.lit(1), (k % 3).cast("int"))
+    errors = path_repair.repair_errors(k % 121 - 10, F.when(k % 9 != 0, k % 107 - 3), status, path, k % 5)
+    return table(spark, sf_dir, "customer").select("c_custkey", F.array_join(errors, "|").alias("errors"))
+
+
+@query()
+def r20_batch_figures(spark, sf_dir):
+    """Figures of a batch of repairs of all trips."""
+    return path_repair.repair_batch(trips(spark, sf_dir).select("trip_id", "enid", "exid", "path"), edges(spark, sf_dir), "trip_id")[1]
+
+
+@query()
+def k12_rejected(spark, sf_dir):
+    """Trips with a gap that no way closes, on a graph without the edges into three units."""
+    unit = lambda c: F.concat(F.lit("G00"), F.lpad(F.col(c).cast("string"), 9, "0"), F.lit("0010"))
+    e = edges(spark, sf_dir).where("dst not in (3, 9, 17)").select(unit("src").alias("src"), unit("dst").alias("dst"), "miles")
+    path = F.transform("path", lambda u: F.concat(F.lit("G00"), F.lpad(u.cast("string"), 9, "0"), F.lit("0010")))
+    none = F.lit(None).cast("timestamp_ntz")
+    records = trips(spark, sf_dir).select("trip_id", path.alias("path"), F.lit(None).cast("array<timestamp_ntz>").alias("times"), F.lit("").alias("enid"), F.lit("").alias("exid"), none.alias("entime"), none.alias("extime"))
+    return repair.rejected(repair.repair_intervals(records, e, "trip_id")).select("trip_id", paths.join_path(F.col("path")).alias("path"), "error")

@@ -175,3 +175,19 @@ def test_report_has_all_of_a_repair(spark):
     assert not rows[2].passes_works and rows[2].detour_path is None and rows[2].direct_passes_works
     assert rows[3].path == ["E", "A", "B"] and not rows[3].passes_works
     assert rows[4].status == "FAILED_NO_PATH" and rows[4].points == [] and rows[5].status == "FAILED_EMPTY_PATH"
+
+
+def test_batch_of_repairs(spark):
+    e = spark.createDataFrame([("A", "B", 10), ("B", "C", 10), ("C", "D", 10)], "src string, dst string, miles bigint")
+    records = spark.createDataFrame([(1, "A", "D", list("BC")), (2, "A", "D", []), (3, "D", "A", ["B"]), (4, "A", "D", None), (5, None, "D", ["B"])], "id int, enid string, exid string, path array<string>")
+    done, figures = path_repair.repair_batch(records, e, "id")
+    assert {r.id: (r.status, r.errors) for r in done.collect() if r.id != 1} == {2: ("FAILED_EMPTY_PATH", []), 3: ("FAILED_NO_PATH", []), 4: ("FAILED_EMPTY_PATH", []), 5: ("FAILED_NO_PATH", [])}
+    row = figures.first()
+    assert (row.total, row.high_confidence, row.failed, row.valid, row.invalid) == (5, 1, 4, 5, 0)
+
+
+def test_rejected_records(spark):
+    e = spark.createDataFrame([("A", "B", 1), ("C", "D", 1)], "src string, dst string, miles int")
+    rows = [(1, list("ABC")), (2, list("ACD")), (3, list("AB"))]
+    df = spark.createDataFrame(rows, "id int, path array<string>").withColumns({"times": F.lit(None).cast("array<timestamp_ntz>"), "enid": F.lit(None).cast("string"), "exid": F.lit(None).cast("string"), "entime": F.lit(None).cast("timestamp_ntz"), "extime": F.lit(None).cast("timestamp_ntz")})
+    assert [(r.id, r.error) for r in repair.rejected(repair.repair_intervals(df, e, "id")).collect()] == [(2, "no_way:A>C")]
