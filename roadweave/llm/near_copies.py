@@ -214,7 +214,7 @@ def _groups(batches, columns: list[str], rows: int, size: str | None = None):
 
 def _candidates(batches, deal: Deal, linear: bool):
     """batches of dealt rows, ordered by key and block. Yields u, v: stars that connect what may be near and has different labels."""
-    for table in _groups(batches, DEALT, 1 << 16):
+    for table in _groups(batches, DEALT, 1 << 14):
         key, block, *rest = (table[c].to_numpy() for c in DEALT)
         if len(key) < 2:
             continue

@@ -162,12 +162,18 @@ class GrayIndex:
         """Blocks of pairs of rows (a < b) of one run that differ in at most k bits: every such pair once."""
         top = len(self.levels) - 1
         a, b = np.triu_indices(len(self.levels[top][0]))
-        todo = [(top, a, b)]
+        todo = [(top, a, b, False)]
         while todo:
-            level, a, b = todo.pop()
+            level, a, b, is_near = todo.pop()
+            if is_near:  # a block of pairs of nodes is opened only when its turn comes, so that few exist at a time
+                left = np.repeat(a * FAN, FAN * FAN) + np.tile(np.repeat(np.arange(FAN), FAN), len(a))
+                right = np.repeat(b * FAN, FAN * FAN) + np.tile(np.arange(FAN), FAN * len(a))
+                fit = (left <= right) & (right < len(self.levels[level - 1][0]))
+                todo.append((level - 1, left[fit], right[fit], False))
+                continue
             if len(a) > PAIRS:
                 half = len(a) // 2
-                todo += [(level, a[half:], b[half:]), (level, a[:half], b[:half])]
+                todo += [(level, a[half:], b[half:], False), (level, a[:half], b[:half], False)]
                 continue
             pattern, mask, first, last = self.levels[level]
             near = (first[b] <= last[a]) & (first[a] <= last[b]) & (np.bitwise_count((pattern[a] ^ pattern[b]) & mask[a] & mask[b]) <= k)
@@ -179,13 +185,8 @@ class GrayIndex:
                 apart = a != b
                 yield a[apart], b[apart]
                 continue
-            for at in range(0, len(a), PAIRS // FAN**2):
-                p, q = a[at : at + PAIRS // FAN**2], b[at : at + PAIRS // FAN**2]
-                left = np.repeat(p * FAN, FAN * FAN) + np.tile(np.repeat(np.arange(FAN), FAN), len(p))
-                right = np.repeat(q * FAN, FAN * FAN) + np.tile(np.arange(FAN), FAN * len(p))
-                n = len(self.levels[level - 1][0])
-                fit = (left <= right) & (right < n)
-                todo.append((level - 1, left[fit], right[fit]))
+            step = PAIRS // FAN**2
+            todo += [(level, a[at : at + step], b[at : at + step], True) for at in range(0, len(a), step)]
 
 
 def spanning(n: int, blocks) -> np.ndarray:
