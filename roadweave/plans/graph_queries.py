@@ -62,7 +62,10 @@ def g6_all_paths(spark, sf_dir):
     return graph.simple_paths(edges(spark, sf_dir), sources, 6).select("source", "target", "miles", paths.join_path(F.col("path")).alias("path"))
 
 
-@query(_CTE + _simple("select n_nationkey from nation", 6) + ", least_of as (select *, min(miles) over (partition by source, target) as m from ranked) select source, target, path_no::int as path_no, miles, array_to_string(path, '|') as path from least_of where miles <= 2 * m and path_no <= 4")
+@query(
+    _CTE + _simple("select n_nationkey from nation", 6) + ", least_of as (select *, min(miles) over (partition by source, target) as m from ranked) select source, target, path_no::int as path_no, "
+    "miles, array_to_string(path, '|') as path from least_of where miles <= 2 * m and path_no <= 4"
+)
 def g10_bounded(spark, sf_dir):
     return _named(graph.bounded_search(_pairs(spark, sf_dir), edges(spark, sf_dir), 2.0, 6, 4))
 
@@ -71,7 +74,11 @@ def _levels(start: str, depth: int, more: str = "", a: str = "src", b: str = "ds
     return f"lv(source, node, level) as ({start} union select l.source, e.{b}, l.level + 1 from lv l join edges e on e.{a} = l.node where l.level < {depth} {more})"
 
 
-@query(f"{_CTE}{SQL['edges']}, {_levels('select n_nationkey, n_nationkey, 0 from nation', 6)}, m as (select source, node, min(level) as level from lv group by 1, 2), c as (select source, level, count(*) as n from m group by 1, 2) select source, level, n, sum(n) over (partition by source order by level)::bigint as reached from c")
+@query(
+    f"{_CTE}{SQL['edges']}, {_levels('select n_nationkey, n_nationkey, 0 from nation', 6)}, m as (select source, node, min(level) as level "
+    f"from lv group by 1, 2), c as (select source, level, count(*) as n from m group by 1, 2) select source, level, n, sum(n) over (partition "
+    f"by source order by level)::bigint as reached from c"
+)
 def g11_reach_by_depth(spark, sf_dir):
     from pyspark.sql.window import Window
 
@@ -120,7 +127,10 @@ def g17_bfs_levels(spark, sf_dir):
     return graph.reach_levels(edges(spark, sf_dir), n.select(F.col("n_nationkey").alias("source")), 5, blocked=n.where("n_nationkey in (10, 11)").select(F.col("n_nationkey").alias("node")), backwards=True)
 
 
-@query(f"with {SQL['edges']} select origin, unit, min(level)::int as level from (select src as origin, dst as unit, 1 as level from edges union all select d.src, e.dst, 2 from edges d join edges e on e.src = d.dst) group by 1, 2")
+@query(
+    f"with {SQL['edges']} select origin, unit, min(level)::int as level from (select src as origin, dst as unit, 1 as level from edges union "
+    f"all select d.src, e.dst, 2 from edges d join edges e on e.src = d.dst) group by 1, 2"
+)
 def j21_neighbour_drill(spark, sf_dir):
     """Each unit's neighbours and theirs."""
     return graph.drilled(edges(spark, sf_dir))

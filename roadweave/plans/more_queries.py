@@ -13,20 +13,32 @@ from .adapters import SQL, edges, table, timed_trips, trips, with_
 from .queries import query
 
 
-@query("select o_orderkey, date_trunc('week', d)::date as week_first, (date_trunc('week', d) + interval 6 days)::date as week_last, date_trunc('quarter', d)::date as quarter_first, last_day(date_trunc('quarter', d)::date + interval 2 months) as quarter_last, (d - interval 12 months)::date as same_period from (select o_orderkey, o_orderdate::date as d from orders)")
+@query(
+    "select o_orderkey, date_trunc('week', d)::date as week_first, (date_trunc('week', d) + interval 6 days)::date as week_last, date_trunc('quarter', "
+    "d)::date as quarter_first, last_day(date_trunc('quarter', d)::date + interval 2 months) as quarter_last, (d - interval 12 months)::date "
+    "as same_period from (select o_orderkey, o_orderdate::date as d from orders)"
+)
 def f9_calendar(spark, sf_dir):
     d = F.to_date("o_orderdate")
     (w1, w2), (q1, q2) = dates.week_range(d), dates.quarter_range(d)
     return table(spark, sf_dir, "orders").select("o_orderkey", w1.alias("week_first"), w2.alias("week_last"), q1.alias("quarter_first"), q2.alias("quarter_last"), measures.same_period(d).alias("same_period"))
 
 
-@query("select c_custkey, unnest(list_transform(generate_series(date_trunc('month', a), date_trunc('month', b), interval 1 month), lambda m: strftime(m, '%Y%m'))) as month from (select o_custkey as c_custkey, min(o_orderdate) as a, max(o_orderdate) as b from orders group by 1)")
+@query(
+    "select c_custkey, unnest(list_transform(generate_series(date_trunc('month', a), date_trunc('month', b), interval 1 month), lambda "
+    "m: strftime(m, '%Y%m'))) as month from (select o_custkey as c_custkey, min(o_orderdate) as a, max(o_orderdate) as b from orders group "
+    "by 1)"
+)
 def f10_month_list(spark, sf_dir):
     spans = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
     return spans.select("c_custkey", F.explode(dates.month_list(F.to_date("a"), F.to_date("b"))).alias("month"))
 
 
-@query("with c as (select o_custkey as k, list(distinct o_orderpriority order by o_orderpriority) as members from orders group by 1), p as (select o_orderstatus as k, list(distinct o_orderpriority order by o_orderpriority) as members from orders group by 1) select c.k as left_id, p.k as right_id from c join p on c.members = p.members")
+@query(
+    "with c as (select o_custkey as k, list(distinct o_orderpriority order by o_orderpriority) as members from orders group by 1), p as "
+    "(select o_orderstatus as k, list(distinct o_orderpriority order by o_orderpriority) as members from orders group by 1) select c.k "
+    "as left_id, p.k as right_id from c join p on c.members = p.members"
+)
 def j24_same_sets(spark, sf_dir):
     """Customers whose orders have just the priorities that orders of a status have."""
     o = table(spark, sf_dir, "orders")
@@ -34,7 +46,10 @@ def j24_same_sets(spark, sf_dir):
     return lookup.same_sets(left, right, "left_id", "right_id", ["o_orderpriority"])
 
 
-@query("select c_custkey, coalesce((select min(s_suppkey) from supplier where s_nationkey = c_nationkey and s_acctbal > 8000), (select min(s_suppkey) from supplier where s_nationkey = c_nationkey)) as supplier from customer")
+@query(
+    "select c_custkey, coalesce((select min(s_suppkey) from supplier where s_nationkey = c_nationkey and s_acctbal > 8000), (select min(s_suppkey) "
+    "from supplier where s_nationkey = c_nationkey)) as supplier from customer"
+)
 def j22_first_of(spark, sf_dir):
     s = table(spark, sf_dir, "supplier")
     return lookup.first_of(table(spark, sf_dir, "customer"), "c_nationkey", [(s.where("s_acctbal > 8000"), "s_nationkey", "s_suppkey"), (s, "s_nationkey", "s_suppkey")], "supplier").select("c_custkey", "supplier")
@@ -80,7 +95,11 @@ def j16_orphans(spark, sf_dir):
     return orphans(table(spark, sf_dir, "supplier"), used, ["s_suppkey"]).select("s_suppkey")
 
 
-@query("select o_orderkey, coalesce(nullif(trim(case when o_orderkey % 5 = 0 then '  ' else substr(o_orderpriority, 1, 1) end), ''), '0') as vehicle_type, coalesce(nullif(trim(case when o_orderkey % 5 = 0 then '  ' else substr(o_orderpriority, 1, 1) end), ''), '0')::int between 1 and 4 as passenger from orders")
+@query(
+    "select o_orderkey, coalesce(nullif(trim(case when o_orderkey % 5 = 0 then '  ' else substr(o_orderpriority, 1, 1) end), ''), '0') "
+    "as vehicle_type, coalesce(nullif(trim(case when o_orderkey % 5 = 0 then '  ' else substr(o_orderpriority, 1, 1) end), ''), '0')::int "
+    "between 1 and 4 as passenger from orders"
+)
 def p10_vehicle_type(spark, sf_dir):
     kind = measures.vehicle_type(F.when(F.col("o_orderkey") % 5 == 0, "  ").otherwise(F.substring("o_orderpriority", 1, 1)))
     return table(spark, sf_dir, "orders").select("o_orderkey", kind.alias("vehicle_type"), measures.is_passenger(kind).alias("passenger"))
@@ -94,7 +113,11 @@ def p2_lane_level(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", lane_level(lanes).alias("level"))
 
 
-@query(with_("trips") + " select trip_id, array_to_string(list_filter(list_transform(range(1, len(s) + 1), lambda i: case when i = 1 or s[i] <> s[i - 1] then s[i] end), lambda x: x is not null), '|') as sections from (select trip_id, list_filter(list_transform(path, lambda u: case when u % 6 <> 5 then u // 3 end), lambda x: x is not null) as s from trips) where len(s) > 0")
+@query(
+    with_("trips") + " select trip_id, array_to_string(list_filter(list_transform(range(1, len(s) + 1), lambda i: case when i = 1 or s[i] <> s[i - 1] then "
+    "s[i] end), lambda x: x is not null), '|') as sections from (select trip_id, list_filter(list_transform(path, lambda u: case when u "
+    "% 6 <> 5 then u // 3 end), lambda x: x is not null) as s from trips) where len(s) > 0"
+)
 def a24_section_path(spark, sf_dir):
     from ..functions.paths import join_path
     from ..operators.flow import section_path
@@ -136,13 +159,22 @@ def p15_keep_affected(spark, sf_dir):
     return keep_affected(_period_flows(spark, sf_dir), 2)
 
 
-@query("select n_nationkey, round(2 * 6371000.0 * asin(sqrt(sin(radians(n_nationkey % 11) / 2) ** 2 + cos(radians(30)) * cos(radians(30 + n_nationkey % 11)) * sin(radians(n_nationkey % 13) / 2) ** 2)), 3) as metres, 'POINT(' || (100 + n_nationkey % 13) || ' ' || (30 + n_nationkey % 11) || ')' as point from nation")
+@query(
+    "select n_nationkey, round(2 * 6371000.0 * asin(sqrt(sin(radians(n_nationkey % 11) / 2) ** 2 + cos(radians(30)) * cos(radians(30 + "
+    "n_nationkey % 11)) * sin(radians(n_nationkey % 13) / 2) ** 2)), 3) as metres, 'POINT(' || (100 + n_nationkey % 13) || ' ' || (30 + "
+    "n_nationkey % 11) || ')' as point from nation"
+)
 def f13_geo(spark, sf_dir):
     lon, lat = F.col("n_nationkey") % 13 + 100, F.col("n_nationkey") % 11 + 30
     return table(spark, sf_dir, "nation").select("n_nationkey", F.round(measures.haversine_m(F.lit(100), F.lit(30), lon, lat), 3).alias("metres"), measures.wkt_point(lon, lat).alias("point"))
 
 
-@query(f"with recursive {SQL['edges']}, hop(node, level, back) as (select n_nationkey, 0, b from nation, (values (true), (false)) t(b) where n_nationkey in (3, 14) union select case when h.back then e.src else e.dst end, h.level + 1, h.back from hop h join edges e on case when h.back then e.dst else e.src end = h.node where h.level < 2) select distinct c_nationkey as unit from customer join hop on node = c_nationkey")
+@query(
+    f"with recursive {SQL['edges']}, hop(node, level, back) as (select n_nationkey, 0, b from nation, (values (true), (false)) t(b) where "
+    f"n_nationkey in (3, 14) union select case when h.back then e.src else e.dst end, h.level + 1, h.back from hop h join edges e on case "
+    f"when h.back then e.dst else e.src end = h.node where h.level < 2) select distinct c_nationkey as unit from customer join hop on node "
+    f"= c_nationkey"
+)
 def g19_near_works(spark, sf_dir):
     from ..operators.graph import near_works
 
@@ -180,7 +212,11 @@ def k4_stable_ids(spark, sf_dir):
     return old.unionByName(numbering.grown_ids(old, t, ["enid", "exid"]))
 
 
-@query(f"with {SQL['edges']}, ids as (select node, row_number() over (order by node) as id from (select src as node from edges union select dst from edges)) select src, dst, a.id as source, b.id as target, miles from edges join ids a on src = a.node join ids b on dst = b.node")
+@query(
+    f"with {SQL['edges']}, ids as (select node, row_number() over (order by node) as id from (select src as node from edges union select "
+    f"dst from edges)) select src, dst, a.id as source, b.id as target, miles from edges join ids a on src = a.node join ids b on dst = "
+    f"b.node"
+)
 def j11_edge_ids(spark, sf_dir):
     """Edges with the ids of their ends."""
     e = edges(spark, sf_dir)
@@ -193,7 +229,10 @@ _EARLY = "where entime < timestamp '1997-01-01'"
 _RANKED = "select enid, exid, rank() over (partition by enid order by count(*) desc) as rank from trips {} group by 1, 2"
 
 
-@query(with_("trips") + f", old as ({_RANKED.format(_EARLY)}), new as ({_RANKED.format('')}) select o.enid, o.exid, n.rank::int as rank from old o join new n on o.enid = n.enid and o.exid = n.exid where o.rank is distinct from n.rank")
+@query(
+    with_("trips") + f", old as ({_RANKED.format(_EARLY)}), new as ({_RANKED.format('')}) select o.enid, o.exid, n.rank::int as rank from old o join new "
+    f"n on o.enid = n.enid and o.exid = n.exid where o.rank is distinct from n.rank"
+)
 def k6_changed_ranks(spark, sf_dir):
     """Pairs whose rank by trips is another once all trips count, with the new rank: what a write-back would touch."""
     t = trips(spark, sf_dir).select("enid", "exid", "entime")

@@ -25,7 +25,10 @@ def query(sql: str | None = None):
     return add
 
 
-@query(with_("trips") + " select enid, exid, count(*) as trip_count, sum(fee)::double as sum_value, sum(fee)::double / count(fee) as avg_value, min(fee)::double as min_value, max(fee)::double as max_value from trips group by all having count(*) >= 3")
+@query(
+    with_("trips") + " select enid, exid, count(*) as trip_count, sum(fee)::double as sum_value, sum(fee)::double / count(fee) as avg_value, min(fee)::double "
+    "as min_value, max(fee)::double as max_value from trips group by all having count(*) >= 3"
+)
 def a1_od_path_stats(spark, sf_dir):
     return warehouse.od_path_stats(trips(spark, sf_dir), ["enid", "exid"], "fee", 3).withColumns({c: F.col(c).cast("double") for c in ("sum_value", "min_value", "max_value")})
 
@@ -38,7 +41,10 @@ def a2_od_daily_pcu(spark, sf_dir):
     return warehouse.daily_demand(trips(spark, sf_dir), ["enid", "exid"], F.to_date("entime"), "vehicle_type")
 
 
-@query(with_("trips") + f" select u as section, entime::date as stat_day, vehicle_type, count(*) as flow, sum({_PCU}) as flow_pcu from (select distinct trip_id, entime, vehicle_type, unnest(path) as u from trips) group by all")
+@query(
+    with_("trips") + f" select u as section, entime::date as stat_day, vehicle_type, count(*) as flow, sum({_PCU}) as flow_pcu from (select distinct trip_id, "
+    f"entime, vehicle_type, unnest(path) as u from trips) group by all"
+)
 def a3_section_daily(spark, sf_dir):
     each = trips(spark, sf_dir).select("entime", "vehicle_type", F.explode(F.array_distinct("path")).alias("section"))
     daily = warehouse.daily_demand(each, ["section"], F.to_date("entime"), "vehicle_type")
@@ -61,7 +67,10 @@ def a6_scheme_summary(spark, sf_dir):
     return found.withColumns({c: F.col(c).cast("double") for c in ("loss_fee", "gain_fee")})
 
 
-@query(with_("trips") + " select unit, stat_hour, vehicle_type, count(*) as flow_cnt from (select distinct trip_id, vehicle_type, path[i] as unit, date_trunc('hour', entime + to_minutes(40 * (i - 1))) as stat_hour from (select *, unnest(range(1, len(path) + 1)) as i from trips)) group by all")
+@query(
+    with_("trips") + " select unit, stat_hour, vehicle_type, count(*) as flow_cnt from (select distinct trip_id, vehicle_type, path[i] as unit, date_trunc('hour', "
+    "entime + to_minutes(40 * (i - 1))) as stat_hour from (select *, unnest(range(1, len(path) + 1)) as i from trips)) group by all"
+)
 def a4_hourly_flow(spark, sf_dir):
     return flow.hourly_flow(timed_trips(spark, sf_dir))
 
@@ -120,20 +129,33 @@ def s15_capacity_days(spark, sf_dir):
 _RULES = "(values ('short cheap', 0.0, 300000.0, 0, 20, null, date '1992-01-01', null), ('long', 0.0, 300000.0, 20, 51, 1, date '1992-01-01', date '1995-12-31'), ('long late', 0.0, 300000.0, 20, 51, 1, date '1996-01-01', null), ('dear', 300000.0, 1e9, 0, 51, 2, date '1992-01-01', null)) r(rule_id, x_min, x_max, y_min, y_max, rule_type, valid_from, valid_to)"
 
 
-@query(with_("trips") + f" select trip_id, rule_id from (select o_orderkey as trip_id, o_totalprice as fee, o_orderkey % 50 as mileage, substr(o_orderpriority, 1, 1)::int as kind, o_orderdate::date as day from orders) left join {_RULES} on fee >= x_min and fee < x_max and mileage >= y_min and mileage < y_max and (rule_type is null or kind = rule_type) and day >= valid_from and (valid_to is null or day <= valid_to)")
+@query(
+    with_("trips") + f" select trip_id, rule_id from (select o_orderkey as trip_id, o_totalprice as fee, o_orderkey % 50 as mileage, substr(o_orderpriority, "
+    f"1, 1)::int as kind, o_orderdate::date as day from orders) left join {_RULES} on fee >= x_min and fee < x_max and mileage >= y_min "
+    f"and mileage < y_max and (rule_type is null or kind = rule_type) and day >= valid_from and (valid_to is null or day <= valid_to)"
+)
 def j3_range_rule_join(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("trip_id"), F.col("o_totalprice").alias("fee"), (F.col("o_orderkey") % 50).alias("mileage"), F.substring("o_orderpriority", 1, 1).cast("int").alias("kind"), F.to_date("o_orderdate").alias("day"))
     rules = spark.sql(f"select * from values ('short cheap', 0.0D, 300000.0D, 0, 20, cast(null as int), date '1992-01-01', cast(null as date)), ('long', 0.0D, 300000.0D, 20, 51, 1, date '1992-01-01', date '1995-12-31'), ('long late', 0.0D, 300000.0D, 20, 51, 1, date '1996-01-01', null), ('dear', 300000.0D, 1e9D, 0, 51, 2, date '1992-01-01', null) as r(rule_id, x_min, x_max, y_min, y_max, rule_type, valid_from, valid_to)")
     return warehouse.range_rules(o, rules, "fee", "mileage", "kind", "day").select("trip_id", "rule_id")
 
 
-@query("with m as (select distinct strftime(o_orderdate, '%Y%m') as month from orders) select month, coalesce((select max(v) from (values ('199301'), ('199406'), ('199512'), ('199702')) x(v) where v <= month), '199001') as version from m")
+@query(
+    "with m as (select distinct strftime(o_orderdate, '%Y%m') as month from orders) select month, coalesce((select max(v) from (values "
+    "('199301'), ('199406'), ('199512'), ('199702')) x(v) where v <= month), '199001') as version from m"
+)
 def j5_asof_version(spark, sf_dir):
     months = table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyyMM").alias("month"))
     return flow.asof_version(months, spark.createDataFrame([("199301",), ("199406",), ("199512",), ("199702",)], "version string"), default="199001")
 
 
-@query(f"with {_WORKS}, demand as (select date '2024-01-01' + (o_orderkey % 40)::int as stat_day, sum(o_totalprice) / 1000 as flow from orders group by 1) select c.section, c.stat_day, c.capacity, round(r, 6) as impact_ratio, round(flow * r)::int as impacted_flow, case when r >= 0.5 then 'high' when r >= 0.2 then 'medium' when r > 0 then 'low' else 'none' end as level from (select *, case when capacity >= flow then 0 else least(1, (flow - capacity) / flow) end as r from (select section, stat_day, capacity, coalesce(flow, 0) as flow from capacity left join demand using (stat_day))) c")
+@query(
+    f"with {_WORKS}, demand as (select date '2024-01-01' + (o_orderkey % 40)::int as stat_day, sum(o_totalprice) / 1000 as flow from orders "
+    f"group by 1) select c.section, c.stat_day, c.capacity, round(r, 6) as impact_ratio, round(flow * r)::int as impacted_flow, case when "
+    f"r >= 0.5 then 'high' when r >= 0.2 then 'medium' when r > 0 then 'low' else 'none' end as level from (select *, case when capacity "
+    f">= flow then 0 else least(1, (flow - capacity) / flow) end as r from (select section, stat_day, capacity, coalesce(flow, 0) as flow "
+    f"from capacity left join demand using (stat_day))) c"
+)
 def p4_impact_ratio(spark, sf_dir):
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("o_orderkey") % 40).cast("int"))
     demand = table(spark, sf_dir, "orders").groupBy(day.alias("stat_day")).agg((F.sum("o_totalprice") / 1000).alias("flow"))
@@ -165,14 +187,21 @@ def j14_exclusion_anti(spark, sf_dir):
     return impact.without_used(v, impact.mid_trip_exits(v, _ods(spark, sf_dir))).select("event_id", "vehicle", "enid")
 
 
-@query(with_("trips") + ", od(od_enid, od_exid) as (values (1, 4), (2, 9), (5, 6), (5, 9)), near(u) as (values (1), (5), (6)) select trip_id, od_enid, od_exid, 'exit' as record_type from trips join od on exid = od_exid where od_enid in (select u from near) and enid <> od_enid union all select trip_id, od_enid, od_exid, 'entry' from trips join od on enid = od_enid where od_exid in (select u from near) and exid <> od_exid")
+@query(
+    with_("trips") + ", od(od_enid, od_exid) as (values (1, 4), (2, 9), (5, 6), (5, 9)), near(u) as (values (1), (5), (6)) select trip_id, od_enid, od_exid, "
+    "'exit' as record_type from trips join od on exid = od_exid where od_enid in (select u from near) and enid <> od_enid union all select "
+    "trip_id, od_enid, od_exid, 'entry' from trips join od on enid = od_enid where od_exid in (select u from near) and exid <> od_exid"
+)
 def j15_detour_union(spark, sf_dir):
     ods = spark.createDataFrame([(1, 4), (2, 9), (5, 6), (5, 9)], "enid int, exid int")
     near = spark.createDataFrame([(1,), (5,), (6,)], "unit int")
     return impact.detour_candidates(trips(spark, sf_dir), ods, near).select("trip_id", "od_enid", "od_exid", "record_type")
 
 
-@query(with_("trips") + " select p.enid, p.exid, t.vehicle_type, (select count(*) from trips f where f.enid = p.enid and f.exid = p.exid and f.vehicle_type = t.vehicle_type) as flow from (select distinct enid, exid from trips) p, (select distinct vehicle_type from trips) t")
+@query(
+    with_("trips") + " select p.enid, p.exid, t.vehicle_type, (select count(*) from trips f where f.enid = p.enid and f.exid = p.exid and f.vehicle_type "
+    "= t.vehicle_type) as flow from (select distinct enid, exid from trips) p, (select distinct vehicle_type from trips) t"
+)
 def j17_cross_types(spark, sf_dir):
     t = trips(spark, sf_dir).withColumn("od", F.struct("enid", "exid"))
     flows = t.groupBy("od", "vehicle_type").agg(F.count("*").alias("flow"))
@@ -245,7 +274,12 @@ def a10_rollups(spark, sf_dir):
     return _rounded(impact.measure_roll_up(_summary(spark, sf_dir), ["enid", "exid"]), "enid", "exid")
 
 
-@query(with_("trips") + ", od(od_enid, od_exid) as (values (1, 4), (2, 4), (5, 4), (5, 9)), rec as (select enid, exid, vehicle_type, od_enid, od_exid from trips join od on exid = od_exid), n as (select enid, exid, vehicle_type, count(distinct (od_enid, od_exid)) as od_count from rec group by all) select r.enid, r.exid, r.vehicle_type, od_enid, od_exid, any_value(od_count) as od_count, count(*) / any_value(od_count) as flow from rec r join n using (enid, exid, vehicle_type) group by r.enid, r.exid, r.vehicle_type, od_enid, od_exid")
+@query(
+    with_("trips") + ", od(od_enid, od_exid) as (values (1, 4), (2, 4), (5, 4), (5, 9)), rec as (select enid, exid, vehicle_type, od_enid, od_exid from "
+    "trips join od on exid = od_exid), n as (select enid, exid, vehicle_type, count(distinct (od_enid, od_exid)) as od_count from rec group "
+    "by all) select r.enid, r.exid, r.vehicle_type, od_enid, od_exid, any_value(od_count) as od_count, count(*) / any_value(od_count) as "
+    "flow from rec r join n using (enid, exid, vehicle_type) group by r.enid, r.exid, r.vehicle_type, od_enid, od_exid"
+)
 def a11_flow_averaging(spark, sf_dir):
     ods = spark.createDataFrame([(1, 4), (2, 4), (5, 4), (5, 9)], "od_enid int, od_exid int")
     t = trips(spark, sf_dir)
@@ -273,7 +307,10 @@ def a15_greedy_prefix(spark, sf_dir):
     return mining.greedy_prefix(flows, wanted, ["enid", "exid"], "flow", "fixed").drop("flow_x")
 
 
-@query(with_("trips") + " select u as section, count(*) as flow from (select unnest(path) as u, enid, exid from trips where not list_has_any(path, [3, 7]) and concat(least(enid, exid), '|', greatest(enid, exid)) in ('1|4', '2|9', '5|6')) where u <> enid and u <> exid group by all")
+@query(
+    with_("trips") + " select u as section, count(*) as flow from (select unnest(path) as u, enid, exid from trips where not list_has_any(path, [3, 7]) "
+    "and concat(least(enid, exid), '|', greatest(enid, exid)) in ('1|4', '2|9', '5|6')) where u <> enid and u <> exid group by all"
+)
 def a16_numpath_flow(spark, sf_dir):
     wanted = spark.createDataFrame([("1|4",), ("2|9",), ("5|6",)], "od string")
     mine = trips(spark, sf_dir).withColumn("od", mining.unordered_key("enid", "exid")).join(F.broadcast(wanted), "od", "left_semi")
@@ -294,12 +331,18 @@ def a19_argmax_type(spark, sf_dir):
     return impact.evaluation(_summary(spark, sf_dir), "enid", "vehicle_type").select("enid", "main_type")
 
 
-@query(with_("trips") + _RAW + _TYPES + " select enid, sum(lost)::bigint as lost_flow, round(sum(fee), 8) as lost_fee, max(vehicle_type) filter (n1 = 1) as main_type, max(vehicle_type) filter (n2 = 1) as highest_rate_type from best group by all")
+@query(
+    with_("trips") + _RAW + _TYPES + " select enid, sum(lost)::bigint as lost_flow, round(sum(fee), 8) as lost_fee, max(vehicle_type) filter (n1 = 1) as main_type, max(vehicle_type) "
+    "filter (n2 = 1) as highest_rate_type from best group by all"
+)
 def a20_evaluation(spark, sf_dir):
     return impact.evaluation(_summary(spark, sf_dir), "enid", "vehicle_type").withColumn("lost_fee", F.round("lost_fee", 8))
 
 
-@query(with_("trips") + _RAW + " select enid, sum(lost_flow)::bigint as lost_flow, sum(affected_flow)::bigint as affected_flow, round(sum(lost_flow) * 100.0 / nullif(sum(affected_flow), 0), 1)::double as loss_rate from summary group by all order by lost_flow desc, enid limit 15")
+@query(
+    with_("trips") + _RAW + " select enid, sum(lost_flow)::bigint as lost_flow, sum(affected_flow)::bigint as affected_flow, round(sum(lost_flow) * 100.0 / nullif(sum(affected_flow), "
+    "0), 1)::double as loss_rate from summary group by all order by lost_flow desc, enid limit 15"
+)
 def l1_top15(spark, sf_dir):
     return impact.top_losses(_summary(spark, sf_dir), "enid")
 
@@ -314,7 +357,10 @@ def q_ordered_pair(spark, sf_dir):
     return trips(spark, sf_dir).where(paths.visits_in_order(F.col("path"), F.lit(3), F.lit(7))).select("trip_id")
 
 
-@query(with_("trips") + ", h as (select trip_id, list_filter(path, lambda x: x in (3, 7, 11)) as hit from trips) select trip_id, hit[1] as first_hit, hit[-1] as last_hit, len(hit)::int as n_hits from h where len(hit) > 0")
+@query(
+    with_("trips") + ", h as (select trip_id, list_filter(path, lambda x: x in (3, 7, 11)) as hit from trips) select trip_id, hit[1] as first_hit, hit[-1] "
+    "as last_hit, len(hit)::int as n_hits from h where len(hit) > 0"
+)
 def q_hit_first_last(spark, sf_dir):
     hit = paths.hits(F.col("path"), F.array(F.lit(3), F.lit(7), F.lit(11)))
     return trips(spark, sf_dir).select("trip_id", hit.alias("hit")).where(F.size("hit") > 0).select("trip_id", F.get("hit", F.lit(0)).alias("first_hit"), F.element_at("hit", -1).alias("last_hit"), F.size("hit").alias("n_hits"))
@@ -369,7 +415,11 @@ def f5_fee_all_types(spark, sf_dir):
     return _fees(toll.fees_by_type(trips(spark, sf_dir).select("trip_id", "path"), _units(spark, sf_dir), _rates(spark), "trip_id"))
 
 
-@query(with_("trips") + ", x as (select trip_id, (len(path) - len(list_distinct(path))) / len(path) as increase from trips) select trip_id, round(increase, 6) as increase, case when increase < 0.1 then 0.5 when increase < 0.2 then 0.4 when increase < 0.3 then 0.3 when increase < 0.5 then 0.2 else 0 end::double as ratio from x")
+@query(
+    with_("trips") + ", x as (select trip_id, (len(path) - len(list_distinct(path))) / len(path) as increase from trips) select trip_id, round(increase, "
+    "6) as increase, case when increase < 0.1 then 0.5 when increase < 0.2 then 0.4 when increase < 0.3 then 0.3 when increase < 0.5 then "
+    "0.2 else 0 end::double as ratio from x"
+)
 def j4_detour_ratio(spark, sf_dir):
     increase = (F.size("path") - F.size(F.array_distinct("path"))) / F.size("path")
     return trips(spark, sf_dir).select("trip_id", F.round(increase, 6).alias("increase"), measures.detour_band(increase).alias("ratio"))
@@ -424,12 +474,18 @@ def r15_confidence(spark, sf_dir):
     return _scored(spark, sf_dir).select("trip_id", "confidence")
 
 
-@query(with_("trips") + _SCORE + _CONF + " select case when confidence >= 85 then 'HIGH_CONFIDENCE' when confidence >= 65 then 'MEDIUM_CONFIDENCE' when confidence >= 40 then 'LOW_CONFIDENCE' else 'NEED_MANUAL_REVIEW' end as status, count(*) as n from c group by 1")
+@query(
+    with_("trips") + _SCORE + _CONF + " select case when confidence >= 85 then 'HIGH_CONFIDENCE' when confidence >= 65 then 'MEDIUM_CONFIDENCE' when confidence >= 40 then "
+    "'LOW_CONFIDENCE' else 'NEED_MANUAL_REVIEW' end as status, count(*) as n from c group by 1"
+)
 def r16_status(spark, sf_dir):
     return _scored(spark, sf_dir).groupBy(measures.repair_status(F.col("confidence")).alias("status")).agg(F.count("*").alias("n"))
 
 
-@query("select 'text' as column_name, count(*) filter (text is null) as nulls from documents union all select 'lang', count(*) filter (lang is null) from documents union all select 'source', count(*) filter (source is null) from documents")
+@query(
+    "select 'text' as column_name, count(*) filter (text is null) as nulls from documents union all select 'lang', count(*) filter (lang "
+    "is null) from documents union all select 'source', count(*) filter (source is null) from documents"
+)
 def dq1_nulls(spark, sf_dir):
     return quality.null_counts(table(spark, sf_dir, "documents"), ["text", "lang", "source"])
 
@@ -444,26 +500,43 @@ def dq3_ranges(spark, sf_dir):
     return quality.out_of_range(table(spark, sf_dir, "lineitem"), {"l_quantity": (None, F.lit(45)), "l_discount": (F.lit(0.01), F.lit(0.09))}, "l_orderkey")
 
 
-@query("with s as (select l_orderkey, sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)) as total from lineitem group by 1) select o_orderkey, round(o_totalprice, 2) as o_totalprice from orders left join s on o_orderkey = l_orderkey where abs(o_totalprice - coalesce(total, 0)) > 100000")
+@query(
+    "with s as (select l_orderkey, sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)) as total from lineitem group by 1) select o_orderkey, "
+    "round(o_totalprice, 2) as o_totalprice from orders left join s on o_orderkey = l_orderkey where abs(o_totalprice - coalesce(total, "
+    "0)) > 100000"
+)
 def dq4_recompute(spark, sf_dir):
     total = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("total"))
     both = table(spark, sf_dir, "orders").join(total, "o_orderkey", "left")
     return quality.recomputed(both, F.col("o_totalprice"), F.coalesce("total", F.lit(0.0)), 100000).select("o_orderkey", F.round("o_totalprice", 2).alias("o_totalprice"))
 
 
-@query("with d as (select distinct user_id, ts::date as day from events), l as (select *, lag(day) over (partition by user_id order by day) as previous_day from d) select user_id, day, previous_day, (day - previous_day)::int as gap_days from l where day - previous_day > 1")
+@query(
+    "with d as (select distinct user_id, ts::date as day from events), l as (select *, lag(day) over (partition by user_id order by day) "
+    "as previous_day from d) select user_id, day, previous_day, (day - previous_day)::int as gap_days from l where day - previous_day > "
+    "1"
+)
 def dq5_gaps(spark, sf_dir):
     return quality.day_gaps(table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day")), "user_id", "day")
 
 
-@query("with a as (select user_id, count(*) as n from events group by 1), b as (select c_custkey as user_id, c_nationkey::bigint as n from customer) select coalesce(a.user_id, b.user_id) as user_id, coalesce(a.n, 0) as left_value, coalesce(b.n, 0) as right_value from a full join b on a.user_id = b.user_id where abs(coalesce(a.n, 0) - coalesce(b.n, 0)) > 5")
+@query(
+    "with a as (select user_id, count(*) as n from events group by 1), b as (select c_custkey as user_id, c_nationkey::bigint as n from "
+    "customer) select coalesce(a.user_id, b.user_id) as user_id, coalesce(a.n, 0) as left_value, coalesce(b.n, 0) as right_value from a "
+    "full join b on a.user_id = b.user_id where abs(coalesce(a.n, 0) - coalesce(b.n, 0)) > 5"
+)
 def dq7_recount(spark, sf_dir):
     a = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n"))
     b = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").cast("bigint").alias("n"))
     return quality.differing_counts(a, b, ["user_id"], "n", 5)
 
 
-@query("with new as (select event_type as k, max(ts) as last_ts, count(*) as n from events where event_id % 2 = 0 group by 1), old as (select event_type as k, max(ts) as last_ts, count(*) as n from events where event_id % 2 = 1 or event_type < 'd' group by 1) select k, n, last_ts from (select *, row_number() over (partition by k order by last_ts desc, fresh desc) as r from (select *, 1 as fresh from new union all select *, 0 from old)) where r = 1")
+@query(
+    "with new as (select event_type as k, max(ts) as last_ts, count(*) as n from events where event_id % 2 = 0 group by 1), old as (select "
+    "event_type as k, max(ts) as last_ts, count(*) as n from events where event_id % 2 = 1 or event_type < 'd' group by 1) select k, n, "
+    "last_ts from (select *, row_number() over (partition by k order by last_ts desc, fresh desc) as r from (select *, 1 as fresh from "
+    "new union all select *, 0 from old)) where r = 1"
+)
 def k1_upsert(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     part = lambda rows: rows.groupBy(F.col("event_type").alias("k")).agg(F.max("ts").alias("last_ts"), F.count("*").alias("n"))

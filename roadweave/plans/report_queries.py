@@ -14,7 +14,11 @@ from .queries import _FEE, _RAW, _ROUNDED, _UNITS, _fees, _rates, _rounded, _sum
 _GROUP = "case when code between 1 and 4 then '客' || code when code between 11 and 16 then '货' || (code - 10) when code between 21 and 26 then '货' || (code - 20) else code::varchar end"
 
 
-@query(f"select code, g as vehicle, case when g[1] = '客' then '客车' when g[1] = '货' then '货车' else '专项' end as category, case when code between 1 and 10 then code else 0 end as toll_class from (select code, {_GROUP} as g from (select distinct (p_size - 5)::int as code from part))")
+@query(
+    f"select code, g as vehicle, case when g[1] = '客' then '客车' when g[1] = '货' then '货车' else '专项' end as category, case when code between "
+    f"1 and 10 then code else 0 end as toll_class from (select code, {_GROUP} as g from (select distinct (p_size - 5)::int as code from "
+    f"part))"
+)
 def p12_vehicle_group(spark, sf_dir):
     codes = table(spark, sf_dir, "part").select((F.col("p_size") - 5).cast("int").alias("code")).distinct()
     group = measures.vehicle_group(F.col("code"))
@@ -32,19 +36,29 @@ def _cells(cell: str) -> str:
     return ", ".join(cell.format(v=v) + f" as v{v}" for v in range(1, 6))
 
 
-@query(with_("trips") + f", {_LOSS}, m as (select section, sum(lost_flow)::double as whole, {_cells('coalesce(sum(lost_flow) filter (vehicle_type = {v}), 0)')} from losses group by 1) select section, {_cells('round(v{v} * 100 / nullif(whole, 0), 6)')} from m")
+@query(
+    with_("trips") + f", {_LOSS}, m as (select section, sum(lost_flow)::double as whole, {_cells('coalesce(sum(lost_flow) filter (vehicle_type = {v}), 0)')} "
+    f"from losses group by 1) select section, {_cells('round(v{v} * 100 / nullif(whole, 0), 6)')} from m"
+)
 def a18_share_matrix(spark, sf_dir):
     matrix = impact.share_matrix(impact.loss_matrix(_losses(spark, sf_dir), "section", "vehicle_type", range(1, 6), "lost_flow"), "section")
     return matrix.select("section", *(F.round(f"v{v}", 6).alias(f"v{v}") for v in range(1, 6)))
 
 
-@query(with_("trips") + f", {_LOSS} select section, {_cells('round(coalesce(sum(lost_flow) filter (vehicle_type = {v}) * 100.0::double / nullif(sum(affected_flow) filter (vehicle_type = {v}), 0), 0), 6)')}, round(coalesce(sum(lost_flow) * 100.0::double / nullif(sum(affected_flow), 0), 0), 6) as \"all\" from losses group by 1")
+@query(
+    with_("trips") + f", {_LOSS} select section, {_cells('round(coalesce(sum(lost_flow) filter (vehicle_type = {v}) * 100.0::double / nullif(sum(affected_flow) filter (vehicle_type = {v}), 0), 0), 6)')}, "
+    f"round(coalesce(sum(lost_flow) * 100.0::double / nullif(sum(affected_flow), 0), 0), 6) as \"all\" from losses group by 1"
+)
 def a17_rate_matrix(spark, sf_dir):
     found = impact.rate_matrix(_losses(spark, sf_dir), "section", "vehicle_type", range(1, 6))
     return found.select("section", *(F.round(F.col(c), 6).alias(c) for c in found.columns if c != "section"))
 
 
-@query(with_("trips") + f", {_LOSS}, g as (select section, lost_flow, case when code <= 4 then 'cars' else 'special' end as category from (select *, vehicle_type as code from losses)) select section, coalesce(sum(lost_flow) filter (category = 'cars'), 0)::bigint as cars, coalesce(sum(lost_flow) filter (category = 'special'), 0)::bigint as special from g group by 1")
+@query(
+    with_("trips") + f", {_LOSS}, g as (select section, lost_flow, case when code <= 4 then 'cars' else 'special' end as category from (select *, vehicle_type "
+    f"as code from losses)) select section, coalesce(sum(lost_flow) filter (category = 'cars'), 0)::bigint as cars, coalesce(sum(lost_flow) "
+    f"filter (category = 'special'), 0)::bigint as special from g group by 1"
+)
 def a18_category_matrix(spark, sf_dir):
     category = measures.vehicle_category(measures.vehicle_group(F.col("vehicle_type")))
     found = impact.loss_matrix(_losses(spark, sf_dir).withColumn("category", category), "section", "category", ["客车", "货车", "专项"], "lost_flow")
@@ -72,7 +86,10 @@ def a29_consistency(spark, sf_dir):
     return quality.consistency(table(spark, sf_dir, "orders").withColumn("ratio", (F.col("o_orderkey") % 11) / F.lit(10.0)), "ratio")
 
 
-@query("select count(*) as total_records, count(distinct c_nationkey) as unique_sections, count(distinct c_mktsegment) as unique_types, coalesce(sum(c_custkey), 0)::bigint as total_c_custkey, min(c_name) as min_c_name, max(c_name) as max_c_name from customer")
+@query(
+    "select count(*) as total_records, count(distinct c_nationkey) as unique_sections, count(distinct c_mktsegment) as unique_types, coalesce(sum(c_custkey), "
+    "0)::bigint as total_c_custkey, min(c_name) as min_c_name, max(c_name) as max_c_name from customer"
+)
 def a26_run_summary(spark, sf_dir):
     return quality.run_summary(table(spark, sf_dir, "customer"), {"sections": "c_nationkey", "types": "c_mktsegment"}, "c_custkey", "c_name")
 
@@ -82,14 +99,21 @@ def l7_random_rows(spark, sf_dir):
     return lookup.random_rows(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 100, 7)
 
 
-@query(f"with recursive {SQL['edges']}, hop(source, node, steps) as (select n_nationkey, n_nationkey, 0 from nation union select source, dst, steps + 1 from hop join edges on node = src where steps < 24) select source, node as target, min(steps)::int as steps from hop where source <> node group by all")
+@query(
+    f"with recursive {SQL['edges']}, hop(source, node, steps) as (select n_nationkey, n_nationkey, 0 from nation union select source, dst, "
+    f"steps + 1 from hop join edges on node = src where steps < 24) select source, node as target, min(steps)::int as steps from hop where "
+    f"source <> node group by all"
+)
 def g18_fewest_steps(spark, sf_dir):
     n = table(spark, sf_dir, "nation")
     pairs = n.select(F.col("n_nationkey").alias("source")).crossJoin(F.broadcast(n.select(F.col("n_nationkey").alias("target")))).where("source <> target")
     return graph.fewest_steps(pairs, edges(spark, sf_dir)).select("source", "target", (F.size("path") - 1).alias("steps"))
 
 
-@query(with_("trips") + " select trip_id, len(path)::int as points, sum_lon, array_to_string(list_filter(path, lambda u: u % 6 = 5), '|') as missing from trips, lateral (select sum(100 + u)::bigint as sum_lon from (select unnest(path) as u) where u % 6 <> 5)")
+@query(
+    with_("trips") + " select trip_id, len(path)::int as points, sum_lon, array_to_string(list_filter(path, lambda u: u % 6 = 5), '|') as missing from trips, "
+    "lateral (select sum(100 + u)::bigint as sum_lon from (select unnest(path) as u) where u % 6 <> 5)"
+)
 def r17_coordinates(spark, sf_dir):
     n = F.col("n_nationkey")
     nodes = table(spark, sf_dir, "nation").where(n % 6 != 5).select(n.alias("unit"), (n + 100).cast("bigint").alias("lon"), (n + 30).alias("lat"))
@@ -99,7 +123,10 @@ def r17_coordinates(spark, sf_dir):
     return found.select("trip_id", F.size("points").alias("points"), total.alias("sum_lon"), paths.join_path(F.col("missing")).alias("missing"))
 
 
-@query(with_("trips") + " select trip_id, array_to_string(list_filter(list_transform(path, lambda u: repeat('x', 5 + u % 5) || u), lambda x: len(x) <> 7 and x <> repeat('x', 5 + enid % 5) || enid and x <> repeat('x', 5 + exid % 5) || exid), '|') as path from trips")
+@query(
+    with_("trips") + " select trip_id, array_to_string(list_filter(list_transform(path, lambda u: repeat('x', 5 + u % 5) || u), lambda x: len(x) <> 7 and "
+    "x <> repeat('x', 5 + enid % 5) || enid and x <> repeat('x', 5 + exid % 5) || exid), '|') as path from trips"
+)
 def r19_result_path(spark, sf_dir):
     text = lambda u: F.concat(F.repeat(F.lit("x"), (u % 5 + 5).cast("int")), u.cast("string"))
     found = path_repair.result_path(F.transform("path", text), text(F.col("enid")), text(F.col("exid")))
@@ -206,7 +233,11 @@ def f13_distance_to_line(spark, sf_dir):
     return c.select("c_custkey", F.round(measures.distance_to_line_m(F.col("lon"), F.col("lat"), F.col("line")), 3).alias("metres"), measures.geometry_type(measures.with_srid(measures.wkt_line(F.col("line")))).alias("kind"))
 
 
-@query("select src, dst, min(coalesce(nullif(miles, 0), 1))::bigint as miles, 1e9::double as reverse_miles from (select case when l_linenumber <> 6 then l_suppkey end as src, l_partkey % 50 as dst, case when l_linenumber = 5 then null else l_orderkey % 4 end as miles, l_linenumber % 2 as version from lineitem) where version = 1 and src is not null and dst is not null group by 1, 2")
+@query(
+    "select src, dst, min(coalesce(nullif(miles, 0), 1))::bigint as miles, 1e9::double as reverse_miles from (select case when l_linenumber "
+    "<> 6 then l_suppkey end as src, l_partkey % 50 as dst, case when l_linenumber = 5 then null else l_orderkey % 4 end as miles, l_linenumber "
+    "% 2 as version from lineitem) where version = 1 and src is not null and dst is not null group by 1, 2"
+)
 def g1_built_edges(spark, sf_dir):
     """Suppliers and groups of parts as a graph, with missing and zero miles."""
     line = F.col("l_linenumber")

@@ -183,7 +183,10 @@ def _plans(spark, sf_dir):
     return table(spark, sf_dir, "nation").select(F.concat(F.lit("R"), (n % 5).cast("string")).alias("road"), month.alias("month"), (n % 5 + 1).alias("vehicle_type"), F.concat(F.lit("P"), (n % 3).cast("string")).alias("scheme"), (n % 2).alias("situation"))
 
 
-@query(with_("trips") + f", {_AREA}, {_PLANS} select trip_id, a.month as month_of_row, p.month, scheme, situation::int as situation from areas a join plans p on a.road = p.road and a.vehicle_type = p.vehicle_type and substr(a.month, 6) = substr(p.month, 6)")
+@query(
+    with_("trips") + f", {_AREA}, {_PLANS} select trip_id, a.month as month_of_row, p.month, scheme, situation::int as situation from areas a join plans "
+    f"p on a.road = p.road and a.vehicle_type = p.vehicle_type and substr(a.month, 6) = substr(p.month, 6)"
+)
 def p14_month_match(spark, sf_dir):
     """Each trip with the plans of its road and vehicle type in the same month of any year."""
     found = sheets.rows_of_plans(_area_rows(spark, sf_dir), _plans(spark, sf_dir), ["road", "vehicle_type"])
