@@ -9,15 +9,10 @@ again by the bits that they leave free. Inside a task the fingerprints of a key
 long bit patterns. A tree of nodes over that order factors the shared bits (mask and pattern) upwards; two nodes whose
 shared patterns already differ in more than k bits are dropped as a pair with all that lies below them. A task returns a
 spanning star of what it linked, never all pairs, and connected components join the stars.
-
-Near copies that share four fifths of their shingles lie about ten of 64 bits apart, where 64 bits alone also link strangers.
-For them (Wide) three more fingerprints of the same shingles travel with the first one: keys and tree work on the first, with
-a wide radius, and a pair counts only if all 256 bits agree well enough.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from itertools import combinations
 from math import comb
 
@@ -40,26 +35,6 @@ FAN = 8
 PAIRS = 1 << 19
 
 
-@dataclass(frozen=True)
-class Wide:
-    """Links for near copies: fingerprints of 64 * (1 + more) bits.
-
-    A pair is linked if its first 64 bits differ in at most `radius` and agree on two of eight segments, and all bits differ
-    in at most `limit`. 42 of 256 bits are what a Jaccard similarity of 0.8 is expected to differ in (39), and half a deviation.
-    A pair of at most six differing bits always agrees on two segments; at 0.8 two pairs in three do, at 0.9 nine in ten.
-    """
-
-    more: int = 3
-    segments: int = 8
-    agree: int = 2
-    radius: int = 14
-    limit: int = 42
-
-    @property
-    def names(self) -> list[str]:
-        return [f"wide{i}" for i in range(self.more)]
-
-
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
     """XXH64 (seed 42) of each run of `size` words, or of all words if there are fewer; A-Z are lower-cased."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -89,28 +64,21 @@ def other_words(hashes: list[np.ndarray], more: int) -> list[np.ndarray]:
     return [fingerprints([mix64(x ^ np.uint64(i)) for x in hashes]) for i in range(1, more + 1)]
 
 
-def with_fingerprint(docs: DataFrame, text: str = "text", shingle: int = 3, out: str = "simhash", wide: Wide | None = None) -> DataFrame:
-    """docs with the 64-bit fingerprint of each text as a (signed) long; wide: and those of wide.names. No words, or null text: zero. The text column is dropped."""
-    names = [out, *(wide.names if wide else [])]
-    rest = [c for c in docs.columns if c not in (text, *names)]
+def with_fingerprint(docs: DataFrame, text: str = "text", shingle: int = 3, out: str = "simhash") -> DataFrame:
+    """docs with the 64-bit fingerprint of each text as a (signed) long. No words, or null text: zero. The text column is dropped."""
+    rest = [c for c in docs.columns if c not in (text, out)]
     base = docs.select(*(F.col(f"`{c}`") for c in [*rest, text]))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema if f.name != text), *(f"`{c}` bigint" for c in names)])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema if f.name != text), f"`{out}` bigint"])
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, text):
                 hashes = [shingle_hashes(x, shingle) for x in part[text].to_pylist()]
-                found = [fingerprints(hashes), *(other_words(hashes, wide.more) if wide else [])]
-                yield pa.RecordBatch.from_arrays([*(part[c] for c in rest), *(pa.array(x.view(np.int64)) for x in found)], names=[*rest, *names])
+                yield pa.RecordBatch.from_arrays([*(part[c] for c in rest), pa.array(fingerprints(hashes).view(np.int64))], names=[*rest, out])
 
     return base.mapInArrow(lean(run), schema)
 
 
-def segments(m: int) -> list[int]:
-    cuts = [64 * i // m for i in range(m + 1)]
-    return [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts, cuts[1:], strict=False)]
-
-
 def masks(m: int, k: int, free: int = (1 << 64) - 1) -> list[int]:
     """The choices of m - k out of m segments of the bits in `free`, as masks."""
     bits = [i for i in range(64) if free >> i & 1]
@@ -205,30 +173,20 @@ def spanning(n: int, blocks) -> np.ndarray:
     return label
 
 
-def close_pairs(blocks, x: np.ndarray, more: list[np.ndarray], limit: int):
-    """Of blocks of pairs those that differ in at most `limit` bits of all fingerprints."""
-    for a, b in blocks:
-        apart = np.bitwise_count(x[a] ^ x[b]).astype(np.int64)
-        for y in more:
-            apart += np.bitwise_count(y[a] ^ y[b])
-        yield a[apart <= limit], b[apart <= limit]
-
+def _linked(batches, k: int, rows: int = 1 << 16):
+    """batches: table, bits and simhash, ordered by table and bits. Yields the stars of the links of each key."""
+    names = ["part", "bits", "simhash"]
 
-def _linked(batches, k: int, wide: Wide | None = None, rows: int = 1 << 16):
-    """batches: table, bits, simhash and what wide names, ordered by table and bits. Yields the stars of the links of each key."""
-    names = ["part", "bits", "simhash", *(wide.names if wide else [])]
-
-    def stars(t, key, x, *more):
+    def stars(t, key, x):
         run = np.concatenate([[0], np.cumsum((t[1:] != t[:-1]) | (key[1:] != key[:-1]))]) if len(t) else np.empty(0, np.int64)
         size = np.bincount(run) if len(run) else run
         some = size[run] > 1
         if not some.any():
             return None
-        run, x, more = run[some], x[some], [y[some] for y in more]
+        run, x = run[some], x[some]
         order = np.lexsort((gray_rank(x), run))
-        run, x, more = run[order], x[order], [y[order] for y in more]
-        blocks = GrayIndex(run, x).links(wide.radius if wide else k)
-        root = spanning(len(x), close_pairs(blocks, x, more, wide.limit) if wide else blocks)
+        run, x = run[order], x[order]
+        root = spanning(len(x), GrayIndex(run, x).links(k))
         own = root != np.arange(len(x))
         return pa.RecordBatch.from_arrays([pa.array(x[own].view(np.int64)), pa.array(x[root[own]].view(np.int64))], names=["u", "v"])
 
@@ -245,23 +203,16 @@ def _linked(batches, k: int, wide: Wide | None = None, rows: int = 1 << 16):
                     held = [h[cut:] for h in held]
         yield held
 
-    for t, key, *x in chunks():
-        if len(t) and (found := stars(t, key, *(np.ascontiguousarray(y).view(np.uint64) for y in x))) is not None and len(found):
+    for t, key, x in chunks():
+        if len(t) and (found := stars(t, key, np.ascontiguousarray(x).view(np.uint64))) is not None and len(found):
             yield found
 
 
-def links(distinct: DataFrame, k: int = 2, hot_key: int = HOT_KEY, wide: Wide | None = None) -> DataFrame:
-    """(u, v): stars that connect the distinct fingerprints (column simhash) just as all links of at most k bits do, or those of wide.
-
-    wide: distinct also has its columns, and k doesn't count. A key of more than hot_key fingerprints is dealt again; then only
-    pairs that differ in at most segments - agree bits are sure to meet.
-    """
-    if wide:
-        k, m = wide.segments - wide.agree, wide.segments
-    else:
-        m = n_segments(distinct.count(), k)
+def links(distinct: DataFrame, k: int = 2, hot_key: int = HOT_KEY) -> DataFrame:
+    """(u, v): stars that connect the distinct fingerprints (column simhash) just as all links of at most k bits do. A key of more than hot_key fingerprints is dealt again."""
+    m = n_segments(distinct.count(), k)
     every = masks(m, k)
-    whole = ["simhash", *(wide.names if wide else [])]
+    whole = ["simhash"]
 
     def deal(choices, first: int):
         return F.explode(F.array(*(F.struct(F.lit(first + i).alias("part"), F.col("simhash").bitwiseAND(F.lit(signed(x))).alias("bits")) for i, x in enumerate(choices)))).alias("d")
@@ -279,20 +230,18 @@ def links(distinct: DataFrame, k: int = 2, hot_key: int = HOT_KEY, wide: Wide |
         dealt = marked.where("hot is null").select(*whole, "part", "bits")
         for x in again:
             dealt = dealt.unionByName(x)
-    return dealt.repartition("part", "bits").sortWithinPartitions("part", "bits").mapInArrow(lean(lambda batches: _linked(batches, k, wide)), "u bigint, v bigint")
+    return dealt.repartition("part", "bits").sortWithinPartitions("part", "bits").mapInArrow(lean(lambda batches: _linked(batches, k)), "u bigint, v bigint")
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, k: int = 2, wide: Wide | None = None) -> DataFrame:
-    """Of each row of docs: its id, simhash (long), component: the smallest id reachable over fingerprints of at most k differing bits, or over the links of wide.
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, k: int = 2) -> DataFrame:
+    """Of each row of docs: its id, simhash (long), component: the smallest id reachable over fingerprints of at most k differing bits.
 
     Null and empty texts have fingerprint zero, which links like any other. Repeated rows give repeated results. A null id
     has a component like any other row, but is never one's name (null only if a component has no other ids).
     """
-    prints = stored(with_fingerprint(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), "text", shingle, wide=wide), "simhash")
-    names = wide.names if wide else []
-    nodes = prints.groupBy("simhash").agg(F.min("id").alias("least"), *([F.min(F.struct(*names)).alias("wide")] if wide else []))
-    nodes = stored(nodes.select("simhash", "least", *(F.col(f"wide.{c}").alias(c) for c in names)), "simhash-nodes")
-    roots = components(links(nodes.select("simhash", *names), k, wide=wide))
+    prints = stored(with_fingerprint(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), "text", shingle), "simhash")
+    nodes = stored(prints.groupBy("simhash").agg(F.min("id").alias("least")), "simhash-nodes")
+    roots = components(links(nodes.select("simhash"), k))
     named = nodes.join(roots, nodes["simhash"] == roots["node"], "left").select("simhash", "least", F.coalesce("root", "simhash").alias("root"))
     named = stored(named, "simhash-roots")
     names = named.groupBy("root").agg(F.min("least").alias("component"))

@@ -187,38 +187,6 @@ def test_links_find_every_near_fingerprint_also_of_hot_keys(spark, k):
         assert (mine == label).all()
 
 
-def test_wide_links_match_brute_force(spark):
-    rng = random.Random(8)
-    words = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
-    texts = [words(200) for _ in range(60)]
-    for base in texts[:40]:  # near copies, from nearly equal to half another
-        for share in (0.003, 0.01, 0.02, 0.03, 0.05, 0.1):
-            texts.append([w if rng.random() > share else f"x{rng.randrange(5000)}" for w in base])
-    texts += [texts[0], []]
-    wide = simhash.Wide()
-    docs = spark.createDataFrame([(i, " ".join(x), "clash") for i, x in enumerate(texts)], "doc_id bigint, text string, wide0 string")
-    hashes = [simhash.shingle_hashes(" ".join(x), 5) for x in texts]
-    prints = np.stack([simhash.fingerprints(hashes), *simhash.other_words(hashes, wide.more)])
-    parts = simhash.segments(wide.segments)
-    label = np.arange(len(texts))
-    near = 0
-    for a in range(len(texts)):
-        for b in range(a):
-            apart = [int(np.bitwise_count(x[a] ^ x[b])) for x in prints]
-            agree = sum(not int(prints[0, a] ^ prints[0, b]) & m for m in parts)
-            if apart[0] <= wide.radius and sum(apart) <= wide.limit and agree >= wide.agree:
-                near += apart[0] > 6
-                low, high = sorted((label[a], label[b]))
-                label[label == high] = low
-    assert near > 20
-    found = {r["doc_id"]: r["component"] for r in simhash.simhash_components(docs, shingle=5, wide=wide).collect()}
-    assert found == dict(enumerate(label.tolist()))
-    of = {i: set(x.tolist()) for i, x in enumerate(hashes)}
-    similar = [(60 + 6 * i + j, i) for i in range(40) for j in range(6) if len(of[60 + 6 * i + j] & of[i]) >= 0.9 * len(of[60 + 6 * i + j] | of[i])]
-    assert sum(label[a] == label[b] for a, b in similar) >= 0.9 * len(similar) > 0
-    assert all(label[i] == i for i in range(60))  # strangers stay apart
-
-
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(50)] + [(1000, 1000 + i) for i in range(1, 200)] + [(7, 7), (60, 61)]
     found = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
