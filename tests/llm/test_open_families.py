@@ -49,12 +49,11 @@ def test_clusters_of_several_blocks(spark):
     rng = random.Random(4)
     base = [f"w{rng.randrange(6000)}" for _ in range(150)]
     texts = [" ".join(w if rng.random() > share else f"x{rng.randrange(6000)}" for w in base) for share in (0.002,) * 60 + (0.02,) * 60]
-    for part in (texts, texts[:60], texts[60:]):
+    for part, block in ((texts, 1500), (texts, 400), (texts[:60], 400), (texts[60:], 400)):
         label, _ = brute(part)
-        for block in (1 << 19, 1500, 400):
-            some = spark.createDataFrame(list(enumerate(part)), "doc_id bigint, text string")
-            found = {r["doc_id"]: r["component"] for r in near_copies.near_copy_components(some, deal=near_copies.Deal(block=block, pivots=2)).collect()}
-            assert found == dict(enumerate(label))
+        some = spark.createDataFrame(list(enumerate(part)), "doc_id bigint, text string")
+        found = {r["doc_id"]: r["component"] for r in near_copies.near_copy_components(some, deal=near_copies.Deal(block=block, pivots=2)).collect()}
+        assert found == dict(enumerate(label))
 
 
 def test_shared_shingles_are_counted():
