@@ -166,13 +166,13 @@ _CONFIG = anchors.AnchorConfig()
 
 
 def _anchor_inputs(spark, sf_dir):
-    """Parts of the works, edges and records, each stored once."""
-    return stored(_parts(spark, sf_dir), "anchor-parts"), stored(edges(spark, sf_dir), "anchor-edges"), stored(_records(spark, sf_dir), "anchor-records")
+    """Parts of the works, edges and the records' different paths, each stored once."""
+    return stored(_parts(spark, sf_dir), "anchor-parts"), stored(edges(spark, sf_dir), "anchor-edges"), anchors.distinct_paths(_records(spark, sf_dir))
 
 
 def _anchor_windows(spark, sf_dir, inputs=None):
-    parts, e, records = inputs or _anchor_inputs(spark, sf_dir)
-    return anchors.combined_windows(anchors.portal_windows(parts, e), anchors.hit_windows(records, parts, _CONFIG), parts)
+    parts, e, different = inputs or _anchor_inputs(spark, sf_dir)
+    return anchors.combined_windows(anchors.portal_windows(parts, e), anchors.hit_windows(None, parts, _CONFIG, different), parts)
 
 
 def _anchor_candidates(spark, sf_dir, inputs):
@@ -201,13 +201,13 @@ def n4_windows(spark, sf_dir):
 @query(_CTE + _WINDOWS + " select * from stats")
 def a21_anchor_stats(spark, sf_dir):
     inputs = _anchor_inputs(spark, sf_dir)
-    return anchors.anchor_stats(_anchor_candidates(spark, sf_dir, inputs), inputs[2])
+    return anchors.anchor_stats(_anchor_candidates(spark, sf_dir, inputs), None, inputs[2])
 
 
 def _nearest(spark, sf_dir):
     inputs = _anchor_inputs(spark, sf_dir)
     candidates = _anchor_candidates(spark, sf_dir, inputs)
-    return anchors.nearest_anchors(candidates, anchors.anchor_stats(candidates, inputs[2]), _CONFIG)
+    return anchors.nearest_anchors(candidates, anchors.anchor_stats(candidates, None, inputs[2]), _CONFIG)
 
 
 @query(_CTE + _WINDOWS + " select works_id, start_unit, end_unit, level, anchor_start, anchor_end, is_valid from nearest")
