@@ -39,6 +39,12 @@ def last_position(path: Column, unit: Column) -> Column:
     return F.when(back > 0, F.size(path) + 1 - back).otherwise(F.lit(0))
 
 
+def neighbours(path: Column, n: int) -> Column:
+    """Structs `0`, `1`, .. of each n elements in a row; none if there are fewer. The array itself is made once a row, not once an element as in a lambda that looks it up."""
+    count = F.greatest(F.size(path) - (n - 1), F.lit(0))
+    return F.arrays_zip(*(F.slice(path, F.lit(i + 1), count).alias(str(i)) for i in range(n)))
+
+
 def visits_in_order(path: Column, a: Column, b: Column) -> Column:
     """Whether some visit of a comes before some visit of b."""
     return (first_position(path, a) > 0) & (first_position(path, a) < last_position(path, b))

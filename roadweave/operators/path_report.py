@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.paths import neighbours
+
 
 def corner(x1: Column, y1: Column, x2: Column, y2: Column, x3: Column, y3: Column) -> Column:
     """Angle in degrees at the second of three points, between the ways to the first and to the third; 0 if one of them lies on it."""
@@ -16,11 +18,10 @@ def corner(x1: Column, y1: Column, x2: Column, y2: Column, x3: Column, y3: Colum
 
 def flat_corners(points: Column, least: float = 150.0) -> Column:
     """(at, flat) of each place i whose points i, i+1 and i+2 are known: whether the angle in the middle has `least` degrees. points: array of structs lon, lat."""
-    three = lambda i: [F.get(points, i + n) for n in range(3)]
-    known = lambda i: F.array_size(points).isNotNull() & F.coalesce(sum((F.when(p["lon"].isNotNull() & p["lat"].isNotNull(), 1).otherwise(0) for p in three(i)), F.lit(0)) == 3, F.lit(False))
-    angle = lambda i: corner(*(c for p in three(i) for c in (p["lon"], p["lat"])))
-    places = F.when(F.size(points) > 2, F.sequence(F.lit(0), F.size(points) - 3)).otherwise(F.array().cast("array<int>"))
-    return F.transform(F.filter(places, known), lambda i: F.struct(i.alias("at"), (angle(i) >= least).alias("flat")))
+    known = lambda c: F.coalesce(F.forall(F.array(*(c["three"][str(n)][x] for n in range(3) for x in ("lon", "lat"))), lambda x: x.isNotNull()), F.lit(False))
+    angle = lambda c: corner(*(c["three"][str(n)][x] for n in range(3) for x in ("lon", "lat")))
+    places = F.transform(neighbours(F.coalesce(points, F.array()), 3), lambda three, i: F.struct(i.alias("at"), three.alias("three")))
+    return F.transform(F.filter(places, known), lambda c: F.struct(c["at"].alias("at"), (angle(c) >= least).alias("flat")))
 
 
 def backtrack_regions(points: Column, least: float = 150.0) -> Column:

@@ -438,11 +438,10 @@ _GEO = ", pts as (select trip_id, p, 100 + (path[p] * 7) % 13 as lon, 30 + (path
 
 @query(with_("trips") + _GEO + " select trip_id, count(*) as u_turns from turn where b2 is not null and least(abs(b - b2) % 360, 360 - abs(b - b2) % 360) >= 150 group by 1")
 def r12_uturn(spark, sf_dir):
-    path = F.col("path")
     lon, lat = (lambda u: 100 + (u * 7) % 13), (lambda u: 30 + (u * 5) % 11)
-    legs = F.transform(F.slice(path, F.lit(1), F.size(path) - 1), lambda u, i: measures.bearing(lon(u), lat(u), lon(F.get(path, i + 1)), lat(F.get(path, i + 1))))
-    turns = F.size(F.filter(F.transform(F.col("legs"), lambda b, i: measures.angle_between(b, F.get("legs", i + 1))), lambda a: a >= 150))
-    return trips(spark, sf_dir).where(F.size(path) > 2).withColumn("legs", legs).select("trip_id", turns.cast("bigint").alias("u_turns")).where("u_turns > 0")
+    legs = F.transform(paths.neighbours(F.col("path"), 2), lambda n: measures.bearing(lon(n["0"]), lat(n["0"]), lon(n["1"]), lat(n["1"])))
+    turns = F.size(F.filter(paths.neighbours(legs, 2), lambda n: measures.angle_between(n["0"], n["1"]) >= 150))
+    return trips(spark, sf_dir).where(F.size("path") > 2).select("trip_id", turns.cast("bigint").alias("u_turns")).where("u_turns > 0")
 
 
 def _even1(x: str) -> str:
