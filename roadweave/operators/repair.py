@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -133,7 +134,7 @@ def planned_times(plan: Column, times: Column, entime: Column, extime: Column, l
     return F.aggregate(plan, start, step, lambda x: x["done"])
 
 
-#: Different records whose plans a task remembers.
+#: Different records whose plans a task remembers, and pairs of units whose way it does.
 HELD = 65_536
 
 
@@ -152,6 +153,7 @@ def repair_intervals(records: DataFrame, edges: DataFrame, id_col: str, reverse_
 
     def run(batches):
         graph, held = graph_of(shared), {}
+        graph.shortest = lru_cache(HELD)(graph.shortest)
 
         def of(path, enid, exid, mask):
             key = (*path, None, enid, exid, mask)
