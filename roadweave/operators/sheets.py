@@ -62,7 +62,7 @@ def route_order(lists: DataFrame, edges: DataFrame) -> DataFrame:
     other = lambda u: F.coalesce(reversed_unit(u), u)
     ways = [F.struct(F.lit(i).alias("way"), a.alias("source"), b.alias("target")) for i, (a, b) in enumerate(((first, last), (first, other(last)), (other(first), last), (other(first), other(last))))]
     ends = lists.select("key", F.explode(F.array(*ways)).alias("e")).select("key", "e.*")
-    near = units_between(ends.select("source", "target"), edges)
+    near = stored(units_between(ends.select("source", "target"), edges), "sheet-ends")  # its size is known to the join
     best = ends.join(near, ["source", "target"]).groupBy("key").agg(F.min(F.struct("units", "way", "source", "target")).alias("route"))
     placed = stored(lists.join(best.select("key", F.col("route.source").alias("start"), F.col("route.target").alias("end")), "key", "left"), "sheet-routes")
     each = placed.where("start is not null").select("key", "start", F.posexplode("units").alias("i", "unit")).withColumn("turn", reversed_unit(F.col("unit")))
@@ -89,7 +89,7 @@ def outside_units(lists: DataFrame, edges: DataFrame) -> DataFrame:
     both = ends.select("key", "i", "unit", F.explode(F.array_distinct(F.array("a", "b"))).alias("end"))
     both = both.select("key", "i", "unit", "end", F.explode(F.array_compact(F.array("unit", reversed_unit(F.col("unit"))))).alias("form"))
     ways = both.select("key", "i", "unit", F.explode(F.array(F.struct(F.col("end").alias("source"), F.col("form").alias("target")), F.struct(F.col("form").alias("source"), F.col("end").alias("target")))).alias("w")).select("key", "i", "unit", "w.*")
-    joined = units_between(ways.select("source", "target"), edges)
+    joined = stored(units_between(ways.select("source", "target"), edges), "sheet-joined")
     found = ways.join(joined, ["source", "target"], "left").groupBy("key", "i", "unit").agg(F.max(F.col("units").isNotNull() | (F.col("source") == F.col("target"))).alias("there"))
     return found.where("not there").groupBy("key").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "unit"))), lambda x: x["unit"]).alias("outside"))
 
@@ -106,12 +106,14 @@ def checked_sheet(rows: DataFrame, key: str, field: str, edges: DataFrame, valid
     units = unit_list(F.col("corrected"))
     texts = texts.withColumn("corrected", without_typos(F.col("before"), typos or {})).withColumn("all", units)
     texts = texts.select("before", "corrected", "all", of_length(F.col("all"), GATE_LENGTH).alias("gates"), of_length(F.col("all"), STATION_LENGTH).alias("stations"), F.filter("all", lambda u: ~F.length(u).isin(GATE_LENGTH, STATION_LENGTH)).alias("unknown"))
-    texts = stored(texts.withColumn("list", F.array_join("gates", "|")), "sheet-texts")
-    lists = stored(texts.where(F.size("gates") > 1).groupBy(F.col("list").alias("key")).agg(F.first("gates").alias("units")), "sheet-lists")
-    order, outside = route_order(lists, edges), outside_units(lists, edges)
-    named = texts.select("before", F.posexplode("all").alias("i", "unit")).join(valid.select("unit").distinct().withColumn("_ok", F.lit(True)), "unit", "left").where("_ok is null")
-    invalid = named.groupBy("before").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "unit"))), lambda x: x["unit"]).alias("invalid"))
-    out = texts.join(order.withColumnRenamed("key", "list").drop("units"), "list", "left").join(outside.withColumnRenamed("key", "list"), "list", "left").join(invalid, "before", "left")
+    texts = stored(texts.withColumns({"list": F.array_join("gates", "|"), "text_id": F.monotonically_increasing_id()}), "sheet-texts")
+    # numbers, not texts, are the keys of what is exploded
+    lists = stored(texts.where(F.size("gates") > 1).groupBy("list").agg(F.first("gates").alias("units")).withColumn("key", F.monotonically_increasing_id()), "sheet-lists")
+    order, outside = route_order(lists.select("key", "units"), edges), outside_units(lists.select("key", "units"), edges)
+    of_list = lists.select("key", "list").join(order.drop("units"), "key", "left").join(outside, "key", "left").drop("key")
+    named = texts.select("text_id", F.posexplode("all").alias("i", "unit")).join(valid.select("unit").distinct().withColumn("_ok", F.lit(True)), "unit", "left").where("_ok is null")
+    invalid = named.groupBy("text_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "unit"))), lambda x: x["unit"]).alias("invalid"))
+    out = texts.join(invalid, "text_id", "left").join(of_list, "list", "left")
     ordered = F.coalesce("ordered", "gates")
     sides = F.array(F.when(F.size(ordered) > 0, F.array_join(ordered, "|")), F.when(F.size("stations") > 0, F.array_join("stations", "|")))
     none = F.array().cast("array<string>")
