@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -198,6 +200,9 @@ def anchor_flow(trips: DataFrame, works: DataFrame, keys: Sequence[str] = ("vehi
     wanted = stored(affected_paths(paths, works), "anchors-wanted")
     anchors = wanted.groupBy("enid", "exid", "path_key").agg(F.collect_set("anchor").alias("anchors"))
     visits = F.transform(F.arrays_zip(F.col("path").alias("unit"), F.col("times").alias("at")), lambda v: F.struct(v["unit"].alias("unit"), F.date_trunc("hour", v["at"]).alias("hour")))
+    # only trips with a visit in the span of all periods are shuffled
+    span = works.agg(F.min(F.least("start", F.add_months("start", -12 * years))).alias("_first"), F.max(F.greatest("end", F.add_months("end", -12 * years))).alias("_last"))
+    mine = mine.crossJoin(F.broadcast(span)).where(F.exists("times", lambda t: F.to_date(t).between(F.col("_first"), F.col("_last")))).drop("_first", "_last")
     there = mine.join(anchors, ["enid", "exid", "path_key"]).select("enid", "exid", "path_key", *keys, F.explode(F.array_distinct(F.filter(visits, lambda v: F.array_contains("anchors", v["unit"]) & v["hour"].isNotNull()))).alias("v"))
     hourly = there.groupBy("enid", "exid", "path_key", F.col("v.unit").alias("anchor"), F.col("v.hour").alias("hour"), *keys).agg(F.count("*").alias("n"))
     days = works.select("works_id", F.col("start").alias("_a"), F.col("end").alias("_b"), F.add_months("start", -12 * years).alias("_c"), F.add_months("end", -12 * years).alias("_d"))
@@ -209,5 +214,11 @@ def anchor_flow(trips: DataFrame, works: DataFrame, keys: Sequence[str] = ("vehi
     first = works.select("works_id").join(types, "works_id", "left")
     kinds = dict(flows.dtypes)
     first = first.select("works_id", *(F.coalesce(F.col(k), F.lit("0").cast(kinds[k])).alias(k) for k in keys)).distinct()
-    every = wanted.drop("path").join(first, "works_id").join(flows, ["works_id", "enid", "exid", "path_key", *keys], "left").fillna(0, ["con_flow", "sp_flow"])
+    # a path meets its flows of all types in one row, before it comes with every type
+    path = ["works_id", "enid", "exid", "path_key"]
+    of_path = flows.groupBy(*path).agg(F.collect_list(F.struct(*keys, "con_flow", "sp_flow")).alias("_flows"))
+    every = wanted.drop("path").join(of_path, path, "left").join(first, "works_id")
+    mine_of = F.get(F.filter("_flows", lambda f: reduce(and_, (f[k] == F.col(k) for k in keys), F.lit(True))), F.lit(0))
+    every = every.withColumns({c: F.coalesce(mine_of[c], F.lit(0)).cast(kinds[c]) for c in ("con_flow", "sp_flow")}).drop("_flows")
+    every = every.select(*path, *keys, *(c for c in every.columns if c not in (*path, *keys)))
     return every.where("not is_affected or con_flow > 0 or sp_flow > 0")
