@@ -1,8 +1,13 @@
 """What queries do with many rows: equal paths once, nothing shuffled but what the next step needs."""
 
 import random
+from collections import Counter
 
-from roadweave.operators import anchors
+from pyspark.sql import functions as F
+
+from roadweave.operators import anchors, graph, impact, path_repair, repair, sheets
+from roadweave.plans import more_queries, sheet_queries  # noqa: F401  their queries join those of queries
+from roadweave.plans.queries import QUERIES
 
 ROADS = [(i, (i + 1) % 12, 1) for i in range(12)] + [(i, (i + 5) % 12, 2) for i in range(12)]
 
@@ -64,3 +69,75 @@ def test_paths_are_assigned_once_each(spark):
             assert r.route_type == "unassigned"
     assert {"pass", "bypass", "unassigned"} <= {r.route_type for r in got}
     assert moved + last < 4 * len(rows), (moved, last)
+
+
+def test_searches_are_shared_by_records():
+    calls = Counter()
+
+    class Counted(graph.RoadGraph):
+        def k_shortest(self, *a):
+            calls["ways"] += 1
+            return super().k_shortest(*a)
+
+        def distances_to(self, *a):
+            calls["rest"] += 1
+            return super().distances_to(*a)
+
+    kit = path_repair.Repair(Counted(ROADS))
+    first = kit.run(0, 6, [0, 5, 10, 3, 6])
+    once = dict(calls)
+    assert kit.run(0, 6, [0, 5, 10, 3, 6]) == first and first["method"] == "anchors" and dict(calls) == once
+
+
+def test_repairs_are_dealt_to_all_tasks(spark):
+    roads = spark.createDataFrame(ROADS, "src bigint, dst bigint, miles bigint")
+    records = spark.range(200).selectExpr("id", "id % 12 as enid", "(id + 5) % 12 as exid", "array(id % 12, (id + 3) % 12, (id + 5) % 12) as path").coalesce(1)
+    assert path_repair.repair_paths(records, roads, "id").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_equal_records_of_a_batch_are_repaired_once(spark):
+    roads = spark.createDataFrame(ROADS, "src bigint, dst bigint, miles bigint")
+    rows = [(i, *((None, 4, [1, 2]), (0, 6, [0, 5, 10, 6]), (0, 6, None), (3, 3, [3, None, 3]))[i % 4]) for i in range(400)]
+    records = spark.createDataFrame(rows, "id bigint, enid bigint, exid bigint, path array<bigint>")
+    done, figures = path_repair.repair_batch(records, roads, "id")
+    got = {r.id: tuple(r)[1:] for r in done.collect()}
+    assert len(got) == 400 == figures.first().total and all(got[i] == got[i % 4] for i in got) and len({str(got[i]) for i in range(4)}) > 2
+    alone = {r.id: tuple(r)[1:] for r in path_repair.repair_batch(records.where("id < 4"), roads, "id")[0].collect()}
+    assert alone == {i: got[i] for i in range(4)}
+
+
+def test_plans_share_searches(spark):
+    roads = spark.createDataFrame([(f"U{a}", f"U{b}", m) for a, b, m in ROADS], "src string, dst string, miles bigint")
+    assert repair.HELD >= 4096 and "lru_cache" in repair.repair_intervals.__globals__
+    rows = [(i, [f"U{i % 12}", f"U{(i + 3) % 12}", f"U{(i + 7) % 12}"]) for i in range(48)]
+    records = spark.createDataFrame(rows, "id bigint, path array<string>").selectExpr("*", "cast(null as array<timestamp_ntz>) as times", "'' as enid", "'' as exid", "cast(null as timestamp_ntz) as entime", "cast(null as timestamp_ntz) as extime")
+    g = graph.RoadGraph([(f"U{a}", f"U{b}", m) for a, b, m in ROADS])
+    assert {r.id: r.path for r in repair.repair_intervals(records, roads, "id").collect()} == {i: [u[0] for u in repair.planned(p, None, g).units] for i, p in rows}
+
+
+def test_corners_do_not_make_the_path_again_for_each_element(spark):
+    """An array that a lambda looks up is made anew for every element."""
+    for name in ("r12_uturn", "dq12_backtrack_regions"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("stops") < 60, (name, plan.count("stops"))
+
+
+def test_sheets_shuffle_numbers_and_not_ways(spark):
+    gate = lambda n, way: f"G0005600000{n:03d}{way}"
+    roads = spark.createDataFrame([(gate(a, 10), gate(b, 10), m) for a, b, m in ROADS], "src string, dst string, miles bigint")
+    rng = random.Random(3)
+    rows = [(i, "|".join(gate(rng.randrange(12), rng.choice((10, 20))) for _ in range(6))) for i in range(300)]
+    valid = spark.createDataFrame([(gate(n, 10),) for n in range(12)], "unit string")
+    found = lambda: sheets.checked_sheet(spark.createDataFrame(rows, "id bigint, units string"), "id", "units", roads, valid).collect()
+    got, moved = _shuffled(spark, found)
+    assert len(got) == 300 and moved < 25_000, moved
+
+
+def test_anchor_flow_joins_paths_before_types(spark):
+    n = 300
+    trips = spark.createDataFrame([(1, i % 7 + 9, [1, 3, i % 5 + 4, i % 7 + 9], v, i) for i in range(n) for v in range(1, 6)], "enid int, exid int, path array<int>, vehicle_type int, i int")
+    trips = trips.withColumn("times", F.transform("path", lambda _, k: F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(days=F.col("i"), hours=k))).drop("i")
+    works = spark.sql("select 1 as works_id, array(3, 4) as units, date '2024-01-03' as start, date '2024-01-20' as end")
+    got, moved = _shuffled(spark, lambda: impact.anchor_flow(trips, works).collect())
+    assert sum(r.con_flow for r in got) == 18 * 5 and sum(r.sp_flow for r in got) == 0 and {r.vehicle_type for r in got} == set(range(1, 6))
+    assert moved < 5 * n, moved
